@@ -41,9 +41,9 @@ def max_error(y: Column, p: Column) -> Column:
     return F.max(F.abs(y - p))
 
 
-def all_metrics(y: Column, p: Column, digits: int | None = None) -> list[Column]:
+def all_metrics(y: Column, p: Column) -> list[Column]:
     columns = {
         "smape": smape(y, p), "mae": mae(y, p), "rmse": rmse(y, p), "r2": r2(y, p), "mape": mape(y, p),
         "max_error": max_error(y, p), "mean_prediction": F.avg(p), "std_prediction": F.stddev_pop(p),
     }
-    return [(c if digits is None else F.round(c, digits)).alias(name) for name, c in columns.items()]
+    return [c.alias(name) for name, c in columns.items()]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -179,17 +180,22 @@ def tokens(text: Column, accents: bool = True) -> Column:
     return F.regexp_extract_all(lowered if accents else strip_accents(lowered), F.lit(fixed.TOKEN), F.lit(0))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often ``body`` uses it inside lambdas."""
+    return F.transform(F.array(value), lambda bound: body(bound))[0]
+
+
+def _runs(words: Column, n: int) -> Column:
+    def at(start: Column) -> Column:
+        return F.concat_ws(" ", *[F.get(words, start + k) for k in range(n)])
+
+    starts = F.sequence(F.lit(0), F.size(words) - n)
+    return F.when(F.size(words) >= n, F.transform(starts, at)).otherwise(F.array().cast("array<string>"))
+
+
 def ngrams(words: Column, low: int = 1, high: int = 2) -> Column:
     """All n-grams of low..high words, words joined by a space, shorter n first."""
-    runs = []
-    for n in range(low, high + 1):
-        if n == 1:
-            runs.append(words)
-            continue
-        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
-        grams = F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        runs.append(F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return runs[0] if len(runs) == 1 else F.concat(*runs)
+    return let(words, lambda w: F.concat(*[w if n == 1 else _runs(w, n) for n in range(low, high + 1)]))
 
 
 def sentiment(words: Column, lexicon: dict[str, tuple[float, float]], which: str = "polarity") -> Column:
@@ -200,5 +206,9 @@ def sentiment(words: Column, lexicon: dict[str, tuple[float, float]], which: str
     part = {"polarity": 0, "subjectivity": 1}[which]
     table = F.create_map(*[F.lit(x) for word, score in lexicon.items() for x in (word, score[part])])
     hits = F.filter(F.transform(words, lambda w: F.try_element_at(table, w)), lambda s: s.isNotNull())
-    total = F.aggregate(hits, F.lit(0.0), lambda acc, s: acc + s)
-    return F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(F.lit(0.0))
+
+    def mean(scores: Column) -> Column:
+        total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s)
+        return F.when(F.size(scores) > 0, total / F.size(scores)).otherwise(F.lit(0.0))
+
+    return let(hits, mean)

@@ -115,3 +115,32 @@ class BrandCodes:
         """Distinct brands of ``df`` that have no code, with their number of rows."""
         counts = df.groupBy(F.coalesce("brand", F.lit(UNKNOWN)).alias("brand")).agg(F.count(F.lit(1)).alias("n_rows"))
         return counts.join(self.table, "brand", "left_anti")
+
+
+def out_of_fold_brand_mean(df: DataFrame, fold: str = "fold") -> DataFrame:
+    """Brand mean that leaves out a row's own fold, and the mean of all other folds, without any fit per fold.
+
+    Sums by brand and fold are enough: the other folds are the brand's total minus its own fold.  A brand
+    with no price elsewhere gets the mean of the other folds.
+    """
+    price = F.nanvl(F.col("price"), F.lit(None))
+    cells = materialise(
+        df.groupBy(F.coalesce("brand", F.lit(UNKNOWN)).alias("brand"), fold).agg(F.count(price).alias("n"), F.sum(price).alias("s")),
+        "brand-folds",
+    )
+    by_fold = {r[fold]: (r["n"], r["s"] or 0.0) for r in cells.groupBy(fold).agg(F.sum("n").alias("n"), F.sum("s").alias("s")).collect()}
+    n_all, s_all = sum(n for n, _ in by_fold.values()), sum(s for _, s in by_fold.values())
+    level = F.create_map(*[
+        x for i, (n, s) in by_fold.items()
+        for x in (F.lit(i), F.lit((s_all - s) / (n_all - n) if n_all > n else None).cast("double"))
+    ])
+    totals = cells.groupBy("brand").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"))
+    means = cells.join(totals, "brand").select(
+        F.concat_ws("\u0001", F.col(fold).cast("string"), "brand").alias("_cell"),
+        F.try_divide(F.col("s_all") - F.coalesce("s", F.lit(0.0)), F.col("n_all") - F.col("n")).alias("_mean"),
+    )
+    named = df.withColumn("brand", F.coalesce("brand", F.lit(UNKNOWN)))
+    named = named.withColumn("_cell", F.concat_ws("\u0001", F.col(fold).cast("string"), "brand"))
+    joined = attach(named, materialise(means, "brand-fold-means"), "_cell", _row_key(df))
+    out = joined.withColumn("oof_mean", level[F.col(fold)])
+    return out.withColumn("oof_brand_mean", F.coalesce("_mean", "oof_mean")).drop("_mean", "_cell")

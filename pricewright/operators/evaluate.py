@@ -15,9 +15,9 @@ def to_long(df: DataFrame, predictions: dict[str, str], keep: list[str], column:
     return df.select(*keep, F.inline(pairs))
 
 
-def metrics(df: DataFrame, y: str, p: str, by: list[str] = (), digits: int | None = None) -> DataFrame:
+def metrics(df: DataFrame, y: str, p: str, by: list[str] = ()) -> DataFrame:
     """All metrics in one aggregation; only sums, counts and maxima move."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *M.all_metrics(F.col(y), F.col(p), digits))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *M.all_metrics(F.col(y), F.col(p)))
 
 
 def cv_summary(per_fold: DataFrame, by: list[str] = ("model",)) -> DataFrame:

@@ -97,12 +97,14 @@ class TfidfModel:
             tf = 1 + F.log(p["tf"]) if self.settings.sublinear_tf else p["tf"]
             return F.struct(p["idx"].alias("idx"), (tf * F.get(idf, p["idx"])).alias("weight"))
 
-        counted = self.counts(df, text, "_tf").withColumn("_raw", F.transform("_tf", weight))
-        squares = F.aggregate("_raw", F.lit(0.0), lambda acc, p: acc + p["weight"] * p["weight"])
-        normed = F.transform(
-            "_raw", lambda p: F.struct(p["idx"].alias("idx"), (p["weight"] / F.col("_norm")).alias("weight"))
-        )
-        return counted.withColumn("_norm", F.sqrt(squares)).withColumn(column, normed).drop("_tf", "_raw", "_norm")
+        def unit_length(raw: Column) -> Column:
+            norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda acc, p: acc + p["weight"] * p["weight"]))
+            return X.let(F.struct(raw.alias("raw"), norm.alias("norm")), lambda s: F.transform(
+                s["raw"], lambda p: F.struct(p["idx"].alias("idx"), (p["weight"] / s["norm"]).alias("weight"))
+            ))
+
+        counted = self.counts(df, text, "_tf")
+        return counted.withColumn(column, X.let(F.transform("_tf", weight), unit_length)).drop("_tf")
 
     def long_form(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """(key, term, weight) rows."""
