@@ -15,7 +15,9 @@ def is_missing(value: Column) -> Column:
 
 
 def log1p_floor0(value: Column) -> Column:
-    return F.log1p(F.greatest(value.cast("double"), F.lit(0.0)))
+    """log(1 + value), negatives counted as 0; missing stays missing, which ``greatest`` would not keep."""
+    number = value.cast("double")
+    return F.log1p(F.when(number < 0, F.lit(0.0)).otherwise(number))
 
 
 def finite_or_zero(value: Column) -> Column:
