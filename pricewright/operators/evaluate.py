@@ -12,7 +12,7 @@ from pricewright.operators.quantiles import exact_quantiles
 def to_long(df: DataFrame, predictions: dict[str, str], keep: list[str], column: str = "prediction") -> DataFrame:
     """Wide predictions to (keep..., model, prediction) rows, without a shuffle."""
     pairs = F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias(column)) for m, c in predictions.items()])
-    return df.select(*keep, F.inline(pairs))
+    return df.select(*keep, F.inline_outer(pairs))
 
 
 def metrics(df: DataFrame, y: str, p: str, by: list[str] = ()) -> DataFrame:

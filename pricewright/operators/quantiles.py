@@ -130,6 +130,6 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
 def column_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     """Exact median of each column, all columns in one pass; a column without values is left out."""
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-    long = df.select(F.inline(pairs))
+    long = df.select(F.inline_outer(pairs))
     medians = exact_quantiles(long, "value", [0.5], by=["name"])
     return {row["name"]: row["quantiles"][0] for row in medians.collect()}  # one row per column name

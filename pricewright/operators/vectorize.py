@@ -58,7 +58,9 @@ def term_statistics(df: DataFrame, text: str, settings: TextSettings) -> DataFra
     each = F.transform("grams", lambda g: F.struct(g.alias("term"), one.alias("uses"), (one * 0).alias("docs")))
     once = F.transform(F.array_distinct("grams"), lambda g: F.struct(g.alias("term"), (one * 0).alias("uses"), one.alias("docs")))
     return (
-        grams.select(F.inline(F.concat(each, once)))
+        # The outer form: the inner one adds a filter that computes the grams a second and third time.
+        grams.select(F.inline_outer(F.concat(each, once)))
+        .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.sum("uses").alias("uses"), F.sum("docs").alias("docs"))
     )
@@ -109,8 +111,8 @@ class TfidfModel:
     def long_form(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """(key, term, weight) rows."""
         terms = F.split(F.lit("\n".join(self.terms)), "\n")
-        entries = self.transform(df.select(key, text), text).select(key, F.inline("tfidf"))
-        return entries.select(key, F.get(terms, F.col("idx")).alias("term"), "weight")
+        entries = self.transform(df.select(key, text), text).select(key, F.inline_outer("tfidf"))
+        return entries.where(F.col("idx").isNotNull()).select(key, F.get(terms, F.col("idx")).alias("term"), "weight")
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(i, t, w) for i, (t, w) in enumerate(zip(self.terms, self.idf))]

@@ -13,6 +13,7 @@ from pricewright.queries.evaluation import round_metrics
 from pricewright.queries.numbers import LINE_KEY, rounded
 from pricewright.queries.registry import query
 from pricewright.functions import metrics as M
+from pricewright.session import materialise
 from pricewright.sources.tables import catalog, catalog_line
 
 _KEY = ", ".join(LINE_KEY)
@@ -36,7 +37,7 @@ SELECT kept.brand, count(*) AS n, {Q.metrics('price', 'brand_median', 4)} FROM k
 def brand_median_smape(spark, sf):
     """From raw catalog text to the error of the brand median, by brand: scan, parse, filter, statistics, join, metric."""
     rows = catalog(spark, sf)
-    kept = parse_labelled(PriceBounds.fit(rows).transform(rows)).select("sample_id", "brand", "price")
+    kept = materialise(parse_labelled(PriceBounds.fit(rows).transform(rows)).select("sample_id", "brand", "price"), "kept")
     priced = B.BrandStats.fit(kept).transform(kept)
     y, p = F.col("price"), F.col("brand_median")
     return round_metrics(priced.groupBy("brand").agg(F.count(F.lit(1)).alias("n"), *M.all_metrics(y, p)))

@@ -84,9 +84,9 @@ def vocabulary(spark, sf):
     return V.vocabulary(docs, "text", PLAIN, docs.count()).select("term", "uses", "docs")
 
 
-@query("term_statistics", f"WITH {GRAMS}, {_vocabulary_sql('grams', PLAIN)} SELECT term, uses, docs FROM stat WHERE docs > 1")
+@query("term_statistics", f"WITH {GRAMS}, {_vocabulary_sql('grams', PLAIN)} SELECT term, uses, docs FROM stat")
 def term_statistics(spark, sf):
-    return V.term_statistics(documents(spark, sf), "text", PLAIN).where("docs > 1")
+    return V.term_statistics(documents(spark, sf), "text", PLAIN)
 
 
 @query("tfidf", f"""

@@ -52,3 +52,12 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_table_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores, by a key without heavy hitters.
+
+    A table of many splits, which is any large one, is left alone: its rows are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricewright.session import spread
+
 # One row per part: missing names, values, prices and links, a malformed number, accents, tags.
 CATALOG_SQL = """
 SELECT p_partkey AS sample_id,
@@ -35,8 +37,13 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 
 
+# Row keys of the tables that hold most of the work.
+_KEYS = {"documents": "doc_id", "lineitem": "l_orderkey", "pages": "page_id", "part": "p_partkey", "events": "event_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows, _KEYS[name]) if name in _KEYS else rows
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:

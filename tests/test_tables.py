@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pricewright.operators.brands import BrandCodes, BrandStats, add_brand_frequency
 from pricewright.operators.lookup import attach, hot_keys
 from pricewright.operators.ranking import number_sorted
-from pricewright.sources.catalog import read_catalog, split_paths, unpriced_schema, write_catalog
+from pricewright.sources.catalog import read_catalog, read_split, split_paths, unpriced_schema, write_catalog
 from pricewright.sources.submission import read_submission, write_submission
 
 
@@ -85,6 +85,14 @@ def test_split_paths(spark, tmp_path):
         split_paths(spark, str(tmp_path / "empty"))
 
 
+def test_read_split(spark, tmp_path):
+    (tmp_path / "train.csv").write_text('sample_id,catalog_content,image_link,price\n1,"a\nb",http://x,2.5\n2,"c ""d""",,NaN\n')
+    (tmp_path / "test.csv").write_text("sample_id,catalog_content,image_link\n3,e,\n")
+    train, test = read_split(spark, str(tmp_path))
+    assert [tuple(r) for r in train.orderBy("sample_id").collect()] == [(1, "a\nb", "http://x", 2.5), (2, 'c "d"', None, None)]
+    assert [tuple(r) for r in test.collect()] == [(3, "e", None)]
+
+
 def test_submission_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5), (2, 3.0)], "sample_id bigint, price double")
     back = read_submission(spark, write_submission(df, str(tmp_path / "s"), single_file=True))
