@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 MAX_COLUMNS = 4096  # 128 MB of doubles per task
 _BATCH = 2048
 _BUCKETS = 256
+_BLOCKS = 64
 
 
 def _dense(indices: pd.Series, weights: pd.Series, width: int) -> np.ndarray:
@@ -33,11 +34,12 @@ def _dense(indices: pd.Series, weights: pd.Series, width: int) -> np.ndarray:
 def gram_rows(df: DataFrame, sparse: str, width: int) -> DataFrame:
     """Rows (i, n, total, products) of the Gram matrix; ``total`` is the sum of column i.
 
-    Partial matrices are added in two steps, first within buckets of tasks, so that even a million tasks
-    leave only some thousand vectors in a group.
+    The matrix travels in some 64 blocks of rows.  Partial matrices are added in two steps, first within
+    buckets of tasks, so that even a million tasks leave only some thousand blocks in a group.
     """
     if width > MAX_COLUMNS:
         raise ValueError(f"at most {MAX_COLUMNS} columns")
+    height = -(-width // _BLOCKS)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         products, total, n = np.zeros((width, width)), np.zeros(width), 0
@@ -49,23 +51,29 @@ def gram_rows(df: DataFrame, sparse: str, width: int) -> DataFrame:
                 total += block.sum(axis=0)
                 n += len(part)
         if n:
-            bucket = TaskContext.get().partitionId() % _BUCKETS
-            for i in range(0, width, 256):
-                yield pd.DataFrame({
-                    "bucket": bucket, "i": np.arange(i, min(i + 256, width)), "n": n, "total": total[i:i + 256],
-                    "products": list(products[i:i + 256]),
-                })
+            starts = list(range(0, width, height))
+            yield pd.DataFrame({
+                "bucket": TaskContext.get().partitionId() % _BUCKETS, "start": starts, "n": n,
+                "totals": [total[i:i + height] for i in starts],
+                "products": [products[i:i + height].ravel() for i in starts],
+            })
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({
-            "bucket": group["bucket"].iloc[:1], "i": group["i"].iloc[:1], "n": [group["n"].sum()], "total": [group["total"].sum()],
+            "bucket": group["bucket"].iloc[:1], "start": group["start"].iloc[:1], "n": [group["n"].sum()],
+            "totals": [np.sum(np.stack(group["totals"].to_list()), axis=0)],
             "products": [np.sum(np.stack(group["products"].to_list()), axis=0)],
         })
 
-    schema = "bucket int, i int, n bigint, total double, products array<double>"
+    schema = "bucket int, start int, n bigint, totals array<double>, products array<double>"
     pairs = df.select(F.col(sparse)["idx"].alias("idx"), F.col(sparse)["weight"].alias("weight"))
-    by_bucket = pairs.mapInPandas(partial, schema).groupBy("bucket", "i").applyInPandas(add, schema)
-    return by_bucket.groupBy("i").applyInPandas(add, schema).drop("bucket")
+    by_bucket = pairs.mapInPandas(partial, schema).groupBy("bucket", "start").applyInPandas(add, schema)
+    blocks = by_bucket.groupBy("start").applyInPandas(add, schema)
+    rows = blocks.select("start", "n", "products", F.posexplode_outer("totals").alias("at", "total"))
+    return rows.select(
+        (F.col("start") + F.col("at")).alias("i"), "n", "total",
+        F.slice("products", F.col("at") * width + 1, F.lit(width)).alias("products"),
+    )
 
 
 @dataclass
