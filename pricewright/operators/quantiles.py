@@ -13,6 +13,7 @@ doubles left for the last step.  Nothing depends on the number of rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,19 +79,21 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
         .withColumn("_first", F.coalesce(_first_digit(F.col("_value")), F.lit(0)))
     )
 
-    wanted = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        wanted += [
-            F.struct(F.lit(2 * i).alias("slot"), F.floor(position).alias("rank")),
-            F.struct(F.lit(2 * i + 1).alias("slot"), F.ceil(position).alias("rank")),
-        ]
+    # Two wanted ranks per probability, in slots 2i and 2i + 1; the value lies between the two.
+    shares = F.lit([float(p) for p in probabilities])
+
+    def slots(offset: int, rounding: Callable[[Column], Column]) -> Column:
+        return F.transform(shares, lambda p, i: F.struct(
+            (2 * i + offset).alias("slot"), rounding(p * (F.col("n") - 1)).alias("rank")
+        ))
+
+    wanted = F.concat(slots(0, F.floor), slots(1, F.ceil))
     steps = (
         rows.groupBy("_group", "_first")
         .agg(F.count(F.lit(1)).alias("_count"))
         .withColumn("n", F.sum("_count").over(Window.partitionBy("_group")))
         .withColumn("_at", _before(["_group"], "_first"))
-        .select("_group", "_first", "n", _within(F.array(*wanted), F.col("_at"), F.col("_count")).alias("_hits"))
+        .select("_group", "_first", "n", _within(wanted, F.col("_at"), F.col("_count")).alias("_hits"))
         .where(F.size("_hits") > 0)
     )
 
@@ -114,16 +117,15 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
         "_group", "n", "_value", F.explode(_within(F.col("_found"), F.col("_at"), F.col("_count"))).alias("_hit")
     )
 
-    def at(slot: int) -> Column:
-        return F.max(F.when(F.col("_hit.slot") == slot, F.col("_value")))
+    # A group has exactly 2 x probabilities of these rows.
+    found = picked.groupBy("_group", "n").agg(F.sort_array(F.collect_list(F.struct("_hit.slot", "_value"))).alias("_found"))
+
+    def between(p: Column, i: Column) -> Column:
+        low, high = F.get("_found", 2 * i)["_value"], F.get("_found", 2 * i + 1)["_value"]
+        share = p * (F.col("n") - 1) - F.floor(p * (F.col("n") - 1))
+        return F.when(low == high, low).otherwise(low * (1 - share) + high * share)
 
-    between = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        share = position - F.floor(position)
-        low, high = at(2 * i), at(2 * i + 1)
-        between.append(F.when(low == high, low).otherwise(low * (1 - share) + high * share))
-    out = picked.groupBy("_group", "n").agg(F.array(*between).alias("quantiles"))
+    out = found.withColumn("quantiles", F.transform(shares, between))
     return out.select(*[F.col(f"_group.{c}").alias(c) for c in by], "n", "quantiles")
 
 
