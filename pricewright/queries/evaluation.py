@@ -35,8 +35,8 @@ def predictions(spark, sf):
                          (F.col("value") * 100).alias("p_value"))
 
 
-def long(spark, sf):
-    return E.to_long(predictions(spark, sf), MODELS, ["price", "fold"])
+def long(spark, sf, rows=None):
+    return E.to_long(predictions(spark, sf) if rows is None else rows, MODELS, ["price", "fold"])
 
 
 @query("metric_smape", f"WITH {PRIOR} SELECT round(avg(abs(price - p_median) / ((abs(price) + abs(p_median)) / 2)) * 100, 4) AS smape FROM pred")
@@ -80,8 +80,8 @@ _WEIGHTS = f"""score AS (SELECT model, avg(abs(price - p) / ((abs(price) + abs(p
 weight AS (SELECT model, (1 / (smape + 1e-6)) / sum(1 / (smape + 1e-6)) OVER () AS weight FROM score)"""
 
 
-def _weights(spark, sf):
-    scores = E.metrics(long(spark, sf), "price", "prediction", ["model"])
+def _weights(spark, sf, rows=None):
+    scores = E.metrics(long(spark, sf, rows), "price", "prediction", ["model"])
     return E.inverse_error_weights(scores, "smape", fixed.WEIGHT_EPSILON)
 
 
@@ -96,10 +96,11 @@ _BLENDED = "exp(a * ln(1 + p_mean) + b * ln(1 + p_median) + c * ln(1 + p_value))
 _BLEND = f"{_WEIGHTS}, {_W}, blend AS (SELECT {_KEY}, price, {_BLENDED} AS prediction FROM pred, w)"
 
 
-def blended(spark, sf):
-    weights = {r["model"]: r["weight"] for r in _weights(spark, sf).collect()}  # one row per model
+def blended(spark, sf, rows=None):
+    rows = predictions(spark, sf) if rows is None else rows
+    weights = {r["model"]: r["weight"] for r in _weights(spark, sf, rows).collect()}  # one row per model
     logged = {m: F.log1p(c) for m, c in MODELS.items()}
-    return predictions(spark, sf).withColumn("prediction", N.unlog_target(E.weighted_sum(logged, weights)))
+    return rows.withColumn("prediction", N.unlog_target(E.weighted_sum(logged, weights)))
 
 
 @query("weighted_blend", f"WITH {PRIOR}, {_BLEND} SELECT {_KEY}, round(prediction, 4) AS prediction FROM blend")
@@ -117,7 +118,8 @@ WITH {PRIOR}, {_BLEND}
 SELECT 'models' AS scope, model, count(*) AS n, {Q.metrics('price', 'p')} FROM long GROUP BY model
 UNION ALL SELECT 'ensemble', NULL, count(*), {Q.metrics('price', 'prediction')} FROM blend""")
 def results_table(spark, sf):
+    rows = predictions(spark, sf)
     return E.results_table({
-        "models": round_metrics(E.metrics(long(spark, sf), "price", "prediction", ["model"])),
-        "ensemble": round_metrics(E.metrics(blended(spark, sf), "price", "prediction")),
+        "models": round_metrics(E.metrics(long(spark, sf, rows), "price", "prediction", ["model"])),
+        "ensemble": round_metrics(E.metrics(blended(spark, sf, rows), "price", "prediction")),
     })
