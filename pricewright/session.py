@@ -8,10 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and the benchmark; on a cluster the caller brings the session."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A session for tests and the benchmark; on a cluster the caller brings the session.
+
+    ``shared`` is the folder for written tables.  Small tables are still read in several splits.
+    """
+    builder = SparkSession.builder if shared is None else SparkSession.builder.config("spark.checkpoint.dir", shared)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName("pricewright")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
@@ -22,17 +26,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
+    """The folder all executors can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Where it is unset, a master that runs in this one process gets a folder of this machine; any other is refused.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="pricewright-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = tempfile.mkdtemp(prefix="pricewright-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)  # tree training cuts its own lineage there
     return folder.rstrip("/")
