@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.llm import sql as S
 from pricewright.llm.near_dup import near_duplicates
 from pricewright.llm.registry import ORACLES, QUERIES, query
+from pricewright.llm.substring import removal
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -19,3 +20,11 @@ def table(spark, sf, name):
 def op1_near_dup(spark, sf):
     """Near-duplicate classes of all documents: four-word shingles, similarity 0.8."""
     return near_duplicates(table(spark, sf, "documents"), width=4, percent=80)
+
+
+@query("op5_substring_dedup", S.substring("documents", 50))
+def op5_substring_dedup(spark, sf):
+    """Windows of 50 words that an earlier document has too are cut from all documents."""
+    rest = removal(table(spark, sf, "documents"), width=50, separator=" ")
+    n_removed = F.aggregate(F.zip_with("ends", "starts", lambda b, a: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+    return rest.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))

@@ -25,3 +25,20 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, l.b FROM r
 label AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept, class_id
 FROM sets JOIN label ON doc_id = a JOIN (SELECT doc_id AS c, min(doc_id) OVER (PARTITION BY CASE WHEN s = [] THEN [doc_id::VARCHAR, ''] ELSE list_sort(s) END) AS class_id FROM sets) ON c = doc_id"""
+
+
+def substring(source: str, width: int) -> str:
+    """Words not covered by a window that also starts in a document with a smaller id."""
+    return f"""
+WITH tokens AS (SELECT doc_id, {words("text")} AS w FROM {source}),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - {width - 2})) AS i, unnest(list_transform(range(1, len(w) - {width - 2}), lambda i: md5(array_to_string(w[i:i + {width - 1}], ' ')))) AS h
+    FROM tokens WHERE len(w) >= {width}),
+firsts AS (SELECT h, min(doc_id) AS least FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {width})) AS i FROM windows JOIN firsts USING (h) WHERE doc_id > least),
+gone_lists AS (SELECT doc_id, list(i) AS g, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(k, '') END) AS kept_sha256
+FROM tokens t LEFT JOIN gone_lists USING (doc_id)
+LEFT JOIN (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS k
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM tokens) x
+    LEFT JOIN gone USING (doc_id, i) WHERE gone.i IS NULL GROUP BY x.doc_id) kept ON kept.doc_id = t.doc_id"""
