@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2 << 20  # text handled at once, but at least one row
 VOCABULARY = 400_000  # distinct words a worker remembers before it starts anew
@@ -45,19 +46,16 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(int(a), int(b - a))
 
 
-def map_slices(df: DataFrame, column: str, schema: str, run: Callable[[pa.RecordBatch], dict | Iterable[dict]]) -> DataFrame:
+def map_slices(df: DataFrame, column: str, schema: str, run: Callable[[pa.RecordBatch], dict | Iterable[dict]], limit: int = SLICE_BYTES) -> DataFrame:
     """``run`` turns each slice into columns by name. A dict is one result; an iterable of dicts gives several."""
-    names = [x.strip().split(" ")[0].strip("`") for x in schema.split(",")]
+    names = StructType.fromDDL(schema).names
 
     def task(batches):
-        types = None
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 found = run(part)
                 for columns in [found] if isinstance(found, dict) else found:
-                    out = pa.RecordBatch.from_arrays([to_arrow(columns[n]) for n in names], names=names)
-                    types = types or out.schema
-                    yield out
+                    yield pa.RecordBatch.from_arrays([to_arrow(columns[n]) for n in names], names=names)
 
     return df.mapInArrow(task, schema)
 
@@ -139,3 +137,10 @@ def shingle_sets(words: list[list[bytes]], width: int) -> list[np.ndarray]:
         else:
             sets.append(np.empty(0, np.uint64))
     return sets
+
+
+def joined(texts: list[bytes | None], gap: bytes = b" ") -> tuple[np.ndarray, np.ndarray]:
+    """All texts as one byte array, each followed by ``gap``; where each begins, and the end of the last."""
+    data = gap.join([t or b"" for t in texts]) + gap
+    begins = np.cumsum([0, *(len(t or b"") + len(gap) for t in texts)])
+    return np.frombuffer(data, np.uint8), begins

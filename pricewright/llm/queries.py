@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewright.llm import sql as S
+from pricewright.llm.language import fit_language, identify
 from pricewright.llm.near_dup import near_duplicates
 from pricewright.llm.registry import ORACLES, QUERIES, query
 from pricewright.llm.substring import removal
@@ -28,3 +29,17 @@ def op5_substring_dedup(spark, sf):
     rest = removal(table(spark, sf, "documents"), width=50, separator=" ")
     n_removed = F.aggregate(F.zip_with("ends", "starts", lambda b, a: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
     return rest.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def held_out(modulus: int, rest: int):
+    """Whether crc32 of the id as text leaves this remainder."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == rest
+
+
+@query("op4_language_id")
+def op4_language_id(spark, sf):
+    """Language of every document; learned from documents outside the held-out quarter only."""
+    docs = table(spark, sf, "documents")
+    model = fit_language(docs.where(~held_out(4, 2)))
+    found = identify(docs, model, F.col("doc_id"))
+    return found.withColumnRenamed("key", "doc_id").select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
