@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.llm import sql as S
 from pricewright.llm.language import fit_language, identify
 from pricewright.llm.near_dup import near_duplicates
+from pricewright.llm.perplexity import quality
 from pricewright.llm.registry import ORACLES, QUERIES, query
 from pricewright.llm.substring import removal
 
@@ -43,3 +44,10 @@ def op4_language_id(spark, sf):
     model = fit_language(docs.where(~held_out(4, 2)))
     found = identify(docs, model, F.col("doc_id"))
     return found.withColumnRenamed("key", "doc_id").select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark, sf):
+    """Counts of every document and the verdict of rules and perplexity bands."""
+    return quality(table(spark, sf, "documents"), F.col("doc_id"), F.col("lang")).withColumnRenamed("key", "doc_id").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity", "lower", "upper")
