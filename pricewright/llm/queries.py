@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.llm import sql as S
 from pricewright.llm.language import fit_language, identify
 from pricewright.llm.near_dup import near_duplicates
+from pricewright.llm.passages import fit_quality, score_quality
 from pricewright.llm.perplexity import quality
 from pricewright.llm.registry import ORACLES, QUERIES, query
 from pricewright.llm.substring import removal
@@ -51,3 +52,12 @@ def op2_quality_rules(spark, sf):
     """Counts of every document and the verdict of rules and perplexity bands."""
     return quality(table(spark, sf, "documents"), F.col("doc_id"), F.col("lang")).withColumnRenamed("key", "doc_id").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity", "lower", "upper")
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark, sf):
+    """Quality score of every document; learned from labels outside the held-out fifth only."""
+    docs = table(spark, sf, "documents")
+    model = fit_quality(docs, table(spark, sf, "labels").where(~held_out(5, 0)))
+    found = score_quality(docs, model, F.col("doc_id")).withColumnRenamed("key", "doc_id")
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
