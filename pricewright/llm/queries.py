@@ -11,6 +11,7 @@ from pricewright.llm.passages import fit_quality, score_quality
 from pricewright.llm.perplexity import quality
 from pricewright.llm.registry import ORACLES, QUERIES, query
 from pricewright.llm.substring import removal
+from pricewright.llm.token_counts import count_tokens, read_pieces
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -61,3 +62,17 @@ def op3_quality_classifier(spark, sf):
     model = fit_quality(docs, table(spark, sf, "labels").where(~held_out(5, 0)))
     found = score_quality(docs, model, F.col("doc_id")).withColumnRenamed("key", "doc_id")
     return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's vocabulary file on this machine; its content, not its path, goes to the tasks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark, sf):
+    """Unigram token counts of every document with the pieces and scores of a public vocabulary."""
+    pieces, _ = read_pieces(vocabulary("piece_bpe_32k.model"))
+    return count_tokens(table(spark, sf, "documents"), F.col("doc_id"), pieces).withColumnRenamed("key", "doc_id")
