@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewright.llm import sql as S
 from pricewright.llm.language import fit_language, identify
 from pricewright.llm.near_dup import near_duplicates
+from pricewright.llm.neighbours import nearest_neighbours
 from pricewright.llm.passages import fit_quality, score_quality
 from pricewright.llm.perplexity import quality
 from pricewright.llm.registry import ORACLES, QUERIES, query
@@ -76,3 +77,9 @@ def op10_token_counts(spark, sf):
     """Unigram token counts of every document with the pieces and scores of a public vocabulary."""
     pieces, _ = read_pieces(vocabulary("piece_bpe_32k.model"))
     return count_tokens(table(spark, sf, "documents"), F.col("doc_id"), pieces).withColumnRenamed("key", "doc_id")
+
+
+@query("op6_nearest_neighbours")
+def op6_nearest_neighbours(spark, sf):
+    """The 10 nearest of every hundredth vector among all vectors, from balanced posting lists."""
+    return nearest_neighbours(table(spark, sf, "embeddings"), F.col("id") % 100 == 0)
