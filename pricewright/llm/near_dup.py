@@ -20,7 +20,7 @@ from pricewright.llm.components import components
 from pricewright.session import materialise
 
 SLOTS, ROWS = 128, 4  # 32 bands of 4 slots: a pair of similarity 0.8 shares none with probability 5e-8
-BLOCK = 2048
+BLOCK = 512
 _R_BITS = 25
 _EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -109,57 +109,97 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
             if one not in last:
                 last.clear()  # pairs of one a arrive together
                 last[one] = shingle_sets(split_words([left[i].as_py()], lower=True), width)[0]
-            one = last[one]
-            small, large = (one, other) if len(one) <= len(other) else (other, one)
-            if 100 * len(small) < percent * len(large):
-                keep.append(False)
-                continue
-            at = np.searchsorted(large, small)
-            common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-            keep.append(100 * common >= percent * (len(one) + len(other) - common))
+            keep.append(_similar(last[one], other, percent))
         kept = pa.array(keep, pa.bool_())
         return {"a": part.column(0).filter(kept), "b": part.column(1).filter(kept)}
 
     return map_slices(both.select("a", "b", "text_a", "text_b"), "text_b", "a long, b long", run)
 
 
-def residual_pairs(mixed: DataFrame, percent: int, best: int | None) -> DataFrame:
-    """Pairs of members of one band value that are in different components and whose signatures agree enough.
+def blocks(mixed: DataFrame) -> DataFrame:
+    """Deals the members of each mixed band value into blocks: odd members (side 0) against all members (side 1).
 
-    ``mixed``: key, id, component, signature, and ``odd`` for members outside the band value's largest component.
-    Odd members meet all members, in blocks of at most some 2,048 by 2,048.  The bound on agreeing slots is six
-    standard deviations below what the similarity makes likely.  ``best``: only so many partners a member and
-    block, for a first round that leaves little to the full one.
+    ``mixed``: key, band, id, component, signature, bands, and ``odd`` for members outside the largest component of
+    their band value.  A block has some 512 members a side at most, however many share the value.
     """
-    share = percent / 100
-    least = math.floor(SLOTS * share - 6 * math.sqrt(SLOTS * share * (1 - share)))
     sizes = mixed.groupBy("key").agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.sum(F.col("odd").cast("int")) / BLOCK).cast("int").alias("n_odd"))
     rows = mixed.join(sizes, "key").withColumn("place", F.xxhash64("id"))
     lists = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     left = rows.where("odd").withColumns({"side": F.lit(0), "i": F.pmod("place", "n_odd").cast("int"), "j": F.explode(lists("n_all"))})
     right = rows.withColumns({"side": F.lit(1), "j": F.pmod("place", "n_all").cast("int"), "i": F.explode(lists("n_odd"))})
-    columns = ["key", "i", "j", "side", "id", "component", "signature"]
+    columns = ["key", "i", "j", "side", "band", "id", "component", "signature", "bands"]
+    return left.select(columns).unionByName(right.select(columns))
+
+
+def _near(group: pa.Table, percent: int, best: int | None):
+    """For each odd member of a block: (its row, rows of its partners); the two sides of the block; their ids.
+
+    Partners are in another component, agree in as many slots as the similarity makes likely, less six standard
+    deviations, and share no earlier band, as the pair then belongs to that band's value.
+    """
+    share = percent / 100
+    least = math.floor(SLOTS * share - 6 * math.sqrt(SLOTS * share * (1 - share)))
+    side = np.asarray(group.column("side"))
+    sides = [group.filter(pa.array(side == k)) for k in (0, 1)]
+    if not all(t.num_rows for t in sides):
+        return [], sides, [[], []]
+    band = group.column("band")[0].as_py()
+    ids = [np.asarray(t.column("id")) for t in sides]
+    parts = [np.asarray(t.column("component")) for t in sides]
+    signs = [np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, SLOTS) for t in sides]
+    keys = [np.asarray(t.column("bands").combine_chunks().flatten()).reshape(t.num_rows, -1) for t in sides]
+    found = []
+    for x in range(len(ids[0])):
+        agree = np.where(parts[1] != parts[0][x], (signs[1] == signs[0][x]).sum(axis=1), 0)
+        near = np.flatnonzero(agree >= least)
+        near = near[(keys[1][near, :band] != keys[0][x, :band]).all(axis=1)]
+        if best is not None and len(near) > best:
+            near = near[np.argsort(-agree[near], kind="stable")[:best]]
+        if len(near):
+            found.append((x, near))
+    return found, sides, ids
+
+
+def likely_pairs(dealt: DataFrame, percent: int, best: int) -> DataFrame:
+    """Up to ``best`` partners of each odd member and block, those whose signatures agree most: a round that leaves little."""
 
     def block(group: pa.Table) -> pa.Table:
-        side, found = np.asarray(group.column("side")), []
-        one, other = (group.filter(pa.array(side == k)) for k in (0, 1))
-        if one.num_rows and other.num_rows:
-            ids = [np.asarray(t.column("id")) for t in (one, other)]
-            parts = [np.asarray(t.column("component")) for t in (one, other)]
-            signs = [np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint16).reshape(-1, SLOTS) for t in (one, other)]
-            for x in range(len(ids[0])):
-                agree = np.where(parts[1] != parts[0][x], (signs[1] == signs[0][x]).sum(axis=1), 0)
-                near = np.flatnonzero(agree >= least)
-                if best is not None and len(near) > best:
-                    near = near[np.argsort(-agree[near], kind="stable")[:best]]
-                if len(near):
-                    y = ids[1][near]
-                    found.append(np.stack([np.minimum(y, ids[0][x]), np.maximum(y, ids[0][x])]))
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
-
-    return left.select(columns).unionByName(right.select(columns)).groupBy("key", "i", "j").applyInArrow(block, "a long, b long").distinct()
+        found, _, ids = _near(group, percent, best)
+        a = np.concatenate([np.full(len(near), ids[0][x]) for x, near in found]) if found else np.empty(0, np.int64)
+        b = np.concatenate([ids[1][near] for _, near in found]) if found else np.empty(0, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(block, "a long, b long").distinct()
+
+
+def residual_links(dealt: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links of all remaining pairs.  Texts go to the blocks that need them, and only links come out, not pairs."""
+    kind = "key long, i int, j int, side int, band int, id long, component long, signature binary, bands array<long>"
+
+    def needed(group: pa.Table) -> pa.Table:
+        found, sides, _ = _near(group, percent, None)
+        rows = [np.array([x for x, _ in found], np.int64), np.unique(np.concatenate([near for _, near in found])) if found else np.empty(0, np.int64)]
+        return pa.concat_tables([t.take(pa.array(r)) for t, r in zip(sides, rows)])
+
+    def check(group: pa.Table) -> pa.Table:
+        found, sides, ids = _near(group, percent, None)
+        sets = [shingle_sets(split_words(t.column("text").to_pylist(), lower=True), width) for t in sides]
+        links = [(int(ids[0][x]), int(ids[1][y])) for x, near in found for y in near.tolist() if _similar(sets[0][x], sets[1][y], percent)]
+        return pa.table({"a": pa.array([min(p) for p in links], pa.int64()), "b": pa.array([max(p) for p in links], pa.int64())})
+
+    rows = materialise(dealt.groupBy("key", "i", "j").applyInArrow(needed, kind), "near-needed")
+    return rows.join(texts, "id").groupBy("key", "i", "j").applyInArrow(check, "a long, b long").distinct()
+
+
+def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of sorted sets."""
+    small, large = (one, other) if len(one) <= len(other) else (other, one)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * common >= percent * (len(one) + len(other) - common)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -175,7 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialise(
         table.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
         .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "near-classes")
-    rows = classes.select("id", F.explode("bands").alias("key"))
+    rows = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).where("n > 1")
     members = materialise(rows.join(shared.select("key", "hub"), "key"), "near-members")
     wanted = members.select("id").distinct()
@@ -186,13 +226,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialise(verify(star, sized, width, percent), "near-links")
     for best in (4, None):
         label = components(links)
-        placed = members.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        placed = members.join(label, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
         parts = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
             F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
-        mixed = placed.join(parts.select("key", "main"), "key").join(classes.select("id", "signature"), "id").withColumn(
+        mixed = placed.join(parts.select("key", "main"), "key").join(classes.select("id", "signature", "bands"), "id").withColumn(
             "odd", F.col("component") != F.col("main")).drop("main")
-        pairs = residual_pairs(materialise(mixed, "near-mixed"), percent, best)
-        links = materialise(links.unionByName(verify(pairs, sized, width, percent)).distinct(), "near-links")
+        dealt = blocks(materialise(mixed, "near-mixed"))
+        found = residual_links(dealt, sized, width, percent) if best is None else verify(likely_pairs(dealt, percent, best), sized, width, percent)
+        links = materialise(links.unionByName(found).distinct(), "near-links")
     label = components(links).withColumnRenamed("id", "class_id")
     names = classes.select("set_a", "set_b", "n_shingles", F.col("id").alias("class_id")).join(label, "class_id", "left")
     return table.select("id", "n_shingles", "set_a", "set_b").join(names, ["set_a", "set_b", "n_shingles"], "left").select(
