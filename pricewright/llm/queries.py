@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 
 from pricewright.llm import sql as S
 from pricewright.llm.language import fit_language, identify
+from pricewright.llm.mixing import ROUNDS, TEMPER, mix
 from pricewright.llm.near_dup import near_duplicates
 from pricewright.llm.neighbours import nearest_neighbours
+from pricewright.llm.packing import pack, read_vocabulary
 from pricewright.llm.passages import fit_quality, score_quality
 from pricewright.llm.perplexity import quality
 from pricewright.llm.registry import ORACLES, QUERIES, query
 from pricewright.llm.substring import removal
 from pricewright.llm.token_counts import count_tokens, read_pieces
+from pricewright.llm.warc import round_trip
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -83,3 +86,24 @@ def op10_token_counts(spark, sf):
 def op6_nearest_neighbours(spark, sf):
     """The 10 nearest of every hundredth vector among all vectors, from balanced posting lists."""
     return nearest_neighbours(table(spark, sf, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op7_retrieval_packing")
+def op7_retrieval_packing(spark, sf):
+    """All documents in sequences of 1,024 tokens, each filled with lexical neighbours."""
+    import public_tokenizers
+
+    return pack(table(spark, sf, "documents"), read_vocabulary(vocabulary("byte_bpe_50k.json")), public_tokenizers.PATTERN)
+
+
+@query("op8_warc", S.warc("pages"))
+def op8_warc(spark, sf):
+    """All pages written as WARC archives and read back: equal payloads are stored once."""
+    found = round_trip(table(spark, sf, "pages"))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_mixing", S.mixing("documents", ROUNDS, TEMPER))
+def op9_mixing(spark, sf):
+    """Sampling probability of every document: token weights raked to tempered sources, languages and genres."""
+    return mix(table(spark, sf, "documents"))

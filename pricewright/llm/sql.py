@@ -42,3 +42,40 @@ FROM tokens t LEFT JOIN gone_lists USING (doc_id)
 LEFT JOIN (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS k
     FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM tokens) x
     LEFT JOIN gone USING (doc_id, i) WHERE gone.i IS NULL GROUP BY x.doc_id) kept ON kept.doc_id = t.doc_id"""
+
+
+def warc(source: str) -> str:
+    """Digests and record types of pages; base32 from the hexadecimal digest, five bits at a time."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    bits = "".join(f"WHEN '{i:x}' THEN '{i:04b}' " for i in range(16))
+    return f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM {source}),
+sums AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS hex FROM payloads),
+binaries AS (SELECT page_id, payload_bytes, list_reduce([CASE substr(hex, i, 1) {bits}END FOR i IN range(1, 41)], lambda a, b: a || b) AS bits FROM sums),
+digests AS (SELECT page_id, payload_bytes, list_reduce([substr('{letters}', 1 + (('0b' || substr(bits, 1 + 5 * i, 5))::INT), 1) FOR i IN range(0, 32)], lambda a, b: a || b) AS payload_digest FROM binaries),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts"""
+
+
+def mixing(source: str, rounds: int, temper: float) -> str:
+    """Raking with as many rounds, one common table a step."""
+    has = lambda *marks: "coalesce(" + " OR ".join(f"contains(text, '{m}')" for m in marks) + ", false)"
+    steps = [f"""words AS (SELECT doc_id, source, lang AS language, text, len({words("text")})::BIGINT AS n_tokens FROM {source}),
+rows AS MATERIALIZED (SELECT doc_id, source, language, n_tokens, CASE WHEN {has(" | ")} THEN 'table' WHEN {has("!!")} THEN 'shout'
+  WHEN {has("###", "$$$", "%%%", "&&&", "***")} THEN 'markup' WHEN n_tokens < 100 THEN 'note' WHEN n_tokens < 1000 THEN 'article' ELSE 'long' END AS topic FROM words),
+cells AS MATERIALIZED (SELECT source, language, topic, sum(n_tokens)::DOUBLE AS tokens FROM rows GROUP BY ALL)"""]
+    for m in ("source", "language", "topic"):
+        steps.append(f"t_{m} AS MATERIALIZED (SELECT {m}, x / sum(x) OVER () AS target_{m} FROM (SELECT {m}, pow(sum(tokens), {temper}) AS x FROM cells GROUP BY ALL))")
+    steps.append("""w0 AS MATERIALIZED (SELECT c.*, tokens / sum(tokens) OVER () AS weight, target_source, target_language, target_topic FROM cells c
+  JOIN t_source s ON c.source IS NOT DISTINCT FROM s.source JOIN t_language l ON c.language IS NOT DISTINCT FROM l.language JOIN t_topic t ON c.topic = t.topic)""")
+    at = 0
+    for _ in range(rounds):
+        for m in ("source", "language", "topic"):
+            at += 1
+            steps.append(f"w{at} AS MATERIALIZED (SELECT * REPLACE (weight * target_{m} / sum(weight) OVER (PARTITION BY {m}) AS weight) FROM w{at - 1})")
+    return "WITH " + ",\n".join(steps) + f""",
+rates AS (SELECT source, language, topic, round(weight, 12) AS weight, round(least(1.0, (1.0 / max(weight / tokens) OVER ()) * (weight / tokens)), 10) AS probability FROM w{at})
+SELECT doc_id, r.source, r.language, r.topic, n_tokens, weight, probability,
+  ('0x' || substr(md5('mix:' || doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < probability AS sampled
+FROM rows r JOIN rates c ON r.source IS NOT DISTINCT FROM c.source AND r.language IS NOT DISTINCT FROM c.language AND r.topic = c.topic"""
