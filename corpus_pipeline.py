@@ -1,10 +1,28 @@
-"""The corpus pipeline: stages over documents, each written and read again before the next."""
+"""The corpus pipeline: five stages over documents, each written and read again before the next.
+
+Documents have an id of their own each; the stages keep the columns of ``documents`` and the last one gives pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pricewright.llm.language import fit_language, identify
+from pricewright.llm.mixing import mix
 from pricewright.llm.near_dup import near_duplicates
+from pricewright.llm.packing import pack, read_vocabulary
+from pricewright.llm.substring import removal
+from pricewright.session import materialise
+
+_OTHERS = ["doc_id", "source", "n_chars"]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language is too uncertain, go; the others get the language found."""
+    model = fit_language(docs)
+    found = identify(docs, model, F.struct(*_OTHERS), with_text=True).where("NOT rejected")
+    return found.select("key.doc_id", "text", F.col("lang_pred").alias("lang"), "key.source", "key.n_chars")
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,13 +31,33 @@ def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, "doc_id", "left_semi")
 
 
-STAGES = [("near_dup", near_dup)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Windows of 50 words that an earlier document has too are cut; a document of which no word is left goes."""
+    rest = removal(docs, width=50, carry=["lang", "source"])
+    left = F.col("n_words") - F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0), lambda x, y: x + y)
+    return rest.where(left > 0).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn so that expected tokens meet tempered shares of sources, languages and genres."""
+    drawn = mix(docs).where("sampled").select("doc_id")
+    return docs.join(drawn, "doc_id", "left_semi")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 1,024 tokens, filled with lexical neighbours; one row per piece."""
+    import public_tokenizers
+
+    return pack(docs, read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.PATTERN)
+
+
+STAGES = [("language_id", language_id), ("near_dup", near_dup), ("substring_dedup", substring_dedup), ("mixing", mixing), ("packing", packing)]
+
+#: Language identification, packing and tokens have no SQL; tests/llm compares the stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pricewright.session import materialise
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")

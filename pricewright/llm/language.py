@@ -167,8 +167,8 @@ def fit_language(docs: DataFrame, text_col: str = "text", label_col: str = "lang
     return train([bytes(r["t"]) for r in found], [r["l"] for r in found])
 
 
-def identify(docs: DataFrame, model: LanguageModel, key: Column, text_col: str = "text") -> DataFrame:
-    """key, lang_pred, score, rejected for every row of ``docs``; ``key`` is any column or struct to carry along.
+def identify(docs: DataFrame, model: LanguageModel, key: Column, text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """key, lang_pred, score, rejected, and the text if asked for, for every row of ``docs``; ``key`` is any column or struct to carry along.
 
     ``und`` with score 0 where the text is null or has no letter; otherwise the likeliest label and its calibrated
     probability, rejected if that is below the model's threshold.  A model without labels answers ``und`` always.
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: Column, text_col: str =
         best, score = chance.argmax(axis=1), np.where(known, chance.max(axis=1), 0.0)
         return {
             "key": part.column(0), "lang_pred": pa.array([model.labels[b] if k else "und" for b, k in zip(best, known)], pa.string()),
-            "score": score, "rejected": ~known | (score < model.threshold)}
+            "score": score, "rejected": ~known | (score < model.threshold), "text": part.column(2).cast(pa.string())}
 
     kind = rows.schema["key"].dataType.simpleString()
-    return map_slices(rows, text_col, f"key {kind}, lang_pred string, score double, rejected boolean", run, SLICE)
+    return map_slices(rows, text_col, f"key {kind}, lang_pred string, score double, rejected boolean" + ", text string" * with_text, run, SLICE)

@@ -85,8 +85,10 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | Non
     """
     words = count_words(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(language_col).alias("language"),
-                       F.col(text_col).alias("text"), words.alias("n_tokens"))
-    rows = materialise(rows.select("id", "source", "language", (genre(F.col("text"), F.col("n_tokens")) if topic is None else topic).alias("topic"), "n_tokens"), "mix-tokens")
+                       F.col(text_col).alias("text"), words.alias("n_tokens"), (F.lit(None) if topic is None else topic).alias("topic"))
+    if topic is None:
+        rows = rows.withColumn("topic", genre(F.col("text"), F.col("n_tokens")))
+    rows = materialise(rows.drop("text"), "mix-tokens")
     cells = rake(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), targets, rounds, temper)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     if budget is None:

@@ -49,33 +49,33 @@ def _windows(words: list[list[bytes]], width: int):
     return rolling(codes, width)[starts] if len(starts) else np.empty(0, np.uint64), starts, ends
 
 
-def in_batches(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int) -> tuple[DataFrame, int, int]:
-    """batch, id, text; the number of batches with ids; bytes of text. Rows without an id come in later batches."""
+def in_batches(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int, carry: list[str]) -> tuple[DataFrame, int, int]:
+    """batch, id, text, carry (a struct); the number of batches with ids; bytes of text. Rows without an id come in later batches."""
     size, = docs.agg(F.sum(F.octet_length(text_col))).first()
     count = max(1, math.ceil((size or 0) / batch_bytes))
     bounds = docs.select(F.col(id_col).cast("double").alias("x")).approxQuantile("x", [k / count for k in range(1, count)], 0.25 / count) if count > 1 else []
     bounds = sorted({b for b in bounds})
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text")).withColumn("x", F.col("id").cast("double"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"), F.struct(*[F.col(c) for c in carry] or [F.lit(None).cast("int").alias("none")]).alias("carry")).withColumn("x", F.col("id").cast("double"))
     if bounds:
         rows = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="x", outputCol="place", handleInvalid="keep").transform(rows)
     else:
         rows = rows.withColumn("place", F.lit(0))
     real = len(bounds) + 1
     batch = F.when(F.col("id").isNull(), real + F.pmod(F.xxhash64("text"), F.lit(real))).otherwise(F.col("place")).cast("int")
-    return rows.select(batch.alias("batch"), "id", "text"), real, size or 0
+    return rows.select(batch.alias("batch"), "id", "text", "carry"), real, size or 0
 
 
 def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, separator: str | None = None,
-            batch_bytes: int = BATCH_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
+            carry: list[str] | None = None, batch_bytes: int = BATCH_BYTES, range_windows: int = RANGE_WINDOWS) -> DataFrame:
     """One row per document: id, n_words, starts, ends (removed words, as intervals of word positions), text (the rest).
 
     A word goes if a window of ``width`` consecutive words covers it whose words, in that order, also start in a
     document with a smaller id.  Windows are judged on the input.  Without ``separator`` the rest keeps its own white
     space; with it, the kept words are joined by it.  Null, empty and short texts have no window; a null text stays
     null unless joined, then it is empty.  Rows without an id count as later than all others and not as earlier than
-    each other; rows of one id do not remove each other's words.  Other columns are ignored.
+    each other; rows of one id do not remove each other's words.  Columns named in ``carry`` come along, others do not.
     """
-    rows, real, size = in_batches(docs, id_col, text_col, batch_bytes)
+    rows, real, size = in_batches(docs, id_col, text_col, batch_bytes, carry or [])
     bits = max(0, math.ceil(math.log2(max(1, size / 6 / range_windows))))
 
     def send(group: pa.Table) -> pa.Table:
@@ -150,10 +150,11 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         return pa.table({
             "id": group.column("id"), "n_words": pa.array(np.diff(ends), pa.int64()),
             "starts": pa.array(begins, pa.list_(pa.int32())), "ends": pa.array(stops, pa.list_(pa.int32())),
-            "text": pa.array(rest, pa.binary()).cast(pa.string())})
+            "text": pa.array(rest, pa.binary()).cast(pa.string()), "carry": group.column("carry")})
 
     sent = rows.groupBy("batch").applyInArrow(send, "span int, batch int, hashes binary")
     answers = sent.groupBy("span").applyInArrow(answer, "batch int, hashes binary")
     out = rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        cut, "id long, n_words long, starts array<int>, ends array<int>, text string")
-    return out.select(F.col("id").alias(id_col), "n_words", "starts", "ends", F.col("text").alias(text_col))
+        cut, "id long, n_words long, starts array<int>, ends array<int>, text string, carry " + rows.schema["carry"].dataType.simpleString())
+    return out.select(F.col("id").alias(id_col), "n_words", "starts", "ends", F.col("text").alias(text_col),
+                      *[F.col("carry").getField(c).alias(c) for c in carry or []])
