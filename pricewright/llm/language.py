@@ -41,7 +41,7 @@ def subwords(texts: list[bytes | None]) -> tuple[list[np.ndarray], list[np.ndarr
     space, letter = _SPACE[raw], _LETTERS[raw]
     buckets, owners, counts = [], [], np.zeros(len(texts), np.int64)
     for size in (2, 3, 4):
-        n = len(raw) - size + 1
+        n = max(0, len(raw) - size + 1)
         code, inner, word = np.zeros(n, np.uint32), np.zeros(n, bool), np.zeros(n, bool)
         for k in range(size):
             code = (code << np.uint32(8)) | low[k:k + n]

@@ -207,10 +207,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Words are lower-cased in A-Z only.  A set holds the distinct ``width``-word shingles of the whole text; a text
     with fewer words is one shingle.  Documents are linked when 100 * intersection >= ``percent`` * union.  Null or
-    blank texts have an empty set, link with nothing and stay.  Repeated ids are one document per text and are
-    linked like others; rows without an id are left out, as nothing can point at them.  Other columns are ignored.
+    blank texts have an empty set, link with nothing and stay.  Rows with one id are one document, with the greatest of
+    their texts; rows without an id are left out, as nothing can point at them.  Other columns are ignored.  An empty
+    table gives an empty result.
     """
-    clean = docs.where(F.col(id_col).isNotNull())
+    clean = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
+    if clean.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        clean = materialise(clean.groupBy(id_col).agg(F.max(text_col).alias(text_col)), "near-documents")
     table = materialise(features(clean, id_col, text_col, width), "near-features")
     classes = materialise(
         table.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
@@ -220,7 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialise(rows.join(shared.select("key", "hub"), "key"), "near-members")
     wanted = members.select("id").distinct()
     texts = clean.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
-    sized = texts.join(wanted, "id").groupBy("id").agg(F.max("text").alias("text")) if _repeats(clean, id_col) else texts.join(wanted, "id", "left_semi")
+    sized = texts.join(wanted, "id", "left_semi")
 
     star = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = materialise(verify(star, sized, width, percent), "near-links")
@@ -241,7 +244,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce("component", "class_id", "id").alias("component_id"),
         (F.col("id") == F.coalesce("component", "class_id", "id")).alias("kept"),
         F.coalesce("class_id", "id").alias("class_id"))
-
-
-def _repeats(docs: DataFrame, id_col: str) -> bool:
-    return docs.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0

@@ -61,6 +61,7 @@ def encode(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     owner[at] = passage
     owner = np.maximum.accumulate(owner)
     cell = owner[:-1] * (CLASSES * CLASSES) + kind[:-1].astype(np.int64) * CLASSES + kind[1:]
+    cell = np.delete(cell, begins[1:-1] - 1)  # a text's last byte and the first of the next
     pairs = np.bincount(cell, minlength=total * CLASSES * CLASSES).reshape(total, -1).astype(np.float64)
     size = np.maximum(pairs.sum(axis=1), 1)
     out = np.zeros((total, WIDTH), np.float32)
