@@ -7,15 +7,16 @@ the SQL twins add RE2's.
 from __future__ import annotations
 
 # --- fixed values: field patterns of the raw catalog text ("labelled" extraction) ---
-ITEM_NAME_SHORT = r"Item Name:\s*([^\n]{0,200})"
+ITEM_NAME_OR_EMPTY = r"Item Name:\s*([^\n]*)"
 VALUE = r"Value:\s*([\d.]+)"
 PACK_OR_COUNT = r"(?:Pack|Count)[:\s]*(\d+)"
 BULLET_OR_DESCRIPTION = r"(?:Bullet Point|Description).*?:\s*([^\n]+)"
-LABELLED_TEXT_CHARS = 2000
-LABELLED_DESCRIPTIONS = 5
-LABELLED_COMBINED_CHARS = 1000
 CLEAN_TEXT_CHARS = 500
-SENTIMENT_NAME_CHARS = 200
+
+# --- fixed values: cuts of a small trial, to be asked for by name; the library reads whole texts without them ---
+TRIAL_CUTS = {"max_chars": 2000, "max_name_chars": 200, "max_parts": 5}
+TRIAL_COMBINED_CHARS = 1000
+TRIAL_SENTIMENT_CHARS = 200
 
 # --- fixed values: field patterns of the detailed extraction ---
 ITEM_NAME = r"Item Name:\s*([^\n]+)"

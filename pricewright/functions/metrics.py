@@ -29,7 +29,7 @@ def r2(y: Column, p: Column) -> Column:
     residual = F.sum((y - p) * (y - p))
     total = F.var_pop(y) * F.count(y)
     flat = F.when(residual == 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    return F.when(total == 0, flat).otherwise(1 - F.try_divide(residual, total))
+    return F.when(F.min(y) == F.max(y), flat).otherwise(1 - F.try_divide(residual, total))
 
 
 def mape(y: Column, p: Column) -> Column:

@@ -6,10 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
-
-
 def is_missing(value: Column) -> Column:
     return value.isNull().cast("int")
 

@@ -57,14 +57,19 @@ def text_length(text: Column) -> Column:
     return F.length(or_empty(text))
 
 
-# ---- fields of the labelled extraction: raw text, its first 2,000 characters ----
+def first_chars(text: Column, most: int | None) -> Column:
+    """The text, or its first ``most`` characters."""
+    return text if most is None else F.substring(text, 1, most)
 
-def labelled_window(content: Column) -> Column:
-    return F.substring(or_empty(content), 1, fixed.LABELLED_TEXT_CHARS)
 
+# ---- fields of the labelled extraction: raw text ----
 
-def labelled_item_name(window: Column) -> Column:
-    return strip(_find(window, fixed.ITEM_NAME_SHORT))
+def labelled_window(content: Column, max_chars: int | None = None) -> Column:
+    return first_chars(or_empty(content), max_chars)
+
+
+def labelled_item_name(window: Column, max_chars: int | None = None) -> Column:
+    return strip(first_chars(_find(window, fixed.ITEM_NAME_OR_EMPTY), max_chars))
 
 
 def labelled_value(window: Column) -> Column:
@@ -75,9 +80,9 @@ def labelled_pack_count(window: Column) -> Column:
     return F.coalesce(_find(window, fixed.PACK_OR_COUNT).try_cast("bigint"), F.lit(1).cast("bigint"))
 
 
-def labelled_description(window: Column) -> Column:
+def labelled_description(window: Column, max_parts: int | None = None) -> Column:
     parts = _find_all(window, fixed.BULLET_OR_DESCRIPTION)
-    return F.array_join(F.slice(parts, 1, fixed.LABELLED_DESCRIPTIONS), " ")
+    return F.array_join(parts if max_parts is None else F.slice(parts, 1, max_parts), " ")
 
 
 # ---- fields of the detailed extraction: whole text ----
@@ -129,10 +134,6 @@ def detect_categories(content: Column) -> Column:
     return F.filter(found, lambda name: name.isNotNull())
 
 
-def category_flag(categories: Column, category: str) -> Column:
-    return F.array_contains(categories, category).cast("int")
-
-
 def image_link_valid(link: Column) -> Column:
     return F.coalesce(F.startswith(link, F.lit("http")), F.lit(False)).cast("int")
 
@@ -142,9 +143,9 @@ def image_url_length(link: Column) -> Column:
     return F.length(F.coalesce(link, F.lit("nan")))
 
 
-def combine_labelled(item_name: Column, description: Column) -> Column:
-    both = F.concat_ws(" ", or_empty(item_name), or_empty(description))
-    return F.substring(both, 1, fixed.LABELLED_COMBINED_CHARS)
+def combine_labelled(*fields: Column, max_chars: int | None = None) -> Column:
+    """Fields joined by a space, a missing one as empty."""
+    return first_chars(F.concat_ws(" ", *[or_empty(f) for f in fields]), max_chars)
 
 
 def combine_detailed(*fields: Column) -> Column:
@@ -205,7 +206,8 @@ def sentiment(words: Column, lexicon: dict[str, tuple[float, float]], which: str
     """
     part = {"polarity": 0, "subjectivity": 1}[which]
     table = F.create_map(*[F.lit(x) for word, score in lexicon.items() for x in (word, score[part])])
-    hits = F.filter(F.transform(words, lambda w: F.try_element_at(table, w)), lambda s: s.isNotNull())
+    known = F.filter(words, lambda w: w.isin(*lexicon))  # a hash lookup, so the map is scanned for hits only
+    hits = F.transform(known, lambda w: F.try_element_at(table, w))
 
     def mean(scores: Column) -> Column:
         total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s)

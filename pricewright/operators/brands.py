@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright import fixed
@@ -16,13 +16,10 @@ from pricewright.session import materialise
 UNKNOWN = "unknown"
 
 
-def _row_key(df: DataFrame) -> Column | None:
-    return F.col("sample_id") if "sample_id" in df.columns else None
-
-
 def brand_stats(df: DataFrame, brand: str = "brand", price: str = "price") -> DataFrame:
     """Mean, median, sample std (0 for a single row) and count of the price of each brand."""
     named = df.select(F.coalesce(F.col(brand), F.lit(UNKNOWN)).alias("brand"), F.nanvl(F.col(price), F.lit(None)).alias("price"))
+    named = materialise(named, "brand-prices")  # two narrow columns, read once for the sums and twice for the medians
     sums = named.groupBy("brand").agg(
         F.avg("price").alias("brand_mean"),
         F.coalesce(F.stddev_samp("price"), F.lit(0.0)).alias("brand_std"),
@@ -55,7 +52,7 @@ class BrandStats:
             if "price" in df.columns:
                 default_price = df.agg(F.avg(F.nanvl("price", F.lit(None)))).first()[0]
         df = df.withColumn("brand", F.coalesce("brand", F.lit(UNKNOWN)))
-        joined = attach(df, self.table.drop("brand_std"), "brand", _row_key(df), dim_bytes=self.size_bytes)
+        joined = attach(df, self.table.drop("brand_std"), "brand", dim_bytes=self.size_bytes)
         default = F.lit(default_price).cast("double")
         joined = joined.withColumns({
             "brand_mean": F.coalesce("brand_mean", default),
@@ -80,7 +77,7 @@ def brand_frequency(df: DataFrame, brand: str = "brand") -> DataFrame:
 def add_brand_frequency(df: DataFrame, fitted_on: DataFrame | None = None) -> DataFrame:
     """Rows of ``fitted_on`` (default: this frame) with the same brand; 0 for a missing brand."""
     table = materialise(brand_frequency(df if fitted_on is None else fitted_on).where("brand IS NOT NULL"), "brand-frequency")
-    joined = attach(df, table, "brand", _row_key(df))
+    joined = attach(df, table, "brand")
     return joined.withColumn("brand_frequency", F.coalesce("brand_frequency", F.lit(0)))
 
 
@@ -104,7 +101,7 @@ class BrandCodes:
         """Adds ``brand_encoded``; an unseen brand gets the code of 'unknown'."""
         named = df.withColumn("brand_filled", F.coalesce("brand", F.lit(UNKNOWN)))
         codes = self.table.select(F.col("brand").alias("brand_filled"), "brand_code")
-        joined = attach(named, codes, "brand_filled", _row_key(df), dim_bytes=self.size_bytes)
+        joined = attach(named, codes, "brand_filled", dim_bytes=self.size_bytes)
         seen = F.col("brand_code").isNotNull()
         return joined.withColumns({
             "brand_filled": F.when(seen, F.col("brand_filled")).otherwise(F.lit(UNKNOWN)),
@@ -141,6 +138,6 @@ def out_of_fold_brand_mean(df: DataFrame, fold: str = "fold") -> DataFrame:
     )
     named = df.withColumn("brand", F.coalesce("brand", F.lit(UNKNOWN)))
     named = named.withColumn("_cell", F.concat_ws("\u0001", F.col(fold).cast("string"), "brand"))
-    joined = attach(named, materialise(means, "brand-fold-means"), "_cell", _row_key(df))
+    joined = attach(named, materialise(means, "brand-fold-means"), "_cell")
     out = joined.withColumn("oof_mean", level[F.col(fold)])
     return out.withColumn("oof_brand_mean", F.coalesce("_mean", "oof_mean")).drop("_mean", "_cell")

@@ -58,8 +58,8 @@ def detailed_value_features(df: DataFrame, medians: dict[str, float] | None = No
     return out.withColumns({f"{c}_log": N.log1p_floor0(F.col(c)) for c in present})
 
 
-def labelled_sentiment(df: DataFrame, lexicon: dict = fixed.SENTIMENT_LEXICON) -> DataFrame:
-    name = F.substring(X.or_empty(F.col("item_name")), 1, fixed.SENTIMENT_NAME_CHARS)
+def labelled_sentiment(df: DataFrame, lexicon: dict = fixed.SENTIMENT_LEXICON, max_chars: int | None = None) -> DataFrame:
+    name = X.first_chars(X.or_empty(F.col("item_name")), max_chars)
     return df.withColumn("sentiment", X.sentiment(X.tokens(name), lexicon))
 
 
@@ -71,14 +71,14 @@ def detailed_sentiment(df: DataFrame, lexicon: dict = fixed.SENTIMENT_LEXICON, c
     })
 
 
-def add_combined_text(df: DataFrame, detailed: bool, column: str = "combined_text") -> DataFrame:
-    """The text the vectoriser reads; fields that are absent count as missing."""
+def add_combined_text(df: DataFrame, detailed: bool, column: str = "combined_text", max_chars: int | None = None) -> DataFrame:
+    """The text the vectoriser reads, whole unless cut; fields that are absent count as missing."""
     present = [F.col(c) for c in (DETAILED_TEXTS if detailed else LABELLED_TEXTS) if c in df.columns]
     if detailed:
         text = X.combine_detailed(*present) if present else F.lit("")
     else:
-        text = F.substring(F.concat_ws(" ", *[X.or_empty(c) for c in present]), 1, fixed.LABELLED_COMBINED_CHARS)
-    return df.withColumn(column, text)
+        text = X.combine_labelled(*present)
+    return df.withColumn(column, X.first_chars(text, max_chars))
 
 
 # ---- shape of a feature frame ----

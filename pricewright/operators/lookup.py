@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricewright.session import materialise
+
 BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 1e-3  # a key above this share of the rows is hot, so there are at most 1,000 hot keys
-SALTS = 512
 
 
 def table_bytes(dim: DataFrame, key: str) -> int:
@@ -16,9 +16,9 @@ def table_bytes(dim: DataFrame, key: str) -> int:
     return int(row["n"]) * 16 * len(dim.columns) + int(row["k"] or 0)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys with more than ``share`` of all rows: at most 1 / share of them, whatever the data."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = materialise(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
     total = counts.agg(F.sum("_rows")).first()[0] or 0
     return counts.where((F.col("_rows") > share * total) & F.col(key).isNotNull()).select(key)
 
@@ -27,35 +27,27 @@ def attach(
     df: DataFrame,
     dim: DataFrame,
     key: str,
-    spread_by: Column | None = None,
     limit_bytes: int = BROADCAST_BYTES,
-    share: float = HOT_SHARE,
+    share: float | None = None,
     dim_bytes: int | None = None,
 ) -> DataFrame:
     """Left equi-join of a dimension with one row per key.
 
-    A dimension below ``limit_bytes`` is broadcast.  A larger one is shuffled, and then only its rows for
-    hot keys, a bounded number, are broadcast; rows with a hot key take part in the shuffle under a
-    salted NULL key, so that no task receives a whole hot key.
+    A dimension below ``limit_bytes`` is broadcast.  A larger one is joined in two parts.  Rows with a hot key get
+    their values by a broadcast of the hot keys only, a bounded number, and rows without a key get none; neither is
+    shuffled.  The rest, where no key has more than ``share`` of the rows, is shuffled by key.  By default that is
+    the share of one shuffle partition, so no task gets more than about twice its part.
     """
     values = [c for c in dim.columns if c != key]
     size = table_bytes(dim, key) if dim_bytes is None else dim_bytes
+    order = [key, *[c for c in df.columns if c != key], *values]
     if size <= limit_bytes:
-        return df.join(F.broadcast(dim), key, "left")
-
-    hot = hot_keys(df, key, share)
-    hot_dim = hot.join(dim, key, "left").select(
-        F.col(key), F.lit(True).alias("_hot"), F.struct(*values).alias("_hot_values")
-    )
-    tagged = df.join(F.broadcast(hot_dim), key, "left")
-    salt = F.pmod(F.xxhash64(spread_by if spread_by is not None else F.struct(*df.columns)), F.lit(SALTS))
-    loose = F.col("_hot").isNotNull() | F.col(key).isNull()  # these rows need nothing from the shuffle
-    tagged = tagged.withColumn("_key", F.when(~loose, F.col(key))).withColumn(
-        "_salt", F.when(loose, salt).otherwise(F.lit(0))
-    )
-    cold_dim = dim.select(F.col(key).alias("_key"), F.lit(0).cast("bigint").alias("_salt"), F.struct(*values).alias("_cold_values"))
-    joined = tagged.join(cold_dim, ["_key", "_salt"], "left")
-    picked = [
-        F.when(F.col("_hot"), F.col(f"_hot_values.{c}")).otherwise(F.col(f"_cold_values.{c}")).alias(c) for c in values
-    ]
-    return joined.select(key, *[c for c in df.columns if c != key], *picked)
+        return df.join(F.broadcast(dim), key, "left").select(order)
+
+    if share is None:
+        share = 1 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = materialise(hot_keys(df, key, share).join(dim, key, "left").withColumn("_hot", F.lit(True)), "hot-keys")
+    tagged = df.join(F.broadcast(hot), key, "left")
+    loose = tagged.where(F.col("_hot").isNotNull() | F.col(key).isNull()).select(order)
+    rest = df.where(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti").join(dim, key, "left").select(order)
+    return loose.unionByName(rest)

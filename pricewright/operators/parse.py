@@ -9,10 +9,13 @@ from pricewright import fixed
 from pricewright.functions import text as T
 
 
-def parse_labelled(df: DataFrame, content: str = "catalog_content") -> DataFrame:
-    """item_name, description, value, brand, pack_count of the labelled extraction.
+def parse_labelled(
+    df: DataFrame, content: str = "catalog_content", max_chars: int | None = None, max_name_chars: int | None = None, max_parts: int | None = None
+) -> DataFrame:
+    """item_name, description, value, brand, pack_count of the labelled extraction, from the whole text.
 
-    A frame without the content column gets the defaults of an empty text.
+    For trials, ``max_chars`` reads the beginning of a text only, ``max_name_chars`` cuts the item name and
+    ``max_parts`` keeps the first parts of the description (``fixed.TRIAL_CUTS``).  A frame without the content column gets the defaults of an empty text.
     """
     if content not in df.columns:
         missing = {
@@ -20,11 +23,11 @@ def parse_labelled(df: DataFrame, content: str = "catalog_content") -> DataFrame
             "brand": F.lit(""), "pack_count": F.lit(1).cast("bigint"),
         }
         return df.withColumns({c: v for c, v in missing.items() if c not in df.columns})
-    window = T.labelled_window(F.col(content))
+    window = T.labelled_window(F.col(content), max_chars)
     return (
         df.withColumns({
-            "item_name": T.labelled_item_name(window),
-            "description": T.labelled_description(window),
+            "item_name": T.labelled_item_name(window, max_name_chars),
+            "description": T.labelled_description(window, max_parts),
             "value": T.labelled_value(window),
             "pack_count": T.labelled_pack_count(window),
         })

@@ -23,7 +23,6 @@ from pricewright.session import materialise
 _STEPS = 1024  # first digit: steps per octave
 _SUBSTEPS = 1 << 20  # second digit: parts of one step
 _OFFSET = 1100 * _STEPS  # above the smallest exponent of a double
-_SALTS = 16
 BROADCAST_STEPS = 200_000  # rows of three numbers, a group key and a short array: some 30 MB
 
 
@@ -58,9 +57,8 @@ def _join_steps(rows: DataFrame, steps: DataFrame, grouped: bool) -> DataFrame:
     steps = materialise(steps, "quantile-steps")
     if steps.count() <= BROADCAST_STEPS:
         return rows.join(F.broadcast(steps), on)
-    salt = F.coalesce(F.pmod(F.xxhash64("_value"), F.lit(_SALTS)).cast("int"), F.lit(0))
-    spread = steps.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(_SALTS)])))
-    return rows.withColumn("_salt", salt).join(spread, [*on, "_salt"])
+    counted = rows.groupBy(*on, "_value").agg(F.sum("_weight").alias("_weight"))  # a value of a hot group is one row a task
+    return counted.join(steps, on)
 
 
 def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None) -> DataFrame:
@@ -76,7 +74,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
         df.select(group.alias("_group"), F.col(value).cast("double").alias("_value"))
         .where(F.col("_value").isNotNull() & ~F.isnan("_value"))
         .withColumn("_value", F.coalesce("_value", F.lit(0.0)))
-        .withColumn("_first", F.coalesce(_first_digit(F.col("_value")), F.lit(0)))
+        .withColumns({"_first": F.coalesce(_first_digit(F.col("_value")), F.lit(0)), "_weight": F.lit(1).cast("bigint")})
     )
 
     # Two wanted ranks per probability, in slots 2i and 2i + 1; the value lies between the two.
@@ -98,13 +96,12 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
     )
 
     # At most two rows per group and probability survive.  Without groups that is a fixed number; with
-    # groups their size is checked, and beyond the limit a step that holds very many rows is spread over
-    # several join keys.
+    # groups their size is checked, and beyond the limit equal values are counted before they meet the steps.
     inside = _join_steps(rows, steps, grouped=bool(by)).withColumn(
         "_second", F.coalesce(_second_digit(F.col("_value"), F.col("_first")), F.lit(0))
     )
     keys = ["_group", "_first", "_second"]
-    inside = inside.groupBy(*keys, "_value", "n", "_hits").agg(F.count(F.lit(1)).alias("_count"))
+    inside = inside.groupBy(*keys, "_value", "n", "_hits").agg(F.sum("_weight").alias("_count"))
     parts = (
         inside.groupBy(*keys, "_hits")
         .agg(F.sum("_count").alias("_count"))

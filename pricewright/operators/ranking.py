@@ -7,22 +7,17 @@ from pyspark.sql import functions as F
 
 from pricewright.session import materialise
 
-ONE_TASK_ROWS = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in the low 33 bits
 
 
-def number_sorted(distinct: DataFrame, column: str, code: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def number_sorted(distinct: DataFrame, column: str, code: str) -> DataFrame:
     """Add ``code``: the 0-based rank of each row by ``column``, whose values must be distinct.
 
-    A small set is numbered in one sort.  A larger one is range-partitioned and sorted, written once, and
-    a row's rank is the size of all earlier partitions plus its place in its own.
+    The set is range-partitioned and sorted, written once, and a row's rank is the size of all earlier
+    partitions plus its place in its own.
     """
-    distinct = materialise(distinct.select(column), "distinct")
-    if distinct.count() <= one_task_rows:
-        return distinct.withColumn(code, (F.row_number().over(Window.orderBy(column)) - 1).cast("bigint"))
-
     placed = materialise(
-        distinct.repartitionByRange(column).sortWithinPartitions(column).withColumn("_place", F.monotonically_increasing_id()),
+        distinct.select(column).repartitionByRange(column).sortWithinPartitions(column).withColumn("_place", F.monotonically_increasing_id()),
         "sorted",
     )
     part = F.shiftrightunsigned("_place", _ROW_BITS)

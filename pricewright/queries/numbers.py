@@ -9,10 +9,11 @@ from pricewright.functions import numeric as N
 from pricewright.operators import features as X
 from pricewright.operators.outliers import PriceBounds, describe, price_bounds
 from pricewright.operators.parse import parse_detailed, parse_labelled
-from pricewright.operators.validate import submission_stats, validate_submission
+from pricewright.operators.validate import submission_stats, validate_path, validate_submission
 from pricewright.queries import sql as Q
 from pricewright.queries.registry import query
-from pricewright.sources.submission import BLEND_LIMITS, STACK_LIMITS, submission
+from pricewright.session import new_table_path
+from pricewright.sources.submission import BLEND_LIMITS, STACK_LIMITS, submission, write_submission
 from pricewright.sources.tables import catalog, catalog_line, table
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -168,22 +169,46 @@ def price_describe(spark, sf):
     return rounded(d, ["count", *exact], ["mean", "std"], 4)
 
 
-@query("validate_submission", f"""
-WITH {Q.LINE}, sub AS (SELECT l_orderkey AS sample_id, CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 4 THEN 'nan'::DOUBLE
-    ELSE price - 100 END AS price FROM line),
-n AS (SELECT count(*) FILTER (NOT coalesce(price > 0 AND NOT isnan(price), false)) AS not_positive,
-    count(*) FILTER (price IS NULL) + count(*) FILTER (sample_id IS NULL) AS missing,
-    count(sample_id) - count(DISTINCT sample_id) AS duplicates FROM sub)
+_CHECKS = """
 SELECT c AS check, v = 0 AS passed, CAST(v AS BIGINT) AS violations FROM (
-  SELECT 'correct_columns' AS c, 0 AS v FROM n UNION ALL SELECT 'price_numeric', 0 FROM n
+  SELECT 'correct_columns' AS c, {columns} AS v FROM n UNION ALL SELECT 'price_numeric', not_numeric FROM n
   UNION ALL SELECT 'prices_positive', not_positive FROM n UNION ALL SELECT 'no_missing_values', missing FROM n
-  UNION ALL SELECT 'no_duplicate_ids', duplicates FROM n)""")
+  UNION ALL SELECT 'no_duplicate_ids', duplicates FROM n)"""
+_FAULTY = """sub AS (SELECT l_orderkey AS sample_id, CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 4 THEN 'nan'::DOUBLE
+    ELSE price - 100 END AS price FROM line),
+n AS (SELECT 0 AS not_numeric, count(*) FILTER (NOT coalesce(price > 0 AND NOT isnan(price), false)) AS not_positive,
+    count(*) FILTER (price IS NULL OR isnan(price)) + count(*) FILTER (sample_id IS NULL) AS missing,
+    count(sample_id) - count(DISTINCT sample_id) AS duplicates FROM sub)"""
+
+
+@query("validate_submission", f"WITH {Q.LINE}, {_FAULTY} {_CHECKS.format(columns=0)}")
 def validate(spark, sf):
     """A faulty submission: repeated ids, missing, NaN and negative prices."""
     price = F.when(F.col("l_linenumber") == 4, float("nan")).when(F.col("l_linenumber") != 3, F.col("price") - 100)
     return validate_submission(catalog_line(spark, sf).select(F.col("l_orderkey").alias("sample_id"), price.alias("price")))
 
 
+@query("validate_good_submission", f"""
+WITH {Q.CATALOG}, n AS (SELECT 0 AS not_numeric, 0 AS not_positive, 0 AS missing, count(sample_id) - count(DISTINCT sample_id) AS duplicates FROM catalog)
+SELECT 'file_exists' AS check, true AS passed, CAST(0 AS BIGINT) AS violations UNION ALL {_CHECKS.format(columns=0)}""")
+def validate_good(spark, sf):
+    """A submission written to a file and checked there: all checks pass."""
+    rows = submission(catalog(spark, sf).withColumn("prediction", F.coalesce("price", F.lit(1.0))), BLEND_LIMITS)
+    return validate_path(spark, write_submission(rows, new_table_path(spark, "submission")))
+
+
+@query("validate_swapped_submission", f"""
+WITH {Q.CATALOG}, n AS (SELECT count(*) FILTER (sample_id % 3 = 0) AS not_numeric,
+  count(*) FILTER (sample_id % 3 = 0 OR coalesce(price, 0) <= 0) AS not_positive, count(*) FILTER (sample_id % 3 <> 0 AND price IS NULL) AS missing, 0 AS duplicates FROM catalog)
+SELECT 'file_exists' AS check, true AS passed, CAST(0 AS BIGINT) AS violations UNION ALL {_CHECKS.format(columns=1)}""")
+def validate_swapped(spark, sf):
+    """A file with the columns the wrong way round and some prices that are no numbers."""
+    price = F.when(F.col("sample_id") % 3 == 0, "n/a").otherwise(F.col("price").cast("string"))
+    path = new_table_path(spark, "submission")
+    catalog(spark, sf).select(price.alias("price"), F.col("sample_id").cast("string").alias("sample_id")).write.option("header", True).csv(path)
+    return validate_path(spark, path)
+
+
 @query("submission_stats", f"""
 WITH {Q.LINE} SELECT count(*) AS count, round(avg(price), 4) AS mean_price, round(min(price), 8) AS min_price, round(max(price), 8) AS max_price FROM line""")
 def stats(spark, sf):

@@ -44,12 +44,12 @@ def fold(x: str, k: int, seed: str = "") -> str:
 
 
 # Fields of the labelled extraction over the catalog.
-WINDOW = f"substr(coalesce(catalog_content, ''), 1, {fixed.LABELLED_TEXT_CHARS})"
+WINDOW = "coalesce(catalog_content, '')"
 LABELLED = f"""{CATALOG},
 labelled AS (
   SELECT sample_id, price, image_link,
-    {strip(find(WINDOW, fixed.ITEM_NAME_SHORT))} AS item_name,
-    array_to_string(list_slice({find_all(WINDOW, fixed.BULLET_OR_DESCRIPTION)}, 1, {fixed.LABELLED_DESCRIPTIONS}), ' ') AS description,
+    {strip(find(WINDOW, fixed.ITEM_NAME_OR_EMPTY))} AS item_name,
+    array_to_string({find_all(WINDOW, fixed.BULLET_OR_DESCRIPTION)}, ' ') AS description,
     TRY_CAST({find(WINDOW, fixed.VALUE, 1, False)} AS DOUBLE) AS value,
     coalesce(TRY_CAST({find(WINDOW, fixed.PACK_OR_COUNT)} AS BIGINT), 1) AS pack_count
   FROM catalog
@@ -97,7 +97,7 @@ def metrics(y: str, p: str, digits: int = 4) -> str:
         "smape": f"coalesce(avg(abs({y} - {p}) / CASE WHEN {half} = 0 THEN 1e-8 ELSE {half} END) * 100, 0)",
         "mae": f"avg(abs({y} - {p}))",
         "rmse": f"sqrt(avg(({y} - {p}) * ({y} - {p})))",
-        "r2": f"CASE WHEN var_pop({y}) = 0 THEN CASE WHEN sum(({y} - {p}) * ({y} - {p})) = 0 THEN 1 ELSE 0 END "
+        "r2": f"CASE WHEN min({y}) = max({y}) THEN CASE WHEN sum(({y} - {p}) * ({y} - {p})) = 0 THEN 1 ELSE 0 END "
               f"ELSE 1 - sum(({y} - {p}) * ({y} - {p})) / (var_pop({y}) * count({y})) END",
         "mape": f"avg(abs(({y} - {p}) / CASE WHEN {y} = 0 THEN 1e-8 ELSE {y} END)) * 100",
         "max_error": f"max(abs({y} - {p}))",

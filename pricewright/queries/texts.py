@@ -125,7 +125,7 @@ def catalog_defaults(spark, sf):
 @query("combine_text", f"""
 WITH {Q.LABELLED}, raw AS (SELECT sample_id, price, image_link, coalesce(catalog_content, '') AS content FROM catalog),
 {Q.detailed('raw', 'fields')}
-SELECT sample_id, substr(p.item_name || ' ' || p.description, 1, {fixed.LABELLED_COMBINED_CHARS}) AS labelled,
+SELECT sample_id, p.item_name || ' ' || p.description AS labelled,
   f.item_name || ' ' || f.bullet_points_text || ' ' || f.product_description AS detailed
 FROM parsed p JOIN fields f USING (sample_id)""")
 def combine_text(spark, sf):

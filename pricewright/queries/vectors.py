@@ -172,7 +172,7 @@ _LEXICON = "lexicon(word, polarity, subjectivity) AS (VALUES " + ", ".join(
 
 @query("sentiment", f"""
 WITH {Q.LABELLED}, {_LEXICON},
-words AS (SELECT sample_id, unnest(regexp_extract_all(lower(substr(item_name, 1, {fixed.SENTIMENT_NAME_CHARS})), '{fixed.TOKEN}')) AS word FROM parsed),
+words AS (SELECT sample_id, unnest(regexp_extract_all(lower(item_name), '{fixed.TOKEN}')) AS word FROM parsed),
 scored AS (SELECT sample_id, avg(polarity) AS s FROM words JOIN lexicon USING (word) GROUP BY sample_id)
 SELECT sample_id, round(coalesce(s, 0), 6) AS sentiment FROM parsed LEFT JOIN scored USING (sample_id)""")
 def sentiment(spark, sf):

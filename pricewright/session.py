@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings the session.
 
-    ``shared`` is the folder for written tables.  Small tables are still read in several splits.
+    ``shared`` is the folder for written tables.
     """
     builder = SparkSession.builder if shared is None else SparkSession.builder.config("spark.checkpoint.dir", shared)
     return (
@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.maxPartitionBytes", "8m")
+        .config("spark.sql.files.openCostInBytes", "256k")
         .getOrCreate()
     )
 
@@ -55,12 +57,3 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_table_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores, by a key without heavy hitters.
-
-    A table of many splits, which is any large one, is left alone: its rows are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -14,6 +14,7 @@ from pricewright.operators import quantiles
 from pricewright.operators.evaluate import inverse_error_weights
 from pricewright.operators.folds import add_fold
 from pricewright.operators.quantiles import column_medians, exact_quantiles
+from pricewright.operators.selection import f_regression
 from pricewright.operators.validate import is_valid, validate_submission
 
 PROBABILITIES = [0, 0.005, 0.25, 0.5, 0.75, 0.995, 1]
@@ -127,6 +128,29 @@ def test_validation(spark):
     assert is_valid(good)
     bad = spark.createDataFrame([(1, None), (1, -1.0), (2, float("nan")), (None, 4.0), (None, 1.0)], "sample_id bigint, price double")
     got = {r["check"]: r["violations"] for r in validate_submission(bad).collect()}
-    assert got == {"correct_columns": 0, "price_numeric": 0, "prices_positive": 3, "no_missing_values": 3, "no_duplicate_ids": 2}
+    assert got == {"correct_columns": 0, "price_numeric": 0, "prices_positive": 3, "no_missing_values": 4, "no_duplicate_ids": 2}
     assert not is_valid(good.select("price", "sample_id"))
     assert not is_valid(good.withColumn("price", F.lit("x")))
+
+
+def test_a_constant_is_told_however_it_is_split(spark):
+    """A variance merged from partitions may be a little above zero; the score of a constant is NULL all the same."""
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 3, 29, 196, 300):
+        rows = [(1.0, float(rng.normal()), 0.1 * k) for k in range(n)]
+        df = spark.createDataFrame(rows, "flat double, x double, y double")
+        for parts in (1, 3, 4, 7, 16):
+            split = df.repartition(parts)
+            got = {r["feature"]: r["score"] for r in f_regression(split, ["flat", "x"], "y").collect()}
+            assert got["flat"] is None
+            assert {r["score"] for r in f_regression(split, ["x"], "flat").collect()} == {None}
+            flat = split.agg(M.r2(F.col("flat"), F.col("x")).alias("r2"), M.r2(F.col("flat"), F.col("flat")).alias("same")).first()
+            assert flat["r2"] == 0.0 and flat["same"] == 1.0
+
+
+def test_f_score_counts_complete_pairs(spark):
+    rows = [(1.0, 2.0), (2.0, None), (None, 3.0), (4.0, 1.0), (float("nan"), 9.0), (5.0, 7.5), (6.0, 3.0)]
+    got = f_regression(spark.createDataFrame(rows, "x double, y double"), ["x"], "y").first()["score"]
+    x, y = np.array([[a, b] for a, b in rows if a is not None and b is not None and a == a]).T
+    r2 = np.corrcoef(x, y)[0, 1] ** 2
+    assert got == pytest.approx(r2 / (1 - r2) * (len(x) - 2))

@@ -3,9 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pricewright.operators import quantiles
 from pricewright.operators.brands import BrandCodes, BrandStats, add_brand_frequency
 from pricewright.operators.lookup import attach, hot_keys
 from pricewright.operators.ranking import number_sorted
+from pricewright.operators.validate import validate_path
+from pricewright.session import materialise
 from pricewright.sources.catalog import read_catalog, read_split, split_paths, unpriced_schema, write_catalog
 from pricewright.sources.submission import read_submission, write_submission
 
@@ -20,7 +23,7 @@ def skewed(spark):
 def test_large_dimension_joins_as_a_small_one(spark, skewed):
     dim = skewed.where("brand IS NOT NULL AND brand <> 'b13'").groupBy("brand").agg(F.count("*").alias("c"), F.max("price").alias("m"))
     small = attach(skewed, dim, "brand").select("sample_id", "brand", "c", "m")
-    large = attach(skewed, dim, "brand", F.col("sample_id"), limit_bytes=0, share=0.05).select("sample_id", "brand", "c", "m")
+    large = attach(skewed, dim, "brand", limit_bytes=0, share=0.05).select("sample_id", "brand", "c", "m")
     assert [r["brand"] for r in hot_keys(skewed, "brand", 0.05).collect()] == ["hot"]
     assert small.count() == large.count() == 5000
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
@@ -35,8 +38,8 @@ def test_hot_key_missing_from_the_dimension(spark, skewed):
 
 def test_numbering_over_partitions(spark):
     words = spark.range(3000).select(F.concat(F.lit("Wo"), F.col("id") * 7919 % 3001, F.lit("é")).alias("w"))
-    one = number_sorted(words, "w", "n")
-    many = number_sorted(words.repartition(6), "w", "n", one_task_rows=10)
+    one = number_sorted(words.coalesce(1), "w", "n")
+    many = number_sorted(words.repartition(6), "w", "n")
     assert one.exceptAll(many).isEmpty() and many.count() == 3000
     assert [r["w"] for r in many.orderBy("n").collect()] == sorted(r["w"] for r in words.collect())
 
@@ -78,7 +81,8 @@ def test_split_paths(spark, tmp_path):
     for name in ("Train_a.csv", "train_b.csv", "test.csv", "sample_test_out.csv", "train_test.csv.txt"):
         (tmp_path / name).write_text("sample_id\n1\n")
     found = split_paths(spark, str(tmp_path))
-    assert found["train"].endswith("/train_b.csv") and found["test"].endswith("/test.csv")
+    assert [p.rsplit("/", 1)[1] for p in found["train"]] == ["Train_a.csv", "train_b.csv"]
+    assert [p.rsplit("/", 1)[1] for p in found["test"]] == ["test.csv"]
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "train.csv").write_text("x\n")
     with pytest.raises(FileNotFoundError):
@@ -87,13 +91,53 @@ def test_split_paths(spark, tmp_path):
 
 def test_read_split(spark, tmp_path):
     (tmp_path / "train.csv").write_text('sample_id,catalog_content,image_link,price\n1,"a\nb",http://x,2.5\n2,"c ""d""",,NaN\n')
+    (tmp_path / "train_2.csv").write_text("sample_id,catalog_content,image_link,price\n4,d,,1\n")
+    (tmp_path / "train_3.csv").write_text("sample_id,catalog_content,image_link,price\n5,f,,2\n")
     (tmp_path / "test.csv").write_text("sample_id,catalog_content,image_link\n3,e,\n")
     train, test = read_split(spark, str(tmp_path))
-    assert [tuple(r) for r in train.orderBy("sample_id").collect()] == [(1, "a\nb", "http://x", 2.5), (2, 'c "d"', None, None)]
+    assert [tuple(r) for r in train.orderBy("sample_id").collect()] == [(1, "a\nb", "http://x", 2.5), (2, 'c "d"', None, None), (4, "d", None, 1.0), (5, "f", None, 2.0)]
     assert [tuple(r) for r in test.collect()] == [(3, "e", None)]
 
 
 def test_submission_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.5), (2, 3.0)], "sample_id bigint, price double")
     back = read_submission(spark, write_submission(df, str(tmp_path / "s"), single_file=True))
-    assert back.exceptAll(df).isEmpty() and back.columns == ["sample_id", "price"]
+    assert back.columns == ["sample_id", "price"]
+    assert back.selectExpr("cast(sample_id as bigint)", "cast(price as double)").exceptAll(df).isEmpty()
+
+
+def checks(rows):
+    return {r["check"]: r["violations"] for r in rows.collect()}
+
+
+def test_submission_checks_by_path(spark, tmp_path):
+    assert checks(validate_path(spark, str(tmp_path / "none"))) == {"file_exists": 1}
+    (tmp_path / "swapped.csv").write_text("price,id\n2.5,1\nabc,2\n")
+    assert checks(validate_path(spark, str(tmp_path / "swapped.csv"))) == {
+        "file_exists": 0, "correct_columns": 1, "price_numeric": 1, "prices_positive": 1, "no_missing_values": 0, "no_duplicate_ids": 0}
+    (tmp_path / "bad.csv").write_text("sample_id,price\n1,2.5\n1,NaN\n2,-1\n3,\n")
+    assert checks(validate_path(spark, str(tmp_path / "bad.csv"))) == {
+        "file_exists": 0, "correct_columns": 0, "price_numeric": 0, "prices_positive": 3, "no_missing_values": 2, "no_duplicate_ids": 1}
+
+
+def test_hot_rows_are_not_shuffled(spark):
+    """40 % of the rows share one brand and one price: no shuffle partition of the large way holds them."""
+    hot = F.when(F.col("id") % 5 < 2, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 400))
+    df = materialise(spark.range(20_000).select(hot.alias("brand"), F.when(F.col("id") % 5 < 2, 9.99).otherwise(F.col("id") * 0.01).alias("price")), "skewed")
+    dim = df.groupBy("brand").agg(F.count("*").alias("c"))
+    joined = attach(df, dim, "brand", limit_bytes=0, share=0.05)
+    rest = df.join(F.broadcast(hot_keys(df, "brand", 0.05)), "brand", "left_anti")
+    sizes = [r["n"] for r in rest.repartition(8, "brand").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
+    assert joined.where("brand = 'hot' AND c = 8000").count() == 8000 and joined.count() == 20_000
+
+
+def test_grouped_quantiles_with_a_hot_value(spark, monkeypatch):
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 5 < 2, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 7)).alias("brand"),
+        F.when(F.col("id") % 5 < 2, 9.99).otherwise(F.col("id") * 0.37 % 11).alias("price"))
+    want = {r["brand"]: r["m"] for r in rows.groupBy("brand").agg(F.expr("percentile(price, 0.5)").alias("m")).collect()}
+    for limit in (quantiles.BROADCAST_STEPS, 0):
+        monkeypatch.setattr(quantiles, "BROADCAST_STEPS", limit)
+        got = {r["brand"]: r["quantiles"][0] for r in quantiles.exact_quantiles(rows, "price", [0.5], by=["brand"]).collect()}
+        assert got == pytest.approx(want)

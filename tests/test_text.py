@@ -18,8 +18,8 @@ LABELLED = [  # id, content, item_name, brand, value, pack_count, description
     (4, "Value: .\nPack  9", "", "", None, 9, ""),
     (5, "", "", "", None, 1, ""),
     (6, None, "", "", None, 1, ""),
-    (7, "Item Name: " + "a" * 250, "a" * 200, "a" * 200, None, 1, ""),
-    (8, " " * 2000 + "Item Name: late", "", "", None, 1, ""),
+    (7, "Item Name: " + "a" * 250, "a" * 250, "a" * 250, None, 1, ""),
+    (8, "x" * 5000 + "\nItem Name: late one\nValue: 4.5\nCount: 12" + "\nBullet Point 1: p" * 7, "late one", "late", 4.5, 12, " ".join("p" * 7)),
 ]
 
 
@@ -31,6 +31,12 @@ def test_labelled_fields(spark):
         assert (r["item_name"], r["brand"], r["value"], r["pack_count"], r["description"]) == (name, brand, value, pack, description)
 
 
+def test_trial_cuts_are_asked_for(spark):
+    rows = spark.createDataFrame([(r[0], r[1]) for r in LABELLED], "sample_id bigint, catalog_content string")
+    got = {r["sample_id"]: r for r in parse_labelled(rows, **fixed.TRIAL_CUTS).collect()}
+    assert got[7]["item_name"] == "a" * 200 and got[8]["item_name"] == "" and got[8]["value"] is None
+
+
 def test_flat_mode_lets_a_field_run_to_the_end_of_the_text(spark):
     text = "Item Name: Acme Tea, Pack of 12\nBullet Point 1: good <b>taste</b>\nBullet Point 2: 5 KG bag\nvalue: 3\nUnit: Ounce"
     rows = spark.createDataFrame([(1, text, "http://x")], "sample_id bigint, catalog_content string, image_link string")
