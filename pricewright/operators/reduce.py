@@ -1,25 +1,28 @@
 """Truncated SVD and PCA of sparse rows through their Gram matrix.
 
-The Gram matrix of p columns has p x p numbers whatever the number of rows.  Each task adds up the
-matrix of its own rows; the partial matrices are summed row by row of the matrix, in parallel; the driver
-receives the p x p result only.  One pass over the data, where an iterative SVD makes many.
+The Gram matrix of p columns has p x p numbers whatever the number of rows.  MLlib adds it up from sparse rows in one
+pass, where an iterative SVD makes many; the driver receives the p x p result only and takes its eigenvectors.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-MAX_COLUMNS = 4096  # 128 MB of doubles per task
+from pricewright.session import new_table_path
+
+MAX_COLUMNS = 4096  # 128 MB of doubles on the driver, half of it in a task
+PARTIALS_A_CORE = 4
 _BATCH = 2048
-_BUCKETS = 256
-_BLOCKS = 64
 
 
 def _dense(indices: pd.Series, weights: pd.Series, width: int) -> np.ndarray:
@@ -31,49 +34,30 @@ def _dense(indices: pd.Series, weights: pd.Series, width: int) -> np.ndarray:
     return block
 
 
-def gram_rows(df: DataFrame, sparse: str, width: int) -> DataFrame:
-    """Rows (i, n, total, products) of the Gram matrix; ``total`` is the sum of column i.
+def as_vectors(df: DataFrame, sparse: str, width: int) -> DataFrame:
+    """One column ``vector`` from arrays of (idx, weight): written as the parts of a sparse vector, read as one."""
+    path = new_table_path(df.sparkSession, "vectors")
+    parts = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(width).alias("size"),
+                     F.col(sparse)["idx"].alias("indices"), F.col(sparse)["weight"].alias("values"))
+    df.select(parts.alias("vector")).write.parquet(path)
+    return df.sparkSession.read.schema(StructType([StructField("vector", VectorUDT())])).parquet(path)
+
+
+def gram(df: DataFrame, sparse: str, width: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, column sums, and the matrix of products of all pairs of columns.
 
-    The matrix travels in some 64 blocks of rows.  Partial matrices are added in two steps, first within
-    buckets of tasks, so that even a million tasks leave only some thousand blocks in a group.
+    Splits are merged into some per core, without a shuffle, so the partial matrices that travel depend on the cluster
+    and not on the number of files; Spark's tree aggregation adds them up.
     """
     if width > MAX_COLUMNS:
         raise ValueError(f"at most {MAX_COLUMNS} columns")
-    height = -(-width // _BLOCKS)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        products, total, n = np.zeros((width, width)), np.zeros(width), 0
-        for batch in batches:
-            for start in range(0, len(batch), _BATCH):
-                part = batch.iloc[start:start + _BATCH]
-                block = _dense(part["idx"], part["weight"], width)
-                products += block.T @ block
-                total += block.sum(axis=0)
-                n += len(part)
-        if n:
-            starts = list(range(0, width, height))
-            yield pd.DataFrame({
-                "bucket": TaskContext.get().partitionId() % _BUCKETS, "start": starts, "n": n,
-                "totals": [total[i:i + height] for i in starts],
-                "products": [products[i:i + height].ravel() for i in starts],
-            })
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({
-            "bucket": group["bucket"].iloc[:1], "start": group["start"].iloc[:1], "n": [group["n"].sum()],
-            "totals": [np.sum(np.stack(group["totals"].to_list()), axis=0)],
-            "products": [np.sum(np.stack(group["products"].to_list()), axis=0)],
-        })
-
-    schema = "bucket int, start int, n bigint, totals array<double>, products array<double>"
-    pairs = df.select(F.col(sparse)["idx"].alias("idx"), F.col(sparse)["weight"].alias("weight"))
-    by_bucket = pairs.mapInPandas(partial, schema).groupBy("bucket", "start").applyInPandas(add, schema)
-    blocks = by_bucket.groupBy("start").applyInPandas(add, schema)
-    rows = blocks.select("start", "n", "products", F.posexplode_outer("totals").alias("at", "total"))
-    return rows.select(
-        (F.col("start") + F.col("at")).alias("i"), "n", "total",
-        F.slice("products", F.col("at") * width + 1, F.lit(width)).alias("products"),
-    )
+    vectors = as_vectors(df, sparse, width)
+    vectors = vectors.coalesce(PARTIALS_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    n, total = vectors.agg(F.count(F.lit(1)), Summarizer.sum(F.col("vector"))).first()
+    if not n:
+        raise ValueError("no rows to fit on")
+    products = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "vector")).computeGramianMatrix()
+    return n, total.toArray(), products.toArray()
 
 
 @dataclass
@@ -113,16 +97,12 @@ def fit_projection(df: DataFrame, sparse: str, width: int, k: int, centred: bool
     ``k`` is limited to the width.  The sign of a component is chosen so that its largest entry is positive.
     """
     k = min(k, width)
-    rows = sorted(gram_rows(df, sparse, width).collect(), key=lambda r: r["i"])  # width x width numbers
-    if not rows:
-        raise ValueError("no rows to fit on")
-    gram = np.array([r["products"] for r in rows])
-    n = rows[0]["n"]
+    n, total, products = gram(df, sparse, width)
     mean = None
     if centred:
-        mean = np.array([r["total"] for r in rows]) / n
-        gram = gram - n * np.outer(mean, mean)
-    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+        mean = total / n
+        products = products - n * np.outer(mean, mean)
+    values, vectors = np.linalg.eigh((products + products.T) / 2)
     order = np.argsort(values)[::-1][:k]
     components = vectors[:, order]
     signs = np.sign(components[np.abs(components).argmax(axis=0), np.arange(k)])

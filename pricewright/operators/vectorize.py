@@ -6,7 +6,6 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,12 +53,16 @@ def term_statistics(df: DataFrame, text: str, settings: TextSettings) -> DataFra
     are never regrouped, because a document's distinct terms are found in its row.
     """
     grams = add_grams(df.select(text), text, settings).select("grams")
-    one = F.lit(1).cast("bigint")
-    each = F.transform("grams", lambda g: F.struct(g.alias("term"), one.alias("uses"), (one * 0).alias("docs")))
-    once = F.transform(F.array_distinct("grams"), lambda g: F.struct(g.alias("term"), (one * 0).alias("uses"), one.alias("docs")))
+
+    def marked(ordered: Column) -> Column:
+        """One entry per use; the first of equal ones stands for the document."""
+        return F.transform(ordered, lambda g, i: F.struct(
+            g.alias("term"), F.lit(1).cast("bigint").alias("uses"),
+            F.when((i > 0) & (F.get(ordered, i - 1) == g), 0).otherwise(1).cast("bigint").alias("docs")))
+
     return (
         # The outer form: the inner one adds a filter that computes the grams a second and third time.
-        grams.select(F.inline_outer(F.concat(each, once)))
+        grams.select(F.inline_outer(X.let(F.array_sort("grams"), marked)))
         .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.sum("uses").alias("uses"), F.sum("docs").alias("docs"))
@@ -87,9 +90,9 @@ class TfidfModel:
         """Array of (idx, tf) of the vocabulary terms of each row, ascending by idx, without a shuffle."""
         grams = add_grams(df, text, self.settings, "_grams")
         model = CountVectorizerModel.from_vocabulary(self.terms, inputCol="_grams", outputCol="_counts", minTF=1.0)
-        dense = model.transform(grams).withColumn("_dense", vector_to_array("_counts"))
-        pairs = F.transform("_dense", lambda tf, i: F.struct(i.alias("idx"), tf.alias("tf")))
-        return dense.withColumn(column, F.filter(pairs, lambda p: p["tf"] > 0)).drop("_grams", "_counts", "_dense")
+        counted = model.transform(grams).withColumn("_counts", F.unwrap_udt("_counts"))  # sparse: what the text holds
+        pairs = F.zip_with("_counts.indices", "_counts.values", lambda i, tf: F.struct(i.alias("idx"), tf.alias("tf")))
+        return counted.withColumn(column, pairs).drop("_grams", "_counts")
 
     def transform(self, df: DataFrame, text: str, column: str = "tfidf") -> DataFrame:
         """Array of (idx, weight), L2-normalised; empty for a row without a known term."""

@@ -11,7 +11,7 @@ from pricewright.operators.evaluate import aggregate_importance
 from pricewright.operators.features import labelled_sentiment
 from pricewright.operators.folds import add_fold
 from pricewright.operators.parse import parse_labelled
-from pricewright.operators.reduce import fit_projection, gram_rows
+from pricewright.operators.reduce import fit_projection, gram
 from pricewright.operators.selection import f_regression, mutual_information, select_k_best
 from pricewright.queries import sql as Q
 from pricewright.queries.numbers import LINE_KEY, rounded
@@ -118,14 +118,14 @@ def text_gram(spark, sf):
     """The matrix that both reductions are read from: products of all pairs of term columns."""
     docs = documents(spark, sf)
     model = V.fit_tfidf(docs, "text", SMALL)
-    rows = gram_rows(model.transform(docs, "text"), "tfidf", len(model.terms))
-    cells = rows.select("i", F.posexplode("products").alias("j", "product")).where("product <> 0")
-    return cells.select("i", "j", F.round("product", 6).alias("product"))
+    _, _, products = gram(model.transform(docs, "text"), "tfidf", len(model.terms))
+    cells = [(i, j, float(x)) for i, row in enumerate(products) for j, x in enumerate(row) if x != 0]  # at most 60 x 60
+    return spark.createDataFrame(cells, "i int, j int, product double").select("i", "j", F.round("product", 6).alias("product"))
 
 
-def _reduced(spark, sf, centred: bool, k: int):
+def _reduced(spark, sf, centred: bool, k: int, settings: V.TextSettings = PLAIN):
     docs = documents(spark, sf)
-    model = V.fit_tfidf(docs, "text", PLAIN)
+    model = V.fit_tfidf(docs, "text", settings)
     vectors = materialise(model.transform(docs, "text").select("doc_id", "tfidf"), "tfidf")
     fitted = fit_projection(vectors, "tfidf", len(model.terms), k, centred)
     squares = F.aggregate("reduced", F.lit(0.0), lambda acc, x: acc + x * x)
@@ -166,6 +166,31 @@ def pca_text_distance(spark, sf):
     return _reduced(spark, sf, centred=True, k=PLAIN.max_features).select("doc_id", "squared_norm")
 
 
+def _cosines(reduced, k: int):
+    """(i, j, cosine) of all pairs of the k coordinates over the rows: at most k x k numbers, by sums only."""
+    pairs = F.flatten(F.transform("reduced", lambda x, i: F.transform("reduced", lambda y, j: F.struct(i.alias("i"), j.alias("j"), (x * y).alias("xy")))))
+    sums = reduced.select(F.inline(pairs)).groupBy("i", "j").agg(F.sum("xy").alias("xy"))
+    own = sums.where("i = j").select(F.col("i").alias("at"), F.col("xy").alias("square"))
+    both = sums.join(own, F.col("i") == F.col("at")).drop("at").join(own.withColumnRenamed("square", "other"), F.col("j") == F.col("at"))
+    return both.select("i", "j", (F.round(F.col("xy") / F.sqrt(F.col("square") * F.col("other")), 6) + 0.0).alias("cosine"))
+
+
+def _identity_sql(k: int) -> str:
+    return (f"SELECT CAST(i AS INT) AS i, CAST(j AS INT) AS j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS cosine "
+            f"FROM range({k}) a(i), range({k}) b(j)")
+
+
+@query("svd_text_orthogonal", _identity_sql(12))
+def svd_text_orthogonal(spark, sf):
+    """The coordinates of a truncated SVD are orthogonal over the rows, with fewer components than terms."""
+    return _cosines(_reduced(spark, sf, centred=False, k=12, settings=V.LABELLED_TEXT), 12)
+
+
+@query("pca_text_orthogonal", _identity_sql(12))
+def pca_text_orthogonal(spark, sf):
+    return _cosines(_reduced(spark, sf, centred=True, k=12, settings=STOPPED), 12)
+
+
 _LEXICON = "lexicon(word, polarity, subjectivity) AS (VALUES " + ", ".join(
     f"('{w}', {p}::DOUBLE, {s}::DOUBLE)" for w, (p, s) in fixed.SENTIMENT_LEXICON.items()) + ")"
 
@@ -208,8 +233,8 @@ _LONG = f"""{FEATURE_ROWS}, long AS (SELECT {Q.fold('l_orderkey', 3)} AS fold, p
 
 
 def _f_sql(by: str) -> str:
-    return f"""m AS (SELECT {by}, count(x) AS n, covar_pop(x, y) AS sxy, var_pop(x) AS sxx, var_pop(y) AS syy FROM long GROUP BY {by}),
-r AS (SELECT {by}, n, CASE WHEN sxx * syy > 0 THEN sxy * sxy / (sxx * syy) END AS r2 FROM m),
+    return f"""m AS (SELECT {by}, count(x) AS n, covar_pop(x, y) AS sxy, var_pop(x) AS sxx, var_pop(y) AS syy, min(x) < max(x) AND min(y) < max(y) AS varies FROM long GROUP BY {by}),
+r AS (SELECT {by}, n, CASE WHEN varies THEN sxy * sxy / (sxx * syy) END AS r2 FROM m),
 score AS (SELECT {by}, r2 / (1 - r2) * (n - 2) AS score FROM r)"""
 
 
