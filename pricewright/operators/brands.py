@@ -74,9 +74,14 @@ def brand_frequency(df: DataFrame, brand: str = "brand") -> DataFrame:
     return df.groupBy(brand).agg(F.count(F.lit(1)).alias("brand_frequency"))
 
 
-def add_brand_frequency(df: DataFrame, fitted_on: DataFrame | None = None) -> DataFrame:
-    """Rows of ``fitted_on`` (default: this frame) with the same brand; 0 for a missing brand."""
-    table = materialise(brand_frequency(df if fitted_on is None else fitted_on).where("brand IS NOT NULL"), "brand-frequency")
+def frequency_table(df: DataFrame) -> DataFrame:
+    return materialise(brand_frequency(df).where("brand IS NOT NULL"), "brand-frequency")
+
+
+def add_brand_frequency(df: DataFrame, fitted_on: DataFrame | None = None, table: DataFrame | None = None) -> DataFrame:
+    """Rows of ``fitted_on`` (default: this frame) with the same brand, or those a ``table`` says; 0 for a missing brand."""
+    if table is None:
+        table = frequency_table(df if fitted_on is None else fitted_on)
     joined = attach(df, table, "brand")
     return joined.withColumn("brand_frequency", F.coalesce("brand_frequency", F.lit(0)))
 
@@ -108,6 +113,15 @@ class BrandCodes:
             "brand_encoded": F.coalesce("brand_code", F.lit(self.unknown_code).cast("bigint")),
         }).drop("brand_code")
 
+    def save(self, path: str) -> None:
+        self.table.write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "BrandCodes":
+        table = spark.read.parquet(path)
+        unknown = table.where(F.col("brand") == UNKNOWN).first()["brand_code"]
+        return BrandCodes(table, int(unknown), table_bytes(table, "brand"))
+
     def unknown_brands(self, df: DataFrame) -> DataFrame:
         """Distinct brands of ``df`` that have no code, with their number of rows."""
         counts = df.groupBy(F.coalesce("brand", F.lit(UNKNOWN)).alias("brand")).agg(F.count(F.lit(1)).alias("n_rows"))

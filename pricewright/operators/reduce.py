@@ -87,6 +87,13 @@ class Projection:
 
         return project(sparse["idx"], sparse["weight"])
 
+    def state(self) -> dict:
+        return {"components": self.components.tolist(), "singular_values": self.singular_values.tolist(), "mean": None if self.mean is None else self.mean.tolist()}
+
+    @staticmethod
+    def of(state: dict) -> "Projection":
+        return Projection(np.array(state["components"]), np.array(state["singular_values"]), None if state["mean"] is None else np.array(state["mean"]))
+
     def transform(self, df: DataFrame, sparse: str, column: str) -> DataFrame:
         return df.withColumn(column, self.column(F.col(sparse)))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -117,6 +117,14 @@ class TfidfModel:
         entries = self.transform(df.select(key, text), text).select(key, F.inline_outer("tfidf"))
         return entries.where(F.col("idx").isNotNull()).select(key, F.get(terms, F.col("idx")).alias("term"), "weight")
 
+    def state(self) -> dict:
+        return {"settings": asdict(self.settings), "terms": self.terms, "idf": self.idf, "n_docs": self.n_docs}
+
+    @staticmethod
+    def of(state: dict) -> "TfidfModel":
+        lists = {k: tuple(v) if isinstance(v, list) else v for k, v in state["settings"].items()}
+        return TfidfModel(TextSettings(**lists), state["terms"], state["idf"], state["n_docs"])
+
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(i, t, w) for i, (t, w) in enumerate(zip(self.terms, self.idf))]
         return spark.createDataFrame(rows, "idx int, term string, idf double")

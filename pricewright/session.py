@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,17 +46,42 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_OWNERS: ContextVar[list[list[str]]] = ContextVar("owners", default=[])
+
+
+@contextmanager
+def owned_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end all tables that were written inside it, so results must be used or stored by then.
+
+    Fits and predictions that are run one after another in a long session belong in one of these each; nested ones
+    own what was written in them.
+    """
+    paths: list[str] = []
+    token = _OWNERS.set([*_OWNERS.get(), paths])
+    try:
+        yield
+    finally:
+        _OWNERS.reset(token)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_table_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/pricewright/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/pricewright/{label}-{uuid.uuid4().hex}"
+    for paths in _OWNERS.get()[-1:]:
+        paths.append(path)
+    return path
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+def materialise(df: DataFrame, label: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result survives the loss of any executor, is computed once however often it is used, and is
-    still columnar, so later steps read only the columns they need.
+    still columnar, so later steps read only the columns they need.  With ``partition_by`` a filter on that
+    column, one of few values, reads only the files that it needs.
     """
     spark = df.sparkSession
     path = new_table_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write if partition_by is None else df.write.partitionBy(partition_by)).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)

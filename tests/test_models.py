@@ -6,11 +6,16 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from pricewright.operators import evaluate as E
-from pricewright.operators.ensemble import BlendModel, StackModel, fit_blend, fit_stack
-from pricewright.operators.models import ModelSpec, apply_model, fit_model
-from pricewright.operators.reduce import fit_projection
+from pricewright.operators.ensemble import BlendModel, StackModel, fit_blend, fit_stack, nested_cv
+from pricewright.operators.folds import add_fold
+from pricewright.operators.models import STACK_FULL, ModelSpec, apply_model, fit_model
+from pricewright.operators.reduce import fit_projection, gram
 from pricewright.operators.selection import best_features, f_regression, mutual_information
 from pricewright.operators.vectorize import TextSettings, fit_tfidf
+from pricewright.plans import stack
+from pricewright.plans.common import with_vector
+from pricewright.session import materialise, owned_tables
+from pricewright.sources.submission import exists
 
 FOREST = ModelSpec("rf", "forest", dict(numTrees=3, maxDepth=3))
 BOOST = ModelSpec("gb", "boosting", dict(maxIter=3, maxDepth=2, validation=0.1, validationTol=1e-4))
@@ -118,6 +123,91 @@ def test_stack_is_its_meta_model_over_its_base_models(spark, data, tmp_path):
     assert again.transform(df).select("sample_id", "prediction").exceptAll(m.transform(df).select("sample_id", "prediction")).isEmpty()
 
 
+def ridge(x, y, alpha):
+    xc, yc = x - x.mean(0), y - y.mean()
+    b = np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ yc)
+    return y.mean() - x.mean(0) @ b, b
+
+
+def stacked(x, y, fold, k, alphas):
+    """Out-of-fold matrix, meta-ridge on it, and the prediction function of the whole stack."""
+    oof = np.zeros((len(y), len(alphas)))
+    for i in range(k):
+        for j, alpha in enumerate(alphas):
+            a, b = ridge(x[fold != i], y[fold != i], alpha)
+            oof[fold == i, j] = a + x[fold == i] @ b
+    base = [ridge(x, y, alpha) for alpha in alphas]
+    a, b = ridge(oof, y, 1.0)
+    return oof, lambda z: a + np.stack([m + z @ c for m, c in base], axis=1) @ b
+
+
+MIXED = [ModelSpec("loose", "ridge", dict(alpha=1.0)), ModelSpec("stiff", "ridge", dict(alpha=500.0))]
+
+
+def test_stack_of_two_models_is_its_closed_form(data):
+    x, y, df = data
+    fitted = fit_stack(df, MIXED, folds=5)
+    rows = fitted.oof.orderBy("sample_id").toPandas()
+    oof, predict = stacked(x, y, rows.fold.to_numpy(), 5, [1.0, 500.0])
+    np.testing.assert_allclose(rows[["oof_loose", "oof_stiff"]].to_numpy(), oof, rtol=1e-7)
+    got = fitted.model.transform(df).orderBy("sample_id").toPandas().prediction
+    np.testing.assert_allclose(got, predict(x), rtol=1e-5)
+    by_fold = fitted.by_fold.toPandas()
+    assert len(by_fold) == 10 and by_fold.n.sum() == 600
+
+
+def test_nested_cross_validation_is_its_closed_form(data):
+    x, y, df = data
+    got = nested_cv(df, MIXED, outer=3, inner=3).orderBy("sample_id").toPandas()
+    inner = add_fold(df, 3).orderBy("sample_id").toPandas().fold.to_numpy()
+    outer = got.fold.to_numpy()
+    for i in range(3):
+        _, predict = stacked(x[outer != i], y[outer != i], inner[outer != i], 3, [1.0, 500.0])
+        np.testing.assert_allclose(got.prediction[outer == i], predict(x[outer == i]), rtol=1e-5)
+
+
+def test_the_meta_model_is_chosen_by_name(data):
+    _, _, df = data
+    shares = [fit_stack(df, [RIDGE], folds=2, meta=m).model.meta.getElasticNetParam() for m in ("ridge", "elastic_net", "other")]
+    assert shares[0] == shares[2] == 0 and shares[1] > 0
+
+
+def test_boosted_specs_differ():
+    specs = {s.name: s.params for s in STACK_FULL}
+    assert specs["xgboost"] != specs["lightgbm"]
+
+
+def test_gram_partials_do_not_grow_with_the_splits(spark):
+    rows = spark.range(2000).select(F.array(F.struct((F.col("id") % 7).cast("int").alias("idx"), F.lit(0.5).alias("weight"))).alias("v"))
+    found = [gram(rows.repartition(parts), "v", 7) for parts in (4, 400)]
+    np.testing.assert_allclose(found[0][2], found[1][2])
+    assert found[0][0] == found[1][0] == 2000 and found[0][1].sum() == pytest.approx(1000)
+
+
+def test_tables_go_with_their_owner(spark):
+    with owned_tables(spark):
+        path = materialise(spark.range(5), "short").inputFiles()[0].rsplit("/", 1)[0]
+        assert exists(spark, path)
+    assert not exists(spark, path)
+
+
+def test_a_saved_stack_pipeline_predicts_alike(spark, tmp_path):
+    rows = spark.range(120).select(
+        F.col("id").alias("sample_id"), F.concat(F.lit("Item Name: "), F.when(F.col("id") % 3 == 0, "Acme tea").otherwise("Bolt cup"), F.lit(" size "), F.col("id") % 9,
+        F.lit("\nValue: "), F.col("id") % 17, F.lit("\nCount: "), F.col("id") % 5 + 1).alias("catalog_content"),
+        F.lit("http://x").alias("image_link"), (F.col("id") % 17 * 2.0 + 5).alias("price"))
+    settings = stack.StackSettings(text=TextSettings(max_features=30, min_df=2, max_df=0.95), components=5, folds=3, models=[RIDGE, ELASTIC], fit_on="train", mode="lines")
+    result = stack.run(rows, rows.drop("price"), settings)
+    result.pipeline.save(str(tmp_path / "p"), spark)
+    again = stack.StackPipeline.load(str(tmp_path / "p"), spark)
+    fresh = rows.select("sample_id", "catalog_content", "image_link")
+    both = again.predict(fresh).withColumnRenamed("prediction", "again").join(result.predictions, "sample_id")
+    assert both.where(F.abs(F.col("again") - F.col("prediction")) < 1e-9).count() == 120
+    assert again.submission(fresh).where("price BETWEEN 0.01 AND 50000").count() == 120
+    with pytest.raises(ValueError):
+        with_vector(fresh.withColumn("text", F.array(F.lit(1.0))), ["value"], "text", ["sample_id"])
+
+
 def test_unweighted_models_count_equally(spark):
     df = spark.createDataFrame([(1.0, 3.0)], "a double, b double")
     assert df.select(E.weighted_sum({"a": F.col("a"), "b": F.col("b")}, {})).first()[0] == 2.0

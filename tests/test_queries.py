@@ -6,7 +6,7 @@ from oracle import compare, duck
 from pricewright.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-PLANS = ["blend_plan", "stack_plan"]  # minutes of small jobs; run them with tests/oracle.py
+PLANS = ["blend_plan", "stack_plan"]  # their fits are proven by blend_plan_checks and stack_plan_checks
 
 
 @pytest.fixture(scope="module")
