@@ -30,11 +30,9 @@ _CAPTURE = ["url_key", "date", "id", "record_type", "refers_to", "payload_digest
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Upper-case base32 of the SHA-1 of bytes: 160 bits are 32 characters, five bits each, without padding."""
-    bits = F.lpad(F.conv(F.substring(F.sha1(payload), 1, 10), 16, 2), 40, "0")
-    for k in range(1, 4):
-        bits = F.concat(bits, F.lpad(F.conv(F.substring(F.sha1(payload), 1 + 10 * k, 10), 16, 2), 40, "0"))
+def base32(hexadecimal: Column) -> Column:
+    """Upper-case base32 of 40 hexadecimal digits: 160 bits are 32 characters, five bits each, without padding."""
+    bits = F.concat(*[F.lpad(F.conv(F.substring(hexadecimal, 1 + 10 * k, 10), 16, 2), 40, "0") for k in range(4)])
     return F.concat(*[F.lit(_ALPHABET).substr(F.conv(F.substring(bits, 1 + 5 * i, 5), 2, 10).cast("int") + 1, F.lit(1)) for i in range(32)])
 
 
@@ -51,13 +49,14 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     clean = pages.where(F.col(id_col).isNotNull())
     stamp = date if date is not None else F.timestamp_seconds(F.lit(1577836800) + F.pmod(F.col(id_col).cast("long"), F.lit(10 ** 9)))
     body = F.coalesce(F.col(payload_col), F.lit(""))
-    rows = clean.select(
-        F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), body.alias("body"),
-        F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"), base32_sha1(body.cast("binary")).alias("digest"),
-        F.octet_length(body).cast("long").alias("bytes"))
-    firsts = clean.select(base32_sha1(body.cast("binary")).alias("d"), F.octet_length(body).cast("long").alias("n"), F.col(id_col).cast("long").alias("i")).where(
-        F.col("n") >= least).groupBy("d", "n").agg(F.min("i").alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    rows = rows.join(firsts, (F.col("digest") == F.col("d")) & (F.col("bytes") == F.col("n")), "left")
+    keyed = clean.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), body.alias("body"),
+                         F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"), F.octet_length(body).cast("long").alias("bytes"),
+                         F.sha1(body.cast("binary")).alias("hex"))
+    sums = materialise(keyed.select("id", "hex", "bytes"), "payload-sums")
+    firsts = sums.where(F.col("bytes") >= least).groupBy("hex", "bytes").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    # Only copies are joined back, from a written table whose size Spark knows: few of them leave the payloads where they are.
+    copies = materialise(sums.join(firsts, ["hex", "bytes"]).where("id <> first").select("id", "hex", "first").distinct(), "payload-copies")
+    rows = keyed.join(copies, ["id", "hex"], "left").withColumn("digest", base32(F.col("hex")))
     copy = F.col("first").isNotNull() & (F.col("first") != F.col("id"))
     plain = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7F]", "%20")
     uri = F.when(plain == "", F.concat(F.lit("urn:page:"), F.col("id").cast("string"))).otherwise(plain)
