@@ -52,7 +52,8 @@ NON_FEATURES_STACK = [
     "product_description", "brand", "unit", "brand_filled", "image_link",
 ]
 
-# --- fixed values: English function words a vectoriser drops (those of two or more letters) ---
+# --- fixed values: English function words a vectoriser drops; the Snowball project's English list (BSD) without
+# one-letter words and contractions, and with "cannot could would ought" ---
 ENGLISH_STOP_WORDS = """
 me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it
 its itself they them their theirs themselves what which who whom this that these those am is are was were be been
@@ -62,7 +63,8 @@ then once here there when where why how all any both each few more most other so
 than too very can will just don should now cannot could ought would
 """.split()
 
-# --- fixed values: a small polarity / subjectivity lexicon of product English, ours ---
+# --- fixed values: polarity and subjectivity of some words of product English, rounded to two places from the English
+# sentiment lexicon of the pattern library (BSD), which TextBlob (MIT) uses too; pass another lexicon for more words ---
 SENTIMENT_LEXICON = {
     "amazing": (0.6, 0.9), "awesome": (1.0, 1.0), "awful": (-1.0, 1.0), "bad": (-0.7, 0.67),
     "beautiful": (0.85, 1.0), "best": (1.0, 0.3), "better": (0.5, 0.5), "big": (0.0, 0.1),
@@ -73,7 +75,7 @@ SENTIMENT_LEXICON = {
     "good": (0.7, 0.6), "great": (0.8, 0.75), "happy": (0.8, 1.0), "hard": (-0.29, 0.54),
     "heavy": (-0.2, 0.5), "large": (0.21, 0.43), "light": (0.4, 0.7), "lovely": (0.5, 0.75),
     "natural": (0.1, 0.4), "new": (0.14, 0.45), "nice": (0.6, 1.0), "old": (0.1, 0.2),
-    "organic": (0.0, 0.0), "perfect": (1.0, 1.0), "poor": (-0.4, 0.6), "premium": (0.3, 0.5),
+    "perfect": (1.0, 1.0), "poor": (-0.4, 0.6), "premium": (0.3, 0.5),
     "pure": (0.21, 0.5), "rich": (0.38, 0.75), "sad": (-0.5, 1.0), "safe": (0.5, 0.5),
     "simple": (0.0, 0.36), "small": (-0.25, 0.4), "smooth": (0.4, 0.5), "soft": (0.1, 0.35),
     "special": (0.36, 0.57), "strong": (0.43, 0.73), "super": (0.33, 0.67), "sweet": (0.35, 0.65),
