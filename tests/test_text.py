@@ -1,5 +1,6 @@
 """Extraction and cleaning against Python's own regular expressions and stated values."""
 
+import re
 import unicodedata
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from pricewright import fixed
 from pricewright.functions import text as X
 from pricewright.operators.parse import parse_detailed, parse_labelled
+from pricewright.sources.tables import catalog
 
 LABELLED = [  # id, content, item_name, brand, value, pack_count, description
     (0, "Item Name: Acme Tea, Pack of 12\nBullet Point 1: great taste\nBullet Point 2: organic\nProduct Description: nice\nValue: 12.5\nUnit: Ounce",
@@ -84,3 +86,43 @@ def test_sentiment(spark):
     rows = spark.createDataFrame([("great good tea",), ("tea",), ("",), (None,)], "t string")
     got = [r[0] for r in rows.select(X.sentiment(X.tokens(F.col("t")), fixed.SENTIMENT_LEXICON)).collect()]
     assert got == [pytest.approx(0.75), 0.0, 0.0, 0.0]
+
+
+def plain_labelled(text):
+    """The labelled fields by Python's own expressions, written out here."""
+    def number(found):
+        try:
+            return float(found)
+        except (TypeError, ValueError):
+            return None
+
+    def first(pattern, flags=0):
+        hit = re.search(pattern, text or "", flags)
+        return hit.group(1) if hit else None
+
+    name = (first(r"Item Name:\s*([^\n]*)", re.I) or "").strip()
+    parts = re.findall(r"(?:Bullet Point|Description).*?:\s*([^\n]+)", text or "", re.I)
+    pack = first(r"(?:Pack|Count)[:\s]*(\d+)", re.I)
+    return name, (name.split() or [""])[0], number(first(r"Value:\s*([\d.]+)")), int(pack) if pack else 1, " ".join(parts)
+
+
+def plain_clean(text):
+    text = "".join(c for c in re.sub(r"\s+", " ", text or "") if ord(c) < 128)
+    return re.sub(r"<[^>]+>", "", text).strip(" ")
+
+
+def test_every_catalog_row_against_plain_python(spark):
+    """No pattern is shared with the library here, so a wrong one cannot pass on both sides."""
+    folder = "/root/testdata/sf0.01"
+    for r in parse_labelled(catalog(spark, folder)).collect():
+        assert (r["item_name"], r["brand"], r["value"], r["pack_count"], r["description"]) == plain_labelled(r["catalog_content"])
+    lines = parse_detailed(catalog(spark, folder), "lines").withColumn("cleaned", X.clean_text(F.col("catalog_content")))
+    for r in lines.collect():
+        text = r["catalog_content"]
+        bullets = re.findall(r"Bullet Point \d+:\s*([^\n]+)", text, re.I)
+        assert r["bullet_points_text"] == " ".join(plain_clean(b) for b in bullets) and r["cleaned"] == plain_clean(text)
+        weight = re.search(r"(\d+(?:\.\d+)?)\s*(oz|lb|g|kg)\b", text, re.I)
+        assert (r["spec_weight_value"], r["spec_weight_unit"]) == ((float(weight.group(1)), weight.group(2).lower()) if weight else (None, None))
+        pack = re.search(r"(?:Pack\s*of\s*|Count[:\s]*)(\d+)", text, re.I)
+        assert r["spec_pack_count"] == (int(pack.group(1)) if pack else None)
+        assert r["category_home"] == int(any(w in text.lower() for w in ("home", "kitchen", "decor")))
