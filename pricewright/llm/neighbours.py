@@ -3,7 +3,8 @@
 Centroids come from balanced k-means on a bounded sample and are searched through a graph that every task holds in
 memory.  A vector joins the lists of all centroids that are nearly as near as its nearest one, unless a list that it
 has joined lies closer to that centroid; so vectors at a boundary are found from both sides.  A query reads the lists
-whose centroids are within a ratio of its nearest centroid's distance.  The ratio is set by recall on the sample.
+whose centroids are within a ratio of its nearest centroid's distance.  The ratio is set by recall: a few sampled
+queries are compared with all rows, and their true neighbours have to be in the lists that they read.
 Long lists are cut into chunks, so no task holds a whole one.
 """
 
@@ -19,13 +20,14 @@ from pyspark.sql import functions as F
 
 from pricewright.session import materialise
 
-SAMPLE = 10_000  # vectors that centroids, graph and ratio are fitted on
-LIST_SIZE = 128  # vectors of a list, wanted on average before replication
+SAMPLE = 10_000  # vectors that centroids and graph are fitted on
+LISTS = 0.8  # times the root of the number of vectors: centroids and list lengths grow alike
 MOST_LISTS = 2048
-REPLICAS, BOUNDARY = 4, 1.10
+BOUNDING = 2000  # sampled vectors that bound a query's k-th distance from above
+REPLICAS, BOUNDARY = 2, 1.03  # a vector joins so many lists at most, whose centroids are at most so much farther
 LINKS = 24  # neighbours of a centroid in the graph
 CHUNK = 8192  # vectors of a list that a task compares at once
-RECALL = 0.97  # wanted on the sample
+QUERIES, RECALL = 128, 0.97  # sampled queries whose true neighbours among all rows set the ratio, and the share to be reached
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -96,6 +98,9 @@ class Lists:
 
     def homes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of every list that a vector joins."""
+        return _by_rows(self._homes, x)
+
+    def _homes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         dist, ids = self.nearest(x, 32)
         chosen = np.zeros((len(x), min(REPLICAS, ids.shape[1])), np.int64)
         chosen[:, 0], count = ids[:, 0], np.ones(len(x), np.int64)
@@ -114,6 +119,9 @@ class Lists:
 
     def probes(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of every list that a query reads: all within the ratio, and more until ``least`` vectors are in them."""
+        return _by_rows(lambda part: self._probes(part, sizes, least), x)
+
+    def _probes(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         beam = 64
         while True:
             dist, ids = self.nearest(x, beam)
@@ -127,9 +135,15 @@ class Lists:
             beam *= 2
 
 
-def fit_lists(x: np.ndarray, total: int, k: int = 10, seed: int = 3) -> Lists:
-    """Centroids, graph and ratio from a sample of ``total`` vectors."""
-    lists = int(max(1, min(MOST_LISTS, len(x) // 8, math.ceil(total / LIST_SIZE))))
+def _by_rows(run, x: np.ndarray, most: int = 512) -> tuple[np.ndarray, np.ndarray]:
+    """Results of ``run`` on some rows at a time, as a search holds the vectors of all centroids that it looks at."""
+    parts = [run(x[a:a + most]) for a in range(0, max(1, len(x)), most)]
+    return np.concatenate([row + k * most for k, (row, _) in enumerate(parts)]), np.concatenate([found for _, found in parts])
+
+
+def fit_lists(x: np.ndarray, total: int, seed: int = 3) -> Lists:
+    """Centroids and graph from a sample of ``total`` vectors."""
+    lists = int(max(1, min(MOST_LISTS, len(x) // 8, math.ceil(LISTS * math.sqrt(total)))))
     x = np.unique(x, axis=0)
     lists = min(lists, len(x))
     centroids = balanced_centroids(x, lists)
@@ -140,23 +154,52 @@ def fit_lists(x: np.ndarray, total: int, k: int = 10, seed: int = 3) -> Lists:
     far = rng.integers(0, lists, (lists, 4))  # long links keep the graph in one piece
     ring = ((np.arange(lists) + 1) % lists)[:, None]
     found = Lists(centroids, np.concatenate([near, far, ring], axis=1) if lists > 1 else np.zeros((1, 1), np.int64), np.unique(rng.integers(0, lists, 8)))
-    if lists == 1:
-        return found
-    queries = x[rng.choice(len(x), min(len(x), 300), replace=False)]
-    exact = _distances(queries, x)
-    truth = np.argsort(exact, axis=1, kind="stable")[:, 1:k + 1]
-    row, home = found.homes(x)
-    reach = _distances(queries, centroids)
-    reach = reach / np.maximum(reach.min(axis=1, keepdims=True), 1e-12)
-    best = np.full((len(queries), len(x)), np.inf, np.float32)
-    for r, h in zip(np.array_split(row, 64), np.array_split(home, 64)):
-        for part in np.split(np.arange(len(r)), np.flatnonzero(np.diff(r)  < 0) + 1):  # a vector comes once in each part
-            best[:, r[part]] = np.minimum(best[:, r[part]], reach[:, h[part]])
-    needed = np.sort(np.take_along_axis(best, truth, 1).ravel())  # the ratio at which each true neighbour is reached
-    found.ratio = float(needed[min(len(needed) - 1, math.ceil(RECALL * len(needed)))]) * (1 + 1e-6)
     return found
 
 
+def true_neighbours(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, k: int) -> DataFrame:
+    """q, v, score: the exact ``k`` nearest rows of each of a few queries, by number. Tasks keep the best ``k`` of theirs."""
+    shared = rows.sparkSession.sparkContext.broadcast((queries, ids))
+
+    def task(batches):
+        (queries, ids), best, kept = shared.value, None, None
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2048):
+                part = batch.slice(a, 2048)
+                own, x = np.asarray(part.column(0)), _matrix(part.column(1))
+                score = np.where(own[None] == ids[:, None], np.inf, _distances(queries, x))
+                vectors = np.broadcast_to(x, (len(ids), *x.shape))
+                if best is not None:
+                    score, vectors = np.concatenate([best, score], axis=1), None
+                near = np.argsort(score, axis=1, kind="stable")[:, :k]
+                old = 0 if best is None else best.shape[1]
+                picked = x[np.maximum(near - old, 0)]
+                if kept is not None:
+                    before = np.take_along_axis(kept, np.minimum(near, old - 1)[:, :, None], 1)
+                    picked = np.where((near < old)[:, :, None], before, picked)
+                best, kept = np.take_along_axis(score, near, 1), picked
+        if best is not None:
+            fine = np.isfinite(best)
+            q, _ = np.nonzero(fine)
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(list(kept[fine]), pa.list_(pa.float64())), pa.array(best[fine])], names=["q", "v", "score"])
+
+    found = rows.mapInArrow(task, "q long, v array<double>, score double")
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("score"))).where(F.col("rank") <= k).drop("rank")
+
+
+def set_ratio(index: Lists, queries: np.ndarray, q: np.ndarray, neighbours: np.ndarray) -> None:
+    """The smallest ratio at which the wanted share of ``neighbours`` of queries ``q`` is in lists that these read."""
+    if len(index.centroids) == 1 or not len(q):
+        return
+    reach = _distances(queries, index.centroids)
+    reach = reach / np.maximum(reach.min(axis=1, keepdims=True), 1e-12)
+    row, home = index.homes(neighbours)
+    needed = np.full(len(q), np.inf)
+    np.minimum.at(needed, row, reach[q[row], home])
+    needed.sort()
+    index.ratio = float(needed[min(len(needed) - 1, math.ceil(RECALL * len(needed)))]) * (1 + 1e-6)
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """id, v: rows with an id whose vector has finite components only and is not zero, of the commonest length."""
     v = F.col(vector_col).cast("array<double>")
@@ -183,10 +226,19 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
     total = rows.count()
-    sample = [r[0] for r in rows.orderBy(F.xxhash64("id"), "v").limit(SAMPLE).select("v").collect()]
-    if not sample:
+    packed = rows.orderBy(F.xxhash64("id"), "v").limit(SAMPLE).toArrow()
+    sample = _matrix(packed.column("v"))
+    if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    index = spark.sparkContext.broadcast(fit_lists(np.array(sample), total, k))  # at most 2,048 centroids
+    lists = fit_lists(sample, total)
+    if len(lists.centroids) > 1:
+        some = rows.orderBy(F.xxhash64(F.lit("query"), "id"), "v").limit(QUERIES).toArrow()  # drawn without regard to the sample
+        truth = true_neighbours(rows, queries := _matrix(some.column("v")), np.asarray(some.column("id")), k).toArrow()
+        set_ratio(lists, queries, np.asarray(truth.column("q")), _matrix(truth.column("v")))
+    index = spark.sparkContext.broadcast(lists)  # at most 2,048 centroids
+    _, once = np.unique(np.asarray(packed.column("id")), return_index=True)
+    once = np.sort(once)[:BOUNDING]
+    some_rows = spark.sparkContext.broadcast((np.asarray(packed.column("id"))[once], sample[once]))
 
     def place(batches):
         for batch in batches:
@@ -205,32 +257,49 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
         for batch in batches:
             for a in range(0, batch.num_rows, 1024):
                 part = batch.slice(a, 1024)
-                row, at = index.value.probes(_matrix(part.column(1)), chunks.value[0], (k + 1) * REPLICAS)
+                vectors = _matrix(part.column(1))
+                row, at = index.value.probes(vectors, chunks.value[0], (k + 1) * REPLICAS)
+                bound = np.full(len(vectors), np.inf)
+                if len(some_rows.value[0]) > k:  # one of the k + 1 nearest of these may be the query itself
+                    bound = np.partition(_distances(vectors, some_rows.value[1]), k, axis=1)[:, k] * (1 + 1e-6) + 1e-6
                 n = chunks.value[1][at]
                 row, at = np.repeat(row, n), np.repeat(at, n)
                 piece = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(piece), *(part.column(c).take(pa.array(row)) for c in (0, 1))], names=["list", "piece", "id", "v"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at), pa.array(piece), *(part.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(bound[row])], names=["list", "piece", "id", "v", "bound"])
+
+    def nearest_of(own: np.ndarray, x: np.ndarray, q: int, vector: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact distances of the k nearest of some rows that are within ``bound``, other than row ``q``."""
+        score = np.sqrt(((x - vector) ** 2).sum(axis=1))
+        fine = np.flatnonzero((own != q) & (score <= bound))
+        best = fine[np.lexsort((own[fine], score[fine]))[:k]] if len(fine) <= max(64, k) else _first(score, own, fine, k)
+        return own[best], score[best]
+
+    def answers(queries, own, x) -> pa.Table:
+        found = [(q, *nearest_of(own, x, q, vector, bound)) for q, vector, bound in queries]
+        return pa.table({
+            "query_id": pa.array(np.concatenate([np.full(len(i), q) for q, i, _ in found] or [np.empty(0)]).astype(np.int64)),
+            "vec_id": pa.array(np.concatenate([i for _, i, _ in found] or [np.empty(0)]).astype(np.int64)),
+            "score": pa.array(np.concatenate([s for _, _, s in found] or [np.empty(0)]).astype(np.float64))})
+
+    def guess(batches):
+        """The k nearest of the rows that bound the search: so many are found for certain."""
+        for batch in batches:
+            ids, v = np.asarray(batch.column(0)), _matrix(batch.column(1))
+            yield from answers([(q, x, np.inf) for q, x in zip(ids, v)], *some_rows.value).to_batches()
 
     def compare(group: pa.Table) -> pa.Table:
         side = np.asarray(group.column("side"))
         ids, v = np.asarray(group.column("id")), _matrix(group.column("v"))
-        own, x = ids[side == 1], v[side == 1]
-        out = [[], [], []]
-        for q, vector in zip(ids[side == 0], v[side == 0]):
-            score = np.sqrt(((x - vector) ** 2).sum(axis=1))
-            fine = np.flatnonzero(own != q)
-            best = fine[np.lexsort((own[fine], score[fine]))[:k]] if len(fine) <= 64 else _first(score, own, fine, k)
-            out[0].append(np.full(len(best), q))
-            out[1].append(own[best])
-            out[2].append(score[best])
-        a, b, c = (np.concatenate(o) if o else np.empty(0) for o in out)
-        return pa.table({"query_id": pa.array(a.astype(np.int64)), "vec_id": pa.array(b.astype(np.int64)), "score": pa.array(c.astype(np.float64))})
+        bounds = np.asarray(group.column("bound").fill_null(0.0))  # farther rows are not among the k nearest
+        return answers(list(zip(ids[side == 0], v[side == 0], bounds[side == 0])), ids[side == 1], v[side == 1])
 
     pieces = F.lit([int(n) for n in chunks.value[1]]) if (chunks.value[1] > 1).any() else None
     spread = F.lit(0).cast("long") if pieces is None else F.pmod(F.xxhash64("id"), F.element_at(pieces, (F.col("list") + 1).cast("int")))
-    left = rows.where(is_query).mapInArrow(probe, "list long, piece long, id long, v array<double>").withColumn("side", F.lit(0))
-    right = postings.withColumn("piece", spread).withColumn("side", F.lit(1))
+    left = rows.where(is_query).mapInArrow(probe, "list long, piece long, id long, v array<double>, bound double").withColumn("side", F.lit(0))
+    right = postings.withColumns({"piece": spread, "bound": F.lit(None).cast("double"), "side": F.lit(1)})
     found = left.unionByName(right).groupBy("list", "piece").applyInArrow(compare, "query_id long, vec_id long, score double")
+    found = found.unionByName(rows.where(is_query).mapInArrow(guess, "query_id long, vec_id long, score double"))
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
@@ -238,6 +307,6 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
 
 def _first(score: np.ndarray, ids: np.ndarray, fine: np.ndarray, k: int) -> np.ndarray:
     """The k smallest scores, all ties at the last one considered."""
-    least = np.partition(score[fine], min(k, len(fine)) - 1)[min(k, len(fine)) - 1]
+    least = np.partition(score[fine], k - 1)[k - 1]
     near = fine[score[fine] <= least]
     return near[np.lexsort((ids[near], score[near]))[:k]]
