@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, NGram, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +42,13 @@ def add_tokens(df: DataFrame, text: str, settings: TextSettings, column: str = "
 
 
 def add_grams(df: DataFrame, text: str, settings: TextSettings, column: str = "grams") -> DataFrame:
-    tokenised = add_tokens(df, text, settings, "_tokens")
-    return tokenised.withColumn(column, X.ngrams(F.col("_tokens"), *settings.ngram_range)).drop("_tokens")
+    """All n-grams of the text, shorter ones first."""
+    out, parts = add_tokens(df, text, settings, "_tokens"), []
+    for n in range(settings.ngram_range[0], settings.ngram_range[1] + 1):
+        if n > 1:
+            out = NGram(n=n, inputCol="_tokens", outputCol=f"_grams_{n}").transform(out)
+        parts.append("_tokens" if n == 1 else f"_grams_{n}")
+    return out.withColumn(column, F.concat(*parts)).drop("_tokens", *[p for p in parts if p != "_tokens"])
 
 
 def term_statistics(df: DataFrame, text: str, settings: TextSettings) -> DataFrame:
@@ -53,20 +58,11 @@ def term_statistics(df: DataFrame, text: str, settings: TextSettings) -> DataFra
     are never regrouped, because a document's distinct terms are found in its row.
     """
     grams = add_grams(df.select(text), text, settings).select("grams")
-
-    def marked(ordered: Column) -> Column:
-        """One entry per use; the first of equal ones stands for the document."""
-        return F.transform(ordered, lambda g, i: F.struct(
-            g.alias("term"), F.lit(1).cast("bigint").alias("uses"),
-            F.when((i > 0) & (F.get(ordered, i - 1) == g), 0).otherwise(1).cast("bigint").alias("docs")))
-
-    return (
-        # The outer form: the inner one adds a filter that computes the grams a second and third time.
-        grams.select(F.inline_outer(X.let(F.array_sort("grams"), marked)))
-        .where(F.col("term").isNotNull())
-        .groupBy("term")
-        .agg(F.sum("uses").alias("uses"), F.sum("docs").alias("docs"))
-    )
+    both = F.concat("grams", F.array_distinct("grams"))  # every use, then every term of the document once
+    # The outer form: the inner one adds a filter that computes the grams a second and third time.
+    rows = grams.select(F.size("grams").alias("n"), F.posexplode_outer(both).alias("at", "term")).where(F.col("term").isNotNull())
+    use = (F.col("at") < F.col("n")).cast("bigint")
+    return rows.groupBy("term").agg(F.sum(use).alias("uses"), F.sum(1 - use).alias("docs"))
 
 
 def vocabulary(df: DataFrame, text: str, settings: TextSettings, n_docs: int) -> DataFrame:

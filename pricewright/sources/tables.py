@@ -35,8 +35,16 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 """
 
 
+# Row keys of the tables that hold most of the work.
+_KEYS = {"documents": "doc_id", "lineitem": "l_orderkey", "pages": "page_id", "part": "p_partkey"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A benchmark table. Each is a file of one row group, which one task reads, so a session that works on such files
+    may say in ``spark.pricewright.scanTasks`` over how many tasks to deal the rows; without it nothing is shuffled."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    tasks = spark.conf.get("spark.pricewright.scanTasks", None)
+    return rows.repartition(int(tasks), _KEYS[name]) if tasks and name in _KEYS else rows
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
