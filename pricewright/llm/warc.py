@@ -26,7 +26,7 @@ from pricewright.session import materialise, new_table_path
 ARCHIVE_BYTES = 8 << 20  # payload of an archive on average
 SPAN_ROWS = 50_000  # captures of a span of the index on average
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-_CAPTURE = ["url_key", "date", "id", "record_type", "refers_to", "payload_digest", "offset", "archive"]
+_CAPTURE = ["url_key", "date", "id", "record_type", "refers_to", "payload_bytes", "payload_digest", "offset", "archive"]
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -170,7 +170,7 @@ class LoserTree:
 
 
 def capture_index(found: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
-    """Captures in global order: span, position, url_key, date, id, record_type, refers_to, payload_digest, archive, offset.
+    """Captures in global order: span, position, url_key, date, id, record_type, refers_to, payload_bytes, payload_digest, offset, archive.
 
     ``found`` is what ``read_archives`` gives.  The captures of an archive are one run, sorted where they are and sent to
     the spans in slices; a span merges the slices of all runs.  ``span`` numbers the spans in order, ``position`` the
@@ -204,7 +204,7 @@ def capture_index(found: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
 
     dealt = rows.groupBy("archive").applyInArrow(run, "span long, run binary")
     return dealt.groupBy("span").applyInArrow(
-        merge, "span long, position long, url_key string, date string, id long, record_type string, refers_to long, payload_digest string, offset long, archive string")
+        merge, "span long, position long, url_key string, date string, id long, record_type string, refers_to long, payload_bytes long, payload_digest string, offset long, archive string")
 
 
 def _packed(table: pa.Table) -> bytes:
@@ -215,7 +215,7 @@ def _packed(table: pa.Table) -> bytes:
 
 
 def round_trip(pages: DataFrame, least: int = 0, **columns: str) -> DataFrame:
-    """Writes the pages to a new folder of archives and reads the records back."""
+    """Writes the pages to a new folder of archives, reads the records back and gives their ``capture_index``."""
     path = new_table_path(pages.sparkSession, "warc")
     write_archives(pages, path, least=least, **columns)
-    return read_archives(pages.sparkSession, path)
+    return capture_index(read_archives(pages.sparkSession, path))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pricewright.llm import neighbours as N
+from pricewright.llm import warc as W
 from pricewright.llm.mixing import MARGINS, mix, rake
 from pricewright.llm.packing import Tokens, fill, pack, read_vocabulary
 from pricewright.llm.queries import QUERIES, vocabulary
@@ -169,6 +170,18 @@ def test_capture_index_is_globally_ordered(spark):
     assert tuple(shown) == ("com,example,news)/A?b=C", "b,a)/")
 
 
+def test_op8_takes_its_rows_from_the_merged_index(spark, monkeypatch):
+    merged = []
+    monkeypatch.setattr(W, "SPAN_ROWS", 40)
+    monkeypatch.setattr(W, "capture_index", lambda found, real=W.capture_index: merged.append(real(found, W.SPAN_ROWS)) or merged[-1])
+    got = QUERIES["op8_warc"](spark, SF).collect()
+    order = merged[0].orderBy("span", "position").collect()
+    keys = [(r["url_key"], r["date"], r["id"]) for r in order]
+    assert keys == sorted(keys) and len({r["span"] for r in order}) > 3
+    want = {(r["id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in order}
+    assert {tuple(r) for r in got} == want and len(got) == len(order) == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
 def brute_rake(cells, rounds, temper):
     t = np.array([c[3] for c in cells], float)
     w = t / t.sum()
