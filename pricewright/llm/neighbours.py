@@ -5,7 +5,7 @@ memory.  A vector joins the lists of all centroids that are nearly as near as it
 has joined lies closer to that centroid; so vectors at a boundary are found from both sides.  A query reads the lists
 whose centroids are within a ratio of its nearest centroid's distance.  The ratio is set by recall: a few sampled
 queries are compared with all rows, and their true neighbours have to be in the lists that they read.
-Long lists are cut into chunks, so no task holds a whole one.
+Long lists are cut into chunks, and so are the queries that read one, so no task holds all of either.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ BOUNDING = 2000  # sampled vectors that bound a query's k-th distance from above
 REPLICAS, BOUNDARY = 2, 1.03  # a vector joins so many lists at most, whose centroids are at most so much farther
 LINKS = 24  # neighbours of a centroid in the graph
 CHUNK = 8192  # vectors of a list that a task compares at once
+QUERY_CHUNK = 8192  # queries of a list that a task compares at once
 QUERIES, RECALL = 128, 0.97  # sampled queries whose true neighbours among all rows set the ratio, and the share to be reached
 
 
@@ -215,13 +216,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, fill_up: bool = True) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for every row where ``is_query`` holds.
 
     Nearness is the Euclidean distance in double precision on the given vectors; ties go to the smaller id.  Rows
     without an id, and vectors that are null, zero or hold null or non-finite components, or have another length than
     most, take no part.  A candidate is any row with another id; rows with one id count once, by the nearest of them.
     All candidates are returned where there are fewer than ``k``.  Other columns are ignored.
+    Answers come from the posting lists.  Some 2,000 rows bound a query's k-th distance from above; only where the lists
+    have fewer than ``k`` rows within that bound are these rows answers too, and with ``fill_up`` off not even there.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -251,6 +254,21 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
     sizes = np.zeros(len(index.value.centroids), np.int64)
     for r in postings.groupBy("list").count().collect():
         sizes[r[0]] = r[1]
+    readers = np.zeros(len(sizes), np.int64)  # queries that read each list; at most all of them do
+    if rows.where(is_query).count() > QUERY_CHUNK:
+        shared_sizes = spark.sparkContext.broadcast(sizes)
+
+        def count_readers(batches):
+            total = np.zeros(len(shared_sizes.value), np.int64)
+            for batch in batches:
+                for a in range(0, batch.num_rows, 1024):
+                    _, at = index.value.probes(_matrix(batch.slice(a, 1024).column(1)), shared_sizes.value, (k + 1) * REPLICAS)
+                    total += np.bincount(at, minlength=len(total))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["list", "n"])
+
+        for r in rows.where(is_query).mapInArrow(count_readers, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():
+            readers[r[0]] = r[1]
+    parts = np.maximum(1, -(-readers // QUERY_CHUNK))
     chunks = spark.sparkContext.broadcast((sizes, np.maximum(1, -(-sizes // CHUNK))))
 
     def probe(batches):
@@ -283,7 +301,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
             "score": pa.array(np.concatenate([s for _, _, s in found] or [np.empty(0)]).astype(np.float64))})
 
     def guess(batches):
-        """The k nearest of the rows that bound the search: so many are found for certain."""
+        """The k nearest of the rows that bound the search, for queries that the lists leave short."""
         for batch in batches:
             ids, v = np.asarray(batch.column(0)), _matrix(batch.column(1))
             yield from answers([(q, x, np.inf) for q, x in zip(ids, v)], *some_rows.value).to_batches()
@@ -298,9 +316,18 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
     spread = F.lit(0).cast("long") if pieces is None else F.pmod(F.xxhash64("id"), F.element_at(pieces, (F.col("list") + 1).cast("int")))
     left = rows.where(is_query).mapInArrow(probe, "list long, piece long, id long, v array<double>, bound double").withColumn("side", F.lit(0))
     right = postings.withColumns({"piece": spread, "bound": F.lit(None).cast("double"), "side": F.lit(1)})
-    found = left.unionByName(right).groupBy("list", "piece").applyInArrow(compare, "query_id long, vec_id long, score double")
-    found = found.unionByName(rows.where(is_query).mapInArrow(guess, "query_id long, vec_id long, score double"))
+    # Each part of a list's queries meets all vectors of the list.
+    split = F.element_at(F.lit([int(n) for n in parts]), (F.col("list") + 1).cast("int")) if (parts > 1).any() else None
+    left = left.withColumn("part", F.lit(0) if split is None else F.pmod(F.xxhash64(F.lit("part"), "id"), split).cast("int"))
+    right = right.withColumn("part", F.lit(0) if split is None else F.explode(F.sequence(F.lit(0), split - 1)))
+    found = left.unionByName(right).groupBy("list", "piece", "part").applyInArrow(compare, "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    if fill_up:
+        more = rows.where(is_query).mapInArrow(guess, "query_id long, vec_id long, score double")
+        both = best.withColumn("listed", F.lit(1)).unionByName(more.withColumn("listed", F.lit(0)))
+        best = both.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"), F.max("listed").alias("listed"))
+        have = F.sum("listed").over(Window.partitionBy("query_id"))
+        best = best.withColumn("have", have).where((F.col("listed") == 1) | (F.col("have") < k))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
 

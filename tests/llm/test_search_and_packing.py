@@ -61,6 +61,23 @@ def test_neighbours_edges(spark, monkeypatch):
     assert N.nearest_neighbours(table.where("vec_id = 300"), F.lit(True)).collect() == []
 
 
+def test_recall_of_the_lists_alone(spark, monkeypatch):
+    """20,000 vectors, ten times the rows that bound the search, none of which may answer; queries of a list in parts."""
+    monkeypatch.setattr(N, "QUERY_CHUNK", 16)
+    table = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").where("vec_id % 5 < 2")
+    rows = table.select("vec_id", "embedding").toPandas()
+    x, ids = np.stack(rows.embedding).astype(float), rows.vec_id.to_numpy()
+    assert len(ids) > 9 * N.BOUNDING
+    got = N.nearest_neighbours(table, F.col("id") % 100 == 0, fill_up=False).toPandas()
+    assert not got.duplicated(["query_id", "vec_id"]).any()
+    queries = np.flatnonzero(ids % 100 == 0)
+    hits = sum(len(set(exact(ids, x, q, 10)[0]) & set(got[got.query_id == ids[q]].vec_id)) for q in queries)
+    print("recall of the lists alone", hits / (10 * len(queries)), len(ids))
+    assert hits / (10 * len(queries)) >= 0.9
+    whole = N.nearest_neighbours(table, F.col("id") % 100 == 0).toPandas()
+    assert (whole.groupby("query_id").size() == 10).all() and len(whole) == 10 * len(queries)
+
+
 @pytest.fixture(scope="module")
 def byte_vocabulary():
     return read_vocabulary(vocabulary("byte_bpe_50k.json"))
