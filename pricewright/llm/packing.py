@@ -1,7 +1,9 @@
 """Retrieval packing: windows of tokens filled with lexically near documents.
 
-Documents are tokenised once into a table and dealt into shards by a hash.  Each shard holds an inverted index with
-BM25 weights over token ids; document frequencies and the mean length are those of the whole corpus.  A window starts
+Documents are tokenised once into a table and dealt into shards by content: two weighted min-hashes over the tokens that
+documents share, rare ones first, order all documents, and the order is cut into shards of like size, through a group of
+like documents where it is large.  Each shard holds an inverted index with BM25 weights over token ids, which a seed
+asks with all its tokens; document frequencies and the mean length are those of the whole corpus.  A window starts
 with what is left of a seed document; the unused documents nearest to the seed follow until one of them is cut by the
 window's end, and that one seeds the next window.  The last tokens of a shard go to sequences of powers of two, so
 nothing is padded.
@@ -22,7 +24,8 @@ from pricewright.llm.batches import map_slices, utf8
 from pricewright.session import materialise
 
 SHARD_TOKENS = 1 << 20  # tokens of a shard on average
-QUERY_TERMS = 32  # rarest distinct tokens of a seed that are looked up
+SHARD_SAMPLE = 32  # sampled documents a shard, by which the order is cut
+RARITY = 4  # power of the idf by which tokens come early in the orders
 K1, B = 1.2, 0.75
 REMEMBERED = 400_000
 
@@ -127,6 +130,50 @@ def document_frequencies(tokens: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def sketches(count: np.ndarray, idf: np.ndarray, seed: int = 7) -> np.ndarray:
+    """Two random orders of the token ids: a token comes the earlier, the rarer it is; those of fewer than two documents last.
+
+    Documents have the same first token in an order about as often as their sets agree, each token weighted by that power of its idf.
+    """
+    rng = np.random.default_rng(seed)
+    late = rng.exponential(size=(2, len(idf))) / np.maximum(idf, 1e-9) ** RARITY
+    return np.argsort(np.argsort(np.where(count < 2, np.inf, late), axis=1, kind="stable"), axis=1, kind="stable")
+
+
+def route(ids: list[bytes], place: np.ndarray, orders: np.ndarray) -> np.ndarray:
+    """The number by which documents are ordered: 16 bits of each first token, then 31 bits of ``place``."""
+    lengths = np.array([len(x) // 2 for x in ids], np.int64)
+    tokens = np.frombuffer(b"".join(ids), np.uint16)
+    begins = np.cumsum(np.r_[0, lengths[:-1]])  # every document has its end token
+    first, second = (np.minimum.reduceat(order[tokens], begins).astype(np.int64) for order in orders)
+    return (first << 47) | (second << 31) | ((place >> 33) & 0x7FFFFFFF)
+
+
+def routes(tokens: DataFrame, shared) -> DataFrame:
+    """``tokens`` with ``route``."""
+
+    def task(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
+                found = route(part.column(1).to_pylist(), np.asarray(part.column(3)), shared.value)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=["id", "ids", "n_tokens", "place", "route"])
+
+    return tokens.select("id", "ids", "n_tokens", "place").mapInArrow(task, "id long, ids binary, n_tokens long, place long, route long")
+
+
+def shard_cuts(tokens: DataFrame, shared, total: int, shards: int) -> list[int]:
+    """Routes at which shards begin, after the first: some ``SHARD_SAMPLE`` sampled documents a shard, longer ones likelier."""
+    rate = SHARD_SAMPLE * shards / total
+    drawn = F.pmod(F.xxhash64(F.lit("shard"), "place"), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    some = routes(tokens.where(drawn < rate * F.col("n_tokens")), shared).select("route", "n_tokens").orderBy("route").toPandas()
+    upto = np.cumsum(np.maximum(some["n_tokens"].to_numpy(), 1 / rate))
+    if not len(upto):
+        return []
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards)
+    return np.unique(some["route"].to_numpy()[at]).tolist()
+
+
 class Shard:
     """BM25 over the documents of one shard."""
 
@@ -136,15 +183,13 @@ class Shard:
         norm = K1 * (1 - B + B * lengths / mean)
         weight = idf[term] * n * (K1 + 1) / (n + norm[doc])
         self.by_doc = np.searchsorted(doc, np.arange(len(parts) + 1))
-        self.term, self.idf = term, idf
+        self.term = term
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         self.by_term = np.searchsorted(term[order], np.arange(len(idf) + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         terms = self.term[self.by_doc[seed]:self.by_doc[seed + 1]]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-self.idf[terms], kind="stable")[:QUERY_TERMS]]
         spans = [slice(a, b) for a, b in zip(self.by_term[terms].tolist(), self.by_term[terms + 1].tolist())]
         at = np.concatenate([self.doc[s] for s in spans])
         return np.bincount(at, np.concatenate([self.weight[s] for s in spans]), len(self.by_doc) - 1)
@@ -226,6 +271,8 @@ def pack(docs: DataFrame, vocabulary: dict[str, int], pattern: str, id_col: str
     idf = np.log1p((rows - count + 0.5) / (count + 0.5))
     shared = spark.sparkContext.broadcast((idf, (total or 1) / max(1, rows)))
     shards = max(1, math.ceil((total or 0) / shard_tokens))
+    orders = spark.sparkContext.broadcast(sketches(count, idf))
+    cuts = spark.sparkContext.broadcast(np.array(shard_cuts(tokens, orders, total, shards) if shards > 1 else [], np.int64))
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("place", "ascending"), ("id", "ascending"), ("ids", "ascending")])
@@ -242,6 +289,12 @@ def pack(docs: DataFrame, vocabulary: dict[str, int], pattern: str, id_col: str
             out["ids"] = pa.array([np.frombuffer(w, "<u4").astype(np.int32) for w in wide], pa.list_(pa.int32()))
         return pa.table(out)
 
+    def deal(batches):
+        for batch in batches:
+            shard = np.searchsorted(cuts.value, np.asarray(batch.column(4)), side="right").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *(batch.column(c) for c in (3, 0, 1))], names=["shard", "place", "id", "ids"])
+
+    dealt = routes(tokens, orders).mapInArrow(deal, "shard long, place long, id long, ids binary")
     schema = f"`{id_col}` long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return tokens.withColumn("shard", F.pmod("place", F.lit(shards)).cast("long")).select("shard", "place", "id", "ids").groupBy("shard").applyInArrow(
+    return dealt.groupBy("shard").applyInArrow(
         run, schema + (", ids array<int>" if with_ids else ""))

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from pricewright.llm import neighbours as N
 from pricewright.llm import warc as W
 from pricewright.llm.mixing import MARGINS, mix, rake
-from pricewright.llm.packing import Tokens, fill, pack, read_vocabulary
+from pricewright.llm.packing import Shard, Tokens, fill, pack, read_vocabulary
 from pricewright.llm.queries import QUERIES, vocabulary
 from pricewright.llm.warc import LoserTree, capture_index, read_archives, records, round_trip, url_key, write_archives
 from pricewright.session import new_table_path
@@ -141,6 +141,39 @@ def test_windows_are_filled_with_neighbours():
     assert all(len(g) == 1 for g in groups)
 
 
+def test_neighbours_far_apart_share_windows_across_shards(spark, byte_vocabulary):
+    rnd = random.Random(3)
+    words = sorted(w[1:] for w in byte_vocabulary if w.startswith("Ġ") and w[1:].isascii() and w[1:].isalpha() and len(w) > 4)
+    rnd.shuffle(words)
+    common, own = words[:400], words[400:]
+    rows = []
+    for group in range(100):
+        mine = own[60 * group:60 * group + 60]
+        rows += [(group + 1000 * k, " ".join(rnd.sample(mine, 45) + rnd.sample(common, 45))) for k in range(4)]
+    rows += [(10_000 + k, " ".join(own[6000:6090])) for k in range(200)]  # one large group of copies
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def together(shard_tokens):
+        got = pack(table, byte_vocabulary, public_tokenizers.PATTERN, window=512, shard_tokens=shard_tokens).toPandas()
+        check_pieces(got, dict(rows), 512)
+        where = got.groupby("doc_id").sequence_id.agg(set).to_dict()
+        planted = [d for d in where if d < 10_000]
+        share = sum(any(where[d] & where[e] for e in range(d % 1000, 4000, 1000) if e != d) for d in planted) / len(planted)
+        return share, got.groupby(got.sequence_id // 2 ** 32).length.sum()
+
+    (whole, _), (several, sizes) = together(1 << 20), together(6000)
+    print("planted neighbours in one window: one shard", whole, "shards", len(sizes), several)
+    assert len(sizes) >= 6 and sizes.max() < 3 * 6000
+    assert several >= 0.6 * whole and several > 0.3  # by a hash of the id, 0.08
+
+
+def test_seeds_are_asked_with_all_tokens():
+    seed = np.arange(1, 101, dtype=np.uint16)  # 100 distinct tokens; the last are the commonest
+    idf = np.linspace(5, 1, 200)
+    score = Shard([seed, np.arange(90, 130, dtype=np.uint16), np.arange(130, 170, dtype=np.uint16)], idf, 60.0).scores(0)
+    assert score[1] > 0 and score[2] == 0
+
+
 def test_loser_tree():
     rnd = random.Random(0)
     for n in (0, 1, 2, 3, 7, 16):
