@@ -79,6 +79,16 @@ def test_quality_keeps_good_documents_and_edges(spark):
     assert P.quality(frame(spark, []), F.col("doc_id"), F.col("lang")).collect() == []
 
 
+def test_quality_bands_reject_bad_documents_of_the_other_half(spark):
+    """The bands were chosen on labels with an even id; these are the odd ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("doc_id % 2 = 1")
+    found = P.quality(docs, F.col("doc_id"), F.col("lang")).join(labels, F.col("key") == F.col("doc_id")).where("NOT base_failed").toPandas()
+    good, bad = found[found.quality == 1], found[found.quality == 0]
+    print("kept: good", good.kept.mean(), len(good), "bad", bad.kept.mean(), len(bad))
+    assert good.kept.mean() > 0.997 and bad.kept.mean() < 0.3
+
+
 def test_quality_classifier_on_held_out_labels(spark):
     found = QUERIES["op3_quality_classifier"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").toPandas()
     good, bad = found[found.quality == 1].score.to_numpy(), found[found.quality == 0].score.to_numpy()
