@@ -71,14 +71,35 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | N
     return materialise(rows.drop(*[f"{m}_target" for m in MARGINS]), "raked")
 
 
+def share_budget(cells: DataFrame, ratio: Column, share: float) -> float:
+    """The budget at which ``share`` of the tokens is expected when no probability passes 1.
+
+    Starting from none, the cells that the present budget uses up are fixed and the rest is spread over the others, which
+    uses up more of them, until nothing changes; each round is one sum over the table of cells.
+    """
+    live = cells.where(ratio > 0)
+    wanted = share * (live.agg(F.sum("tokens")).first()[0] or 0)
+    budget = wanted
+    while True:
+        full = F.lit(float(budget)) * ratio >= 1
+        used, weight = live.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("weight")))).first()
+        if not weight:
+            return float(budget)
+        again = (wanted - (used or 0)) / weight
+        if again <= budget * (1 + 1e-9):
+            return float(budget)
+        budget = again
+
+
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, id_col: str = "doc_id", source_col: str = "source",
         language_col: str = "lang", text_col: str = "text", topic: Column | None = None, budget: float | None = None,
-        rounds: int = ROUNDS, temper: float = TEMPER, seed: str = "mix") -> DataFrame:
+        rounds: int = ROUNDS, temper: float = TEMPER, seed: str = "mix", share: float | None = None) -> DataFrame:
     """id, source, language, topic, n_tokens, weight, probability, sampled for every row of ``docs``.
 
     ``weight`` is the cell's share of the mixture's tokens; ``probability`` = budget * weight / tokens of the cell, at most 1.
     ``budget`` counts tokens; by default it is the largest at which no probability passes 1, so the targets hold in
-    expectation.  A document is sampled if a number drawn from the MD5 of seed and id is below its probability, so the
+    expectation, and one rare cell may make it small.  ``share`` sets it instead so that this share of all tokens that have
+    a weight is expected: cells that this uses up are taken whole, and the others make up for them at one common rate.  A document is sampled if a number drawn from the MD5 of seed and id is below its probability, so the
     choice is repeatable and repeated rows share it.  Null values are values of their own; documents without words,
     and rows without an id, have probability 0 or are drawn as one id.  Other columns are ignored.  An empty table
     gives an empty result.
@@ -91,7 +112,9 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | Non
     rows = materialise(rows.drop("text"), "mix-tokens")
     cells = rake(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), targets, rounds, temper)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    if budget is None:
+    if share is not None:
+        budget = share_budget(cells, ratio, share)
+    elif budget is None:
         steepest = cells.agg(F.max(ratio)).first()[0]
         budget = 1.0 / steepest if steepest else 0.0
     rates = cells.select(*[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.round("weight", 12).alias("weight"),

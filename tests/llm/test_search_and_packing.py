@@ -270,6 +270,23 @@ def test_mixture_meets_targets(spark):
     assert np.allclose((real / real.sum()).sort_index(), share.sort_index(), atol=0.06)
 
 
+def test_a_rare_cell_does_not_shrink_a_mixture_of_a_given_share(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang", "source")
+    rare = docs.unionByName(spark.createDataFrame([(10 ** 9, "one two three four five", "en", "rare")], docs.schema))
+    kept = {}
+    for name, table, share in (("default", docs, None), ("default with a rare source", rare, None), ("half", docs, 0.5), ("half with a rare source", rare, 0.5)):
+        rows = mix(table, share=share).toPandas()
+        assert rows.probability.between(0, 1).all()
+        kept[name] = (rows.n_tokens * rows.probability).sum() / rows.n_tokens.sum()
+        if share:  # cells that are not taken whole keep their proportions
+            cells = rows[(rows.probability < 1) & (rows.n_tokens > 0)].groupby(list(MARGINS)).agg(p=("probability", "first"), w=("weight", "first"), t=("n_tokens", "sum"))
+            assert np.allclose(cells.p * cells.t / cells.w, (cells.p * cells.t / cells.w).iloc[0], rtol=1e-4)
+    print("kept shares", kept)
+    assert kept["half"] == pytest.approx(0.5, abs=1e-6) and kept["half with a rare source"] == pytest.approx(0.5, abs=1e-6)
+    few = spark.createDataFrame([(1, "a b", "en", "x")], docs.schema)
+    assert [r["probability"] for r in mix(few, share=1.0).collect()] == [1.0] and mix(few.limit(0), share=0.5).collect() == []
+
+
 def test_mixture_edges(spark):
     kinds = "doc_id long, text string, lang string, source string, id int, topic string, weight int, tokens int"
     rows = [(1, None, None, None), (2, "", "en", "a"), (3, "a b " * 50_000, "en", "a"), (4, "x", None, "a"), (4, "x", None, "a"), (None, "y z", "de", "b")]
