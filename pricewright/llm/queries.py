@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricewright.llm import sql as S
 from pricewright.llm.language import fit_language, identify
+from pricewright.llm.manifest import folded, leaf_digest, proofs, siblings
 from pricewright.llm.mixing import ROUNDS, TEMPER, mix
 from pricewright.llm.near_dup import near_duplicates
 from pricewright.llm.neighbours import nearest_neighbours
@@ -107,3 +108,15 @@ def op8_warc(spark, sf):
 def op9_mixing(spark, sf):
     """Sampling probability of every document: token weights raked to tempered sources, languages and genres."""
     return mix(table(spark, sf, "documents"))
+
+
+@query("op13_merkle_manifest", S.manifest("documents"))
+def op13_merkle_manifest(spark, sf):
+    """Merkle proofs of all documents by source; every fifth, by crc32 of its id, is shown with its text in lower case."""
+    docs = table(spark, sf, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = proofs(docs, leaf_digest(*fields, F.col("text")), shown=leaf_digest(*fields, F.when(held_out(5, 0), lowered).otherwise(F.col("text"))))
+    checked = found.withColumn("folded_root", folded(F.col("path"), F.col("shown")))
+    return checked.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"), "folded_root",
+                          (F.col("folded_root") == F.col("root")).alias("verified"))

@@ -79,3 +79,42 @@ rates AS (SELECT source, language, topic, round(weight, 12) AS weight, round(lea
 SELECT doc_id, r.source, r.language, r.topic, n_tokens, weight, probability,
   ('0x' || substr(md5('mix:' || doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < probability AS sampled
 FROM rows r JOIN rates c ON r.source IS NOT DISTINCT FROM c.source AND r.language IS NOT DISTINCT FROM c.language AND r.topic = c.topic"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, byte by byte with the table of the polynomial 0xEDB88320."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: xor(c >> 8, ({table}::BIGINT[])[1 + (xor(c, b) & 255)])), 4294967295::BIGINT)"
+
+
+def manifest(source: str, levels: int = 7) -> str:
+    """Merkle proofs of all rows: ``levels`` levels inside sources and two above them, so up to 16**levels rows a source and 256 sources."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def leaf(text: str) -> str:
+        parts = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return "sha256(" + " || ".join(f"CASE WHEN {p} IS NULL THEN '-' ELSE strlen({p}) || ':' || {p} END" for p in parts) + ")"
+
+    ctes = [f"""leaves AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN {leaf(f"translate(text, '{upper}', '{lower}')")} END AS other FROM {source})""",
+            "a0 AS (SELECT doc_id, leaf, coalesce(other, leaf) AS f, '' AS proof, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves)",
+            "n0 AS (SELECT g, p, leaf AS h FROM a0)"]
+
+    def step(k: int, nodes: str, into: str) -> None:
+        ctes.append(f"r{k} AS (SELECT g, p // 16 AS p, string_agg(h, '' ORDER BY p) AS run, sum(count(*)) OVER (PARTITION BY g) AS n FROM {nodes} GROUP BY g, p // 16)")
+        ctes.append(f"n{k} AS (SELECT g, p, CASE WHEN n = 1 THEN run ELSE sha256(run) END AS h FROM r{k})")
+        left, right = "substr(run, 1, 64 * (a.p % 16)::INT)", "substr(run, 65 + 64 * (a.p % 16)::INT)"
+        ctes.append(f"""{into}{k} AS (SELECT a.* EXCLUDE (p, f, proof), a.p // 16 AS p, CASE WHEN n = 1 THEN f ELSE sha256({left} || f || {right}) END AS f,
+  CASE WHEN n = 1 THEN proof ELSE proof || {left} || {right} END AS proof FROM {into}{k - 1} a JOIN r{k} ON a.g = r{k}.g AND a.p // 16 = r{k}.p)""")
+
+    for k in range(1, levels + 1):
+        step(k, f"n{k - 1}", "a")
+    ctes.append(f"a{levels + 1} AS (SELECT a.* EXCLUDE (g, p), 0 AS g, a.g AS p, h AS subroot FROM a{levels} a JOIN n{levels} ON a.g = n{levels}.g)")
+    ctes.append(f"n{levels + 1} AS (SELECT 0 AS g, g AS p, h FROM n{levels})")
+    for k in (levels + 2, levels + 3):
+        step(k, f"n{k - 1}", "a")
+    return f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified FROM a{levels + 3}, (SELECT h FROM n{levels + 3})"
