@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricewright.llm import sql as S
 from pricewright.llm.language import fit_language, identify
+from pricewright.llm.lexical import search
 from pricewright.llm.manifest import folded, leaf_digest, proofs, siblings
 from pricewright.llm.mixing import ROUNDS, TEMPER, mix
 from pricewright.llm.near_dup import near_duplicates
@@ -13,6 +14,7 @@ from pricewright.llm.neighbours import nearest_neighbours
 from pricewright.llm.packing import pack, read_vocabulary
 from pricewright.llm.passages import fit_quality, score_quality
 from pricewright.llm.perplexity import quality
+from pricewright.llm.pieces import encode, read_model
 from pricewright.llm.registry import ORACLES, QUERIES, query
 from pricewright.llm.substring import removal
 from pricewright.llm.token_counts import count_tokens, read_pieces
@@ -120,3 +122,18 @@ def op13_merkle_manifest(spark, sf):
     checked = found.withColumn("folded_root", folded(F.col("path"), F.col("shown")))
     return checked.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(F.col("path")).cast("binary"), 256).alias("proof_sha256"), "folded_root",
                           (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_lexical_search", S.lexical("documents", "benchmark"))
+def op12_lexical_search(spark, sf):
+    """The 10 best of all documents for every benchmark item."""
+    return search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark, sf):
+    """Pieces of every document with a public vocabulary, and the text that they decode to."""
+    found = encode(table(spark, sf, "documents"), F.col("doc_id"), read_model(vocabulary("piece_bpe_32k.model")))
+    numbers = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return found.select(F.col("key").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), F.array_max("ends").cast("long").alias("spanned_bytes"))
