@@ -118,3 +118,20 @@ def manifest(source: str, levels: int = 7) -> str:
     for k in (levels + 2, levels + 3):
         step(k, f"n{k - 1}", "a")
     return f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified FROM a{levels + 3}, (SELECT h FROM n{levels + 3})"
+
+
+def lexical(source: str, items: str, k: int = 10) -> str:
+    """The best documents of every item, all pairs with a common term scored."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = rf"regexp_extract_all(translate(text, '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH wanted AS (SELECT row_number() OVER () AS i, item_id, unnest(list_distinct({words})) AS term FROM {items}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM {source} WHERE text IS NOT NULL),
+size AS (SELECT count(*) AS n_docs, sum(len(w)) AS n_all FROM docs WHERE len(w) > 0),
+post AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) SEMI JOIN wanted USING (term) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM post, size GROUP BY term),
+length AS (SELECT r, doc_id, (100 - 90 + ((90 * len(w) * n_docs) // n_all))::BIGINT AS m FROM docs, size),
+score AS (SELECT i, r, sum(weight.w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM wanted JOIN weight USING (term) JOIN post USING (term) JOIN length USING (r) GROUP BY i, r),
+ranked AS (SELECT i, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM score JOIN length USING (r) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked JOIN (SELECT DISTINCT i, item_id FROM wanted) USING (i) WHERE rank <= {k}"""
