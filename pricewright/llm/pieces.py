@@ -13,12 +13,11 @@ from __future__ import annotations
 
 import codecs
 import heapq
-import math
 import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, groupby
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,8 @@ from pricewright.llm.batches import map_slices, utf8
 
 MARK = "▁"
 BLOCK = 1 << 20  # characters normalised at once
-SHORT, REMEMBERED = 32, 60_000  # words up to this length are remembered, up to so many
+SHORT, REMEMBERED = 32, 150_000  # characters of words that are merged together, and how many words are remembered
+_NEVER = np.iinfo(np.int32).max
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a model file
 
 
@@ -191,8 +191,8 @@ class Encoder:
         inside = any(MARK in p.lstrip(MARK) for p in self.ids)
         self.word = None if inside else re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.costs = {p: -s for p, s in self.scores.items()}
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        self._forget()
+        self._tables()
 
     def _symbols(self, text: str) -> tuple[list[str], list[bool]]:
         if self.fixed is None:
@@ -205,27 +205,8 @@ class Encoder:
             at = hit.end()
         return parts + list(text[at:]), frozen + [False] * (len(text) - at)
 
-    def _merge_short(self, word: str) -> list[str]:
-        """The same as ``_merge`` for few characters: the costs of all pairs in a list."""
-        parts, cost = list(word), self.costs.get
-        costs = [cost(a + b, math.inf) for a, b in zip(word, word[1:])]
-        while costs:
-            best = min(costs)
-            if best == math.inf:
-                break
-            i = costs.index(best)
-            joined = parts[i] = parts[i] + parts[i + 1]
-            del parts[i + 1], costs[i]
-            if i:
-                costs[i - 1] = cost(parts[i - 1] + joined, math.inf)
-            if i < len(costs):
-                costs[i] = cost(joined + parts[i + 1], math.inf)
-        return parts
-
     def _merge(self, text: str) -> list[str]:
         """Joins the neighbours with the best score, the leftmost of equals, until none is a piece."""
-        if len(text) <= SHORT and self.fixed is None:
-            return self._merge_short(text)
         parts, frozen = self._symbols(text)
         score, n = self.scores.get, len(parts)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -283,31 +264,132 @@ class Encoder:
                 start = i
         yield word[start:]
 
-    def _words(self, text: str) -> Iterator[tuple[list[int], list[int]]]:
-        known = self.known
-        for word in self.word.findall(text) if self.word is not None else [text]:
-            found = known.get(word)
-            if found is None:
-                if len(word) > SHORT:
-                    yield from map(self._pieces, self._parts(word))
-                    continue
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = known[word] = self._pieces(word)
-            yield found
-
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids with the end id, and the first byte and the byte after the last of each piece's source."""
-        ids, starts, ends, total = [], [], [], 0
-        for normal, where in self.normaliser.blocks(text):
-            found = list(self._words(normal))
-            lengths = np.fromiter(chain.from_iterable(f[1] for f in found), np.int64)
+    def _tables(self) -> None:
+        """Ids by code point, and for all pairs of pieces that make a piece its id and its place in the order of scores."""
+        self.point = np.full(0x110000, -1, np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.point[ord(piece)] = i
+        self.length = np.array([len(p) for p, _, _ in self.model.pieces], np.int64)
+        joins = [(self.ids[p[:i]], self.ids[p[i:]], own) for p, own in self.ids.items() for i in range(1, len(p)) if p[:i] in self.ids and p[i:] in self.ids]
+        left, right, own = np.array(joins, np.int64).reshape(-1, 3).T
+        order = np.argsort(left << 32 | right)
+        self.pair, self.joined = (left << 32 | right)[order], own[order].astype(np.int32)
+        # equal scores have equal ranks
+        scores = np.array([self.scores.get(p, 0.0) for p, _, _ in self.model.pieces])
+        self.rank = np.append(np.unique(-scores, return_inverse=True)[1].astype(np.int32), _NEVER)
+
+    def _join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ids of the pieces that two make, -1 for none."""
+        if not len(self.pair):
+            return np.full(left.shape, -1, np.int32)
+        key = left.astype(np.int64) << 32 | right.astype(np.int64)  # no key of the table is negative
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, self.joined[at], np.int32(-1))
+
+    def _merge_all(self, symbols: np.ndarray) -> np.ndarray:
+        """What ``_merge`` does, for one word a row; ids end where -1 begins."""
+        done, rows = symbols.copy(), np.arange(len(symbols))
+        parts, joined = symbols, self._join(symbols[:, :-1], symbols[:, 1:])
+        while len(rows) and parts.shape[1] > 1:
+            rank = self.rank[joined]
+            at = rank.argmin(axis=1)
+            every = np.arange(len(rows))
+            active = rank[every, at] != _NEVER
+            if not active.all():
+                done[rows[~active]] = -1
+                done[rows[~active], :parts.shape[1]] = parts[~active]
+                rows, parts, joined, at = rows[active], parts[active], joined[active], at[active]
+                every = every[:len(rows)]
+            if not len(rows):
+                break
+            parts[every, at] = joined[every, at]
+            width = parts.shape[1] - 1
+            behind = np.arange(width) > at[:, None]
+            parts = np.where(behind, parts[:, 1:], parts[:, :-1])
+            joined = np.where(behind[:, :-1], joined[:, 1:], joined[:, :-1])
+            for side in (at - 1, at):  # the pairs with the new piece
+                inside = np.flatnonzero((side >= 0) & (side < width - 1))
+                joined[inside, side[inside]] = self._join(parts[inside, side[inside]], parts[inside, side[inside] + 1])
+        if len(rows):
+            done[rows] = -1
+            done[rows, :parts.shape[1]] = parts
+        return done
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.size = 0
+        self.flat_ids, self.flat_lengths = np.empty(0, np.int32), np.empty(0, np.int64)
+        self.begins, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self, words: set[str]) -> None:
+        """Remembers the pieces of words: short ones merged together, others one after another."""
+        if len(self.known) > REMEMBERED or self.size > REMEMBERED * SHORT:
+            self._forget()
+        new = sorted(words - self.known.keys(), key=len)
+        ids, lengths, counts = [], [], []
+        for width in (8, 16, SHORT, None):
+            some = [w for w in new if width is None or len(w) <= width]
+            new = new[len(some):]
+            slow = some
+            if width is not None and self.fixed is None and some:
+                sizes = np.fromiter(map(len, some), np.int64, len(some))
+                points = self.point[np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), "<u4")]
+                symbols = np.full((len(some), width), -1, np.int32)
+                symbols[np.arange(width) < sizes[:, None]] = points
+                odd = np.add.reduceat(points < 0, np.r_[0, np.cumsum(sizes)[:-1]]) > 0  # with a character that is no piece
+                slow = [some[i] for i in np.flatnonzero(odd)]
+                merged = self._merge_all(symbols[~odd])
+                held = merged >= 0
+                ids.append(merged[held])
+                lengths.append(self.length[merged[held]])
+                counts.append(held.sum(axis=1))
+                self._number(some[i] for i in np.flatnonzero(~odd))
+            for word in slow:
+                found = [self._pieces(part) for part in (self._parts(word) if len(word) > SHORT else [word])]
+                ids.append(np.array([i for f in found for i in f[0]], np.int32))
+                lengths.append(np.array([n for f in found for n in f[1]], np.int64))
+                counts.append(np.array([len(ids[-1])]))
+                self._number([word])
+        if ids:
+            self.flat_ids, self.flat_lengths = np.concatenate([self.flat_ids, *ids]), np.concatenate([self.flat_lengths, *lengths])
+            self.counts = np.concatenate([self.counts, *counts]).astype(np.int64)
+            self.begins = np.cumsum(self.counts) - self.counts
+
+    def _number(self, words) -> None:
+        for word in words:
+            self.size += len(word)
+            self.known[word] = len(self.known)
+
+    def _spelled(self, blocks: list[tuple[int, list[str], np.ndarray]], out: list[list]) -> None:
+        """Adds ids, starts and ends of blocks (text, words, sources) to the lists of their texts."""
+        self._learn({w for _, words, _ in blocks for w in words})
+        for text, words, where in blocks:
+            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            counts = self.counts[at]
+            begins = np.cumsum(counts) - counts
+            place = np.repeat(self.begins[at] - begins, counts) + np.arange(int(counts.sum()))
+            lengths = self.flat_lengths[place]
             stops = np.cumsum(lengths)
-            ids.append(np.fromiter(chain.from_iterable(f[0] for f in found), np.int32, len(lengths)))
-            starts.append(where[stops - lengths])
-            ends.append(where[stops])
-            total = where[-1]
-        ids, starts, ends = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (ids, starts, ends))
+            out[text].append((self.flat_ids[place], where[stops - lengths], where[stops], where[-1]))
+
+    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each text its ids with the end id, and the first byte and the byte after the last of each piece's source."""
+        out: list[list] = [[] for _ in texts]
+        blocks, size = [], 0
+        for i, text in enumerate(texts):
+            for normal, where in self.normaliser.blocks(text):
+                blocks.append((i, self.word.findall(normal) if self.word is not None else [normal], where))
+                size += len(normal)
+                if size >= 2 * BLOCK:
+                    self._spelled(blocks, out)
+                    blocks, size = [], 0
+        self._spelled(blocks, out)
+        return [self._ended(parts) for parts in out]
+
+    def _ended(self, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        total = parts[-1][3] if parts else 0
+        ids, starts, ends = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.int64) for i in range(3))
         if not self.model.byte_fallback and len(ids):  # unknown neighbours are one
             first = ~((ids == self.model.unknown) & np.r_[False, ids[:-1] == self.model.unknown])
             ids, starts, ends = ids[first], starts[first], ends[np.r_[first[1:], True]]
@@ -374,7 +456,7 @@ def encode(docs: DataFrame, key: Column, model: PieceModel, text_col: str = "tex
         if not tools:
             tools.extend([Encoder(shared.value), Decoder(shared.value)])
         encoder, decoder = tools
-        found = [encoder((t or b"").decode("utf-8", "replace")) for t in part.column(1).to_pylist()]
+        found = encoder([(t or b"").decode("utf-8", "replace") for t in part.column(1).to_pylist()])
         cuts = np.cumsum([0, *(len(ids) for ids, _, _ in found)]).astype(np.int32)
         lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([f[i] for f in found]).astype(np.int32))) for i in range(3)]
         return {"key": part.column(0), "ids": lists[0], "starts": lists[1], "ends": lists[2], "decoded": pa.array([decoder(f[0].tolist()) for f in found], pa.string())}
