@@ -24,7 +24,7 @@ def test_query(spark, name, monkeypatch):
 def test_entry_point_registers_all():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {name[:name.index("_") + 1] for name in names if name.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {name[:name.index("_") + 1] for name in names if name.startswith("op")}
     assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
 
 
