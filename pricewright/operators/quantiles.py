@@ -126,6 +126,22 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], by: l
     return out.select(*[F.col(f"_group.{c}").alias(c) for c in by], "n", "quantiles")
 
 
+def sketched_quantiles(
+    df: DataFrame, value: str, probabilities: list[float], by: list[str] | None = None, accuracy: int = 10_000
+) -> DataFrame:
+    """Approximate quantiles from mergeable sketches, in one pass: one row per group with ``n`` and ``quantiles``.
+
+    A quantile is a value of the column whose rank differs from the wanted one by at most n / ``accuracy``.  A sketch
+    holds some multiple of ``accuracy`` numbers whatever the group's size, and tasks send sketches, not rows.  NULL and NaN are
+    skipped; a group without a value gives no row.
+    """
+    x = F.col(value).cast("double")
+    known = df.select(*(by or []), x.alias("_value")).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    shares = F.array(*[F.lit(float(p)) for p in probabilities])
+    found = known.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_value", shares, accuracy).alias("quantiles"))
+    return found.where("n > 0")
+
+
 def column_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     """Exact median of each column, all columns in one pass; a column without values is left out."""
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
