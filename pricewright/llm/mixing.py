@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pricewright.session import materialise
 
 ROUNDS = 16
+SHARE = 0.5  # of the tokens that the query and the pipeline keep
 TEMPER = 0.7  # a margin's default target is its token share to this power, normalised
 MARGINS = ("source", "language", "topic")
 _CUT = 4  # rounds planned at once
@@ -91,6 +92,40 @@ def share_budget(cells: DataFrame, ratio: Column, share: float) -> float:
         budget = again
 
 
+def _drawn(seed: str, key: Column) -> Column:
+    """A number in [0, 1) from seed and id."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(2.0 ** 32)
+
+
+def _placed(docs: DataFrame, source_col: str, language_col: str, text_col: str, topic: Column | None, *others: Column) -> DataFrame:
+    """source, language, topic, n_tokens and ``others`` of every row."""
+    words = count_words(F.col(text_col))
+    rows = docs.select(*others, F.col(source_col).alias("source"), F.col(language_col).alias("language"), F.col(text_col).alias("_text"),
+                       words.alias("n_tokens"), (F.lit(None).cast("string") if topic is None else topic).alias("topic"))
+    if topic is None:
+        rows = rows.withColumn("topic", genre(F.col("_text"), F.col("n_tokens")))
+    return rows.drop("_text")
+
+
+def _rates(rows: DataFrame, targets, budget: float | None, rounds: int, temper: float, share: float | None) -> DataFrame:
+    """cell_source, cell_language, cell_topic, weight and probability of every cell of ``rows``."""
+    cells = rake(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), targets, rounds, temper)
+    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
+    if share is not None:
+        budget = share_budget(cells, ratio, share)
+    elif budget is None:
+        steepest = cells.agg(F.max(ratio)).first()[0]
+        budget = 1.0 / steepest if steepest else 0.0
+    return cells.select(*[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.round("weight", 12).alias("weight"),
+                        F.round(F.least(F.lit(1.0), F.lit(float(budget)) * ratio), 10).alias("probability"))
+
+
+def _with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    same = [F.col(m).eqNullSafe(F.col(f"cell_{m}")) for m in MARGINS]
+    return rows.join(rates, same[0] & same[1] & same[2])
+
+
 def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | None = None, id_col: str = "doc_id", source_col: str = "source",
         language_col: str = "lang", text_col: str = "text", topic: Column | None = None, budget: float | None = None,
         rounds: int = ROUNDS, temper: float = TEMPER, seed: str = "mix", share: float | None = None) -> DataFrame:
@@ -104,22 +139,20 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None] | Non
     and rows without an id, have probability 0 or are drawn as one id.  Other columns are ignored.  An empty table
     gives an empty result.
     """
-    words = count_words(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(language_col).alias("language"),
-                       F.col(text_col).alias("text"), words.alias("n_tokens"), (F.lit(None) if topic is None else topic).alias("topic"))
-    if topic is None:
-        rows = rows.withColumn("topic", genre(F.col("text"), F.col("n_tokens")))
-    rows = materialise(rows.drop("text"), "mix-tokens")
-    cells = rake(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), targets, rounds, temper)
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    if share is not None:
-        budget = share_budget(cells, ratio, share)
-    elif budget is None:
-        steepest = cells.agg(F.max(ratio)).first()[0]
-        budget = 1.0 / steepest if steepest else 0.0
-    rates = cells.select(*[F.col(m).alias(f"cell_{m}") for m in MARGINS], F.round("weight", 12).alias("weight"),
-                         F.round(F.least(F.lit(1.0), F.lit(float(budget)) * ratio), 10).alias("probability"))
-    same = [F.col(m).eqNullSafe(F.col(f"cell_{m}")) for m in MARGINS]
-    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
-    return rows.join(rates, same[0] & same[1] & same[2]).select(
-        F.col("id").alias(id_col), *MARGINS, "n_tokens", "weight", "probability", (drawn < F.col("probability")).alias("sampled"))
+    rows = materialise(_placed(docs, source_col, language_col, text_col, topic, F.col(id_col).alias("id")), "mix-tokens")
+    rates = _rates(rows, targets, budget, rounds, temper, share)
+    return _with_rates(rows, rates).select(
+        F.col("id").alias(id_col), *MARGINS, "n_tokens", "weight", "probability", (_drawn(seed, F.col("id")) < F.col("probability")).alias("sampled"))
+
+
+def sample(docs: DataFrame, share: float = SHARE, id_col: str = "doc_id", source_col: str = "source", language_col: str = "lang",
+           text_col: str = "text", seed: str = "mix") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that :func:`mix` samples.
+
+    Texts meet the table of cells where they are read: nothing is joined by id, so null and repeated ids need no care.
+    """
+    columns = docs.columns
+    rates = _rates(_placed(docs, source_col, language_col, text_col, None), None, None, ROUNDS, TEMPER, share)
+    rows = _placed(docs, source_col, language_col, text_col, None, F.struct(*[F.col(c) for c in columns]).alias("row"))
+    kept = _with_rates(rows, rates).where(_drawn(seed, F.col(f"row.{id_col}")) < F.col("probability"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in columns])

@@ -21,6 +21,7 @@ from pricewright.session import materialise
 
 SLOTS, ROWS = 128, 4  # 32 bands of 4 slots: a pair of similarity 0.8 shares none with probability 5e-8
 BLOCK = 512
+SLICE = 1 << 20  # text whose signatures are made at once: 128 bytes a word besides
 _R_BITS = 25
 _EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -92,7 +93,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
         }
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col))
-    return map_slices(rows, text_col, "id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary", run)
+    return map_slices(rows, text_col, "id long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary", run, SLICE)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:

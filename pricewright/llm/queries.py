@@ -8,7 +8,7 @@ from pricewright.llm import sql as S
 from pricewright.llm.language import fit_language, identify
 from pricewright.llm.lexical import search
 from pricewright.llm.manifest import folded, leaf_digest, proofs, siblings
-from pricewright.llm.mixing import ROUNDS, TEMPER, mix
+from pricewright.llm.mixing import ROUNDS, SHARE, TEMPER, mix
 from pricewright.llm.near_dup import near_duplicates
 from pricewright.llm.neighbours import nearest_neighbours
 from pricewright.llm.packing import pack, read_vocabulary
@@ -106,10 +106,10 @@ def op8_warc(spark, sf):
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op9_mixing", S.mixing("documents", ROUNDS, TEMPER))
+@query("op9_mixing", S.mixing("documents", ROUNDS, TEMPER, SHARE))
 def op9_mixing(spark, sf):
     """Sampling probability of every document: token weights raked to tempered sources, languages and genres."""
-    return mix(table(spark, sf, "documents"))
+    return mix(table(spark, sf, "documents"), share=SHARE)
 
 
 @query("op13_merkle_manifest", S.manifest("documents"))

@@ -58,8 +58,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
   CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts"""
 
 
-def mixing(source: str, rounds: int, temper: float) -> str:
-    """Raking with as many rounds, one common table a step."""
+def mixing(source: str, rounds: int, temper: float, share: float) -> str:
+    """Raking with as many rounds, one common table a step; the budget by filling the steepest cells first."""
     has = lambda *marks: "coalesce(" + " OR ".join(f"contains(text, '{m}')" for m in marks) + ", false)"
     steps = [f"""words AS (SELECT doc_id, source, lang AS language, text, len({words("text")})::BIGINT AS n_tokens FROM {source}),
 rows AS MATERIALIZED (SELECT doc_id, source, language, n_tokens, CASE WHEN {has(" | ")} THEN 'table' WHEN {has("!!")} THEN 'shout'
@@ -75,7 +75,11 @@ cells AS MATERIALIZED (SELECT source, language, topic, sum(n_tokens)::DOUBLE AS
             at += 1
             steps.append(f"w{at} AS MATERIALIZED (SELECT * REPLACE (weight * target_{m} / sum(weight) OVER (PARTITION BY {m}) AS weight) FROM w{at - 1})")
     return "WITH " + ",\n".join(steps) + f""",
-rates AS (SELECT source, language, topic, round(weight, 12) AS weight, round(least(1.0, (1.0 / max(weight / tokens) OVER ()) * (weight / tokens)), 10) AS probability FROM w{at})
+steep AS (SELECT tokens, weight, weight / tokens AS ratio, sum(tokens) OVER w AS used, sum(weight) OVER (ORDER BY weight / tokens, tokens ROWS UNBOUNDED PRECEDING) AS rest, sum(tokens) OVER () AS total
+  FROM w{at} WHERE tokens > 0 AND weight > 0 WINDOW w AS (ORDER BY weight / tokens DESC, tokens DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+filled AS (SELECT ({share} * total - coalesce(used, 0)) / rest AS budget, ratio FROM steep),
+level AS (SELECT max(budget) FILTER (budget * ratio <= 1 + 1e-12) AS budget FROM filled),
+rates AS (SELECT source, language, topic, round(weight, 12) AS weight, round(least(1.0, CASE WHEN tokens > 0 THEN coalesce(budget, 0) * (weight / tokens) ELSE 0 END), 10) AS probability FROM w{at}, level)
 SELECT doc_id, r.source, r.language, r.topic, n_tokens, weight, probability,
   ('0x' || substr(md5('mix:' || doc_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE < probability AS sampled
 FROM rows r JOIN rates c ON r.source IS NOT DISTINCT FROM c.source AND r.language IS NOT DISTINCT FROM c.language AND r.topic = c.topic"""

@@ -62,9 +62,33 @@ def test_pipeline_stages(spark):
 def corpus_sql(rows, docs):
     """The documents that the mixing twin samples."""
     from pricewright.llm import sql
-    from pricewright.llm.mixing import ROUNDS, TEMPER
+    from pricewright.llm.mixing import ROUNDS, SHARE, TEMPER
 
     con = duckdb.connect()
     con.register("stage_docs", docs.toPandas())
-    found = con.execute(sql.mixing("stage_docs", ROUNDS, TEMPER)).df()
+    found = con.execute(sql.mixing("stage_docs", ROUNDS, TEMPER, SHARE)).df()
     return set(found[found.sampled].doc_id)
+
+
+def test_stages_take_odd_rows(spark):
+    """Null and repeated ids, null and empty texts, columns of any name, and no rows at all."""
+    base = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    texts = [r["text"] for r in base.where("length(text) > 400").limit(3).collect()]
+    rows = [(None, texts[0], "en", "s", 9), (None, texts[0], "en", None, 9), (7000, texts[1], "en", "s", 9), (7000, texts[2], "en", "s", 9),
+            (7001, None, None, "s", 0), (7002, "", "en", "s", 0), (None, None, None, None, None)]
+    docs = base.unionByName(spark.createDataFrame(rows, base.schema))
+    docs = materialise(docs.selectExpr("*", "1 AS key", "'x' AS topic", "2 AS weight", "array(1) AS id", "'r' AS row", "3 AS batch"), "odd")
+    steps = corpus_pipeline.STAGES
+    found = docs
+    for name, stage in steps[:-1]:
+        found = materialise(stage(spark, found, FOLDER), "odd")
+        assert found.columns == docs.columns and found.where("key <> 1 OR weight <> 2").count() == 0
+        if name == "near_dup":
+            assert found.where("doc_id IS NULL").count() == 2 and found.where("doc_id = 7000").count() in (0, 2)
+            assert found.where("doc_id IN (7001, 7002)").count() == 0
+        if name == "substring_dedup":  # the given document has all windows of its later copies without an id
+            assert found.where("doc_id IS NULL").count() == 0
+    pieces = steps[-1][1](spark, found, FOLDER)
+    assert {r[0] for r in pieces.select("doc_id").distinct().collect()} == {r[0] for r in found.select("doc_id").distinct().collect()}
+    for name, stage in steps:
+        assert stage(spark, docs.limit(0), FOLDER).collect() == []
