@@ -1,6 +1,8 @@
 """The corpus pipeline: five stages over documents, each written and read again before the next.
 
-Documents have an id of their own each; the stages keep the columns of ``documents`` and the last one gives pieces.
+All stages but the last keep the columns of their input, also those that they know nothing of; the last one gives pieces.
+Rows without an id are documents of their own; rows that share an id are near-duplicates together, see each stage.  Null and
+empty texts have no letter, so the first stage drops them; an empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -9,39 +11,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright.llm.language import fit_language, identify
-from pricewright.llm.mixing import mix
+from pricewright.llm.mixing import sample
 from pricewright.llm.near_dup import near_duplicates
 from pricewright.llm.packing import pack, read_vocabulary
 from pricewright.llm.substring import removal
 from pricewright.session import materialise
 
-_OTHERS = ["doc_id", "source", "n_chars"]
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose language is too uncertain, go; the others get the language found."""
+    """Documents without a letter, or whose language is too uncertain, go; the others get the language found.
+
+    Every row is judged by its own text.
+    """
     model = fit_language(docs)
-    found = identify(docs, model, F.struct(*_OTHERS), with_text=True).where("NOT rejected")
-    return found.select("key.doc_id", "text", F.col("lang_pred").alias("lang"), "key.source", "key.n_chars")
+    others = [c for c in docs.columns if c not in ("text", "lang")]
+    found = identify(docs, model, F.struct(*others), with_text=True).where("NOT rejected")
+    given = {"text": F.col("text"), "lang": F.col("lang_pred").alias("lang")}
+    return found.select(*[given[c] if c in given else F.col("key").getField(c).alias(c) for c in docs.columns])
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingles, similarity 0.8."""
-    kept = near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of near-duplicates stays: five-word shingles, similarity 0.8.
+
+    Rows of one id stay or go together, judged by the greatest of their texts; rows without an id stay.
+    """
+    gone = near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of 50 words that an earlier document has too are cut; a document of which no word is left goes."""
-    rest = removal(docs, width=50, carry=["lang", "source"])
+    """Windows of 50 words that an earlier document has too are cut; a document of which no word is left goes.
+
+    Rows of one id do not cut each other; rows without an id are later than all others, and do not cut each other.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = removal(docs.withColumn("_row", F.struct(*others)), width=50, carry=["_row"])
     left = F.col("n_words") - F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0), lambda x, y: x + y)
-    return rest.where(left > 0).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long").alias("n_chars")}
+    return rest.where(left > 0).select(*[new[c] if c in new else F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn so that expected tokens meet tempered shares of sources, languages and genres."""
-    drawn = mix(docs).where("sampled").select("doc_id")
-    return docs.join(drawn, "doc_id", "left_semi")
+    """Documents are drawn so that expected tokens meet tempered shares of sources, languages and genres: half of all tokens stay.
+
+    Rows that share an id, or have none, share the number that is drawn, not the probability.
+    """
+    return sample(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
