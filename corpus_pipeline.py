@@ -45,10 +45,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows of one id do not cut each other; rows without an id are later than all others, and do not cut each other.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rest = removal(docs.withColumn("_row", F.struct(*others)), width=50, carry=["_row"])
+    carried = {c: f"_{i}" for i, c in enumerate(others)}  # names that no column of the result has
+    rest = removal(docs.select("doc_id", "text", *[F.col(c).alias(name) for c, name in carried.items()]), width=50, carry=list(carried.values()))
     left = F.col("n_words") - F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0), lambda x, y: x + y)
     new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long").alias("n_chars")}
-    return rest.where(left > 0).select(*[new[c] if c in new else F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return rest.where(left > 0).select(*[new[c] if c in new else F.col(carried[c]).alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
