@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.batches import joined, map_slices, utf8
+from pricewright.llm.batches import joined, map_slices, release, utf8
 
 BUCKET_BITS, DIMENSION = 15, 16
 SAMPLE_PER_LABEL = 600  # expected labelled texts per language that training reads
 SLICE = 1 << 19
+_AT_ONCE = 8  # texts whose subwords the driver lists at once
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -105,11 +106,11 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 4, rate: float =
                 at = int(rng.integers(len(words) - size))
                 samples.append((b" ".join(words[at:at + size]), code[labels[i]]))
     bags = []
-    for a in range(0, len(samples), 64):
-        buckets, owners, _ = subwords([s[0] for s in samples[a:a + 64]])
+    for a in range(0, len(samples), _AT_ONCE):
+        buckets, owners, _ = subwords([s[0] for s in samples[a:a + _AT_ONCE]])
         b, o = np.concatenate(buckets), np.concatenate(owners)
         by = np.argsort(o, kind="stable")
-        cuts = np.searchsorted(o[by], np.arange(len(samples[a:a + 64]) + 1))
+        cuts = np.searchsorted(o[by], np.arange(len(samples[a:a + _AT_ONCE]) + 1))
         for k in range(len(cuts) - 1):
             if cuts[k + 1] > cuts[k]:
                 bags.append((*np.unique(b[by[cuts[k]:cuts[k + 1]]], return_counts=True), samples[a + k][1]))
@@ -135,7 +136,7 @@ def _calibrate(model: LanguageModel, texts: list[bytes], truth: np.ndarray, wron
     """A temperature of least log loss, then the lowest threshold with at most ``wrong_share`` errors above it, but no more than one half."""
     if not len(texts):
         return
-    logits = model.logits(texts)
+    logits = np.concatenate([model.logits(texts[a:a + _AT_ONCE]) for a in range(0, len(texts), _AT_ONCE)])
     rows = np.arange(len(truth))
     grid = np.geomspace(0.1, 10, 60)
     model.temperature = float(min(grid, key=lambda t: -np.log(_softmax(logits / t)[rows, truth] + 1e-12).mean()))
@@ -164,7 +165,10 @@ def fit_language(docs: DataFrame, text_col: str = "text", label_col: str = "lang
         bound = F.when(F.col(label_col) == label, int(min(1.0, per_label / n) * (1 << 40))).otherwise(bound)
     sample = rows.where(place < bound).select(F.col(text_col).cast("binary").alias("t"), F.col(label_col).alias("l"), place.alias("p"))
     found = sample.orderBy("p").limit(2 * per_label * len(counts)).collect()
-    return train([bytes(r["t"]) for r in found], [r["l"] for r in found])
+    model = train([bytes(r["t"]) for r in found], [r["l"] for r in found])
+    del sample, found
+    release()
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: Column, text_col: str = "text", with_text: bool = False) -> DataFrame:
