@@ -35,11 +35,13 @@ def out_of_fold(
     k: int,
     threads: int = 3,
     fold: str = "fold",
+    ready: dict[str, list[Callable]] | None = None,
 ) -> DataFrame:
     """Wide out-of-fold predictions: each row gets ``oof_<model>`` from models that did not see its fold.
 
     A fitter maps a training frame to a function DataFrame, output column -> DataFrame.  The held-out rows of
-    a fold pass through all its models at once and the folds are stacked, so nothing is joined or pivoted.
+    a fold pass through all its models at once and the folds are stacked, so nothing is joined or pivoted.  ``ready``
+    has such functions, one a fold, of models that need no fit here.
     """
     names = list(fitters)
     jobs = [
@@ -51,5 +53,7 @@ def out_of_fold(
         held = df.where(F.col(fold) == i)
         for name, predict in zip(names, fitted[i * len(names):(i + 1) * len(names)]):
             held = predict(held, f"oof_{name}")
+        for name, predict in (ready or {}).items():
+            held = predict[i](held, f"oof_{name}")
         stacked = held if stacked is None else stacked.unionByName(held)
     return stacked

@@ -211,3 +211,36 @@ def test_a_saved_stack_pipeline_predicts_alike(spark, tmp_path):
 def test_unweighted_models_count_equally(spark):
     df = spark.createDataFrame([(1.0, 3.0)], "a double, b double")
     assert df.select(E.weighted_sum({"a": F.col("a"), "b": F.col("b")}, {})).first()[0] == 2.0
+
+
+def test_linear_fits_come_from_one_pass(spark, data):
+    """Sums of folds give what separate fits on the rows give, also far from the origin."""
+    from pricewright.operators.models import fit_linear
+    from pricewright.operators.moments import added, moments
+
+    x, y, _ = data
+    far = x + 1e4
+    rows = spark.createDataFrame([(i, float(y[i]) + 1e3, Vectors.dense(far[i])) for i in range(300)] + [(900, None, Vectors.dense([0.0] * 3))], ["sample_id", "price", "features"])
+    rows = materialise(add_fold(rows, 4).repartition(5), "folded")
+    cells = moments(rows, "price", by=["fold"])
+    fold = add_fold(spark.range(300).withColumnRenamed("id", "sample_id"), 4).orderBy("sample_id").toPandas().fold.to_numpy()
+    for i in range(4):
+        m = added(v for k, v in cells.items() if k != (i,))
+        a, b = ridge(x[fold != i], y[fold != i], 10.0)
+        model = fit_linear(RIDGE, m, "price")
+        np.testing.assert_allclose(model.coefficients.toArray(), b, rtol=1e-9)
+        assert model.intercept == pytest.approx(a + 1e3 - 1e4 * b.sum(), rel=1e-9) and m.n == (fold != i).sum()
+        sparse = fit_linear(ELASTIC, m, "price").coefficients.toArray()
+        xc, yc = x[fold != i] - x[fold != i].mean(0), y[fold != i] - y[fold != i].mean()
+        slope = xc.T @ (yc - xc @ sparse) / m.n - 0.05 * sparse
+        assert all(slope[j] == pytest.approx(0.05 * np.sign(v), abs=1e-9) if v else abs(slope[j]) <= 0.05 + 1e-9 for j, v in enumerate(sparse))
+
+
+def test_a_mixed_stack_fits_its_meta_model_on_the_rows(data):
+    x, y, df = data
+    fitted = fit_stack(df, [MIXED[0], FOREST, MIXED[1]], folds=3)
+    rows = fitted.oof.toPandas()
+    a, b = ridge(rows[["oof_loose", "oof_rf", "oof_stiff"]].to_numpy(), rows.price.to_numpy(), 1.0)
+    np.testing.assert_allclose(fitted.model.meta.coefficients.toArray(), b, rtol=1e-6)
+    oof, _ = stacked(x, y, fitted.oof.orderBy("sample_id").toPandas().fold.to_numpy(), 3, [1.0, 500.0])
+    np.testing.assert_allclose(fitted.oof.orderBy("sample_id").toPandas()[["oof_loose", "oof_stiff"]].to_numpy(), oof, rtol=1e-7)
