@@ -10,6 +10,7 @@ from pricewright.operators import vectorize as V
 from pricewright.operators.evaluate import aggregate_importance
 from pricewright.operators.features import labelled_sentiment
 from pricewright.operators.folds import add_fold
+from pricewright.operators.information import neighbour_information
 from pricewright.operators.parse import parse_labelled
 from pricewright.operators.reduce import fit_projection, gram
 from pricewright.operators.selection import f_regression, mutual_information, select_k_best
@@ -264,6 +265,33 @@ def mi_scores(spark, sf):
     return scores.select("feature", (F.round("score", 6) + 0.0).alias("score"))
 
 
+_PART_FEATURES = ["size", "name_length", "retail"]
+_SPREAD = "CASE WHEN min({c}) < max({c}) THEN stddev_pop({c}) ELSE 1.0 END"
+_HASHED = "(('0x' || substr(md5({salt} || '/' || k), 1, 8))::BIGINT / 2147483648.0::DOUBLE - 1.0)"
+
+
+def _on_grid(c: str, salt: str) -> str:
+    return f"CAST(round_even(({c} / s{c} + 1e-10 * greatest(1.0, a{c} / s{c}) * {_HASHED.format(salt=salt)}) * 70368744177664.0::DOUBLE, 0) AS BIGINT) AS {c}"
+
+
+@query("mutual_information_neighbours", f"""
+WITH long AS (SELECT p_partkey::VARCHAR AS k, p_retailprice * (1 + p_size % 7) / 10.0::DOUBLE AS y, unnest([0, 1, 2]) AS f, unnest([p_size::DOUBLE, length(p_name)::DOUBLE, p_retailprice]) AS x FROM part),
+spread AS (SELECT f, count(*) AS n, {_SPREAD.format(c='x')} AS sx, {_SPREAD.format(c='y')} AS sy, avg(abs(x)) AS ax, avg(abs(y)) AS ay FROM long GROUP BY f),
+points AS MATERIALIZED (SELECT f, k, {_on_grid('x', 'f')}, {_on_grid('y', "'y'")} FROM long JOIN spread USING (f)),
+radius AS MATERIALIZED (SELECT a.f, a.k, a.x, a.y, greatest(min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 3)[3], 1) AS r FROM points a JOIN points b ON a.f = b.f AND a.k <> b.k GROUP BY ALL),
+near AS (SELECT a.f, a.k, count(*) FILTER (abs(a.x - b.x) < r) AS nx, count(*) FILTER (abs(a.y - b.y) < r) AS ny FROM radius a JOIN points b ON a.f = b.f AND a.k <> b.k GROUP BY ALL),
+psi AS (SELECT i AS m, -0.5772156649015329 + coalesce(sum(1.0 / i) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p FROM (SELECT unnest(range(1, (SELECT max(n) + 2 FROM spread))) AS i)),
+means AS (SELECT f, avg(a.p + b.p) AS s FROM near JOIN psi a ON a.m = nx + 1 JOIN psi b ON b.m = ny + 1 GROUP BY f)
+SELECT ['size', 'name_length', 'retail'][f + 1] AS feature, round(greatest(0, (SELECT p FROM psi WHERE m = n) + (SELECT p FROM psi WHERE m = 3) - s), 6) + 0.0 AS score FROM means JOIN spread USING (f)""")
+def mi_by_neighbours(spark, sf):
+    """Information of three numbers about a part's price, by the three nearest rows of every row."""
+    rows = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("sample_id"), (F.col("p_retailprice") * (1 + F.col("p_size") % 7) / 10.0).alias("price"),
+        F.col("p_size").alias("size"), F.length("p_name").alias("name_length"), F.col("p_retailprice").alias("retail"))
+    scores = neighbour_information(rows, _PART_FEATURES, "price")
+    return scores.select("feature", (F.round("score", 6) + 0.0).alias("score"))
+
+
 @query("importance_summary", f"""
 WITH {_LONG}, {_f_sql('feature, fold')}
 SELECT feature, round(avg(score), 4) AS mean_importance, round(stddev_samp(score), 4) AS std_importance FROM score GROUP BY feature""")
