@@ -77,11 +77,13 @@ class Projection:
         width = shared.shape[0]
         shift = None if self.mean is None else self.mean @ shared
 
+        rows = max(1, min(_BATCH, _BATCH * MAX_COLUMNS // max(1, width)))
+
         @F.pandas_udf("array<double>")
         def project(indices: pd.Series, weights: pd.Series) -> pd.Series:
             out = []
-            for start in range(0, len(indices), _BATCH):
-                block = _dense(indices[start:start + _BATCH], weights[start:start + _BATCH], width) @ shared
+            for start in range(0, len(indices), rows):
+                block = _dense(indices[start:start + rows], weights[start:start + rows], width) @ shared
                 out.extend(block if shift is None else block - shift)
             return pd.Series(out)
 
@@ -98,11 +100,22 @@ class Projection:
         return df.withColumn(column, self.column(F.col(sparse)))
 
 
+def with_signs(components: np.ndarray) -> np.ndarray:
+    """Columns turned so that the largest entry of each is positive."""
+    signs = np.sign(components[np.abs(components).argmax(axis=0), np.arange(components.shape[1])])
+    return components * np.where(signs == 0, 1, signs)
+
+
 def fit_projection(df: DataFrame, sparse: str, width: int, k: int, centred: bool) -> Projection:
     """The ``k`` leading right singular vectors; with ``centred`` the principal components.
 
-    ``k`` is limited to the width.  The sign of a component is chosen so that its largest entry is positive.
+    ``k`` is limited to the width.  The sign of a component is chosen so that its largest entry is positive.  More than
+    ``MAX_COLUMNS`` columns are sketched, see :mod:`pricewright.operators.sketch`.
     """
+    if width > MAX_COLUMNS:
+        from pricewright.operators.sketch import fit_sketched  # which needs this module
+
+        return fit_sketched(df, sparse, width, k, centred)
     k = min(k, width)
     n, total, products = gram(df, sparse, width)
     mean = None
@@ -111,6 +124,4 @@ def fit_projection(df: DataFrame, sparse: str, width: int, k: int, centred: bool
         products = products - n * np.outer(mean, mean)
     values, vectors = np.linalg.eigh((products + products.T) / 2)
     order = np.argsort(values)[::-1][:k]
-    components = vectors[:, order]
-    signs = np.sign(components[np.abs(components).argmax(axis=0), np.arange(k)])
-    return Projection(components * np.where(signs == 0, 1, signs), np.sqrt(np.maximum(values[order], 0)), mean)
+    return Projection(with_signs(vectors[:, order]), np.sqrt(np.maximum(values[order], 0)), mean)

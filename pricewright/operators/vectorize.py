@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions import text as X
 
-MAX_VOCABULARY = 4_096  # the vocabulary goes through the driver and into every task
+MAX_VOCABULARY = 1 << 16  # the vocabulary goes through the driver and into every task
 
 
 @dataclass(frozen=True)

@@ -10,14 +10,16 @@ from pricewright.operators import vectorize as V
 from pricewright.operators.evaluate import aggregate_importance
 from pricewright.operators.features import labelled_sentiment
 from pricewright.operators.folds import add_fold
+from pricewright.operators.incremental import Summary, fit_incremental
 from pricewright.operators.information import neighbour_information
 from pricewright.operators.parse import parse_labelled
 from pricewright.operators.reduce import fit_projection, gram
 from pricewright.operators.selection import f_regression, mutual_information, select_k_best
+from pricewright.operators.sketch import fit_sketched
 from pricewright.queries import sql as Q
 from pricewright.queries.numbers import LINE_KEY, rounded
 from pricewright.queries.registry import query
-from pricewright.session import materialise
+from pricewright.session import materialise, new_table_path
 from pricewright.sources.tables import catalog, catalog_line, table
 
 _KEY = ", ".join(LINE_KEY)
@@ -192,6 +194,48 @@ def pca_text_orthogonal(spark, sf):
     return _cosines(_reduced(spark, sf, centred=True, k=12, settings=STOPPED), 12)
 
 
+def _tfidf(spark, sf, settings):
+    docs = documents(spark, sf)
+    model = V.fit_tfidf(docs, "text", settings)
+    return materialise(model.transform(docs, "text").select("doc_id", "tfidf"), "tfidf"), len(model.terms)
+
+
+@query("svd_sketched_values", "SELECT CAST(i AS INT) AS i, 0.0::DOUBLE AS relative_difference FROM range(20) t(i)")
+def svd_sketched_values(spark, sf):
+    """The 20 largest singular values of 300 terms by a random sketch, against those of the Gram matrix."""
+    vectors, width = _tfidf(spark, sf, PLAIN)
+    sketched, whole = fit_sketched(vectors, "tfidf", width, 20).singular_values, fit_projection(vectors, "tfidf", width, 20, False).singular_values
+    rows = [(i, abs(float(a / b - 1))) for i, (a, b) in enumerate(zip(sketched, whole))]  # 20 numbers
+    return spark.createDataFrame(rows, "i int, d double").select("i", F.round("d", 6).alias("relative_difference"))
+
+
+MANY = V.TextSettings(max_features=20_000, min_df=1, max_df=0.9)
+
+
+@query("svd_many_terms_orthogonal", _identity_sql(8))
+def svd_many_terms_orthogonal(spark, sf):
+    """Eight coordinates over 20,000 terms, far more than a Gram matrix is taken of."""
+    vectors, width = _tfidf(spark, sf, MANY)
+    return _cosines(fit_projection(vectors, "tfidf", width, 8, False).transform(vectors, "tfidf", "reduced"), 8)
+
+
+@query("pca_incremental_distance", f"""
+WITH {GRAMS}, {_vocabulary_sql('grams', SMALL)}, {_tfidf_sql('tfidf', 'grams')},
+mean AS (SELECT term, sum(weight) / (SELECT n FROM size) AS m FROM tfidf GROUP BY term),
+cross_term AS (SELECT doc_id, sum(weight * weight) AS ww, sum(weight * m) AS wm FROM tfidf JOIN mean USING (term) GROUP BY doc_id)
+SELECT doc_id, round(coalesce(ww, 0) - 2 * coalesce(wm, 0) + (SELECT sum(m * m) FROM mean), 6) AS squared_norm
+FROM grams LEFT JOIN cross_term USING (doc_id)""")
+def pca_incremental_distance(spark, sf):
+    """A summary of four fifths of the documents, saved, loaded and updated with the rest, keeps the distances to the mean of all."""
+    vectors, width = _tfidf(spark, sf, SMALL)
+    parts = add_fold(vectors, 5, "doc_id")
+    path = new_table_path(spark, "summary")
+    fit_incremental(parts.where("fold <> 0"), "tfidf", width, width).save(path, spark)
+    summary = fit_incremental(parts.where("fold = 0"), "tfidf", width, width, start=Summary.load(path, spark))
+    squares = F.aggregate("reduced", F.lit(0.0), lambda acc, x: acc + x * x)
+    return summary.projection().transform(vectors, "tfidf", "reduced").select("doc_id", F.round(squares, 6).alias("squared_norm"))
+
+
 _LEXICON = "lexicon(word, polarity, subjectivity) AS (VALUES " + ", ".join(
     f"('{w}', {p}::DOUBLE, {s}::DOUBLE)" for w, (p, s) in fixed.SENTIMENT_LEXICON.items()) + ")"
 
