@@ -23,7 +23,6 @@ from pricewright.session import materialise
 SAMPLE = 10_000  # vectors that centroids and graph are fitted on
 LISTS = 0.8  # times the root of the number of vectors: centroids and list lengths grow alike
 MOST_LISTS = 2048
-BOUNDING = 2000  # sampled vectors that bound a query's k-th distance from above
 REPLICAS, BOUNDARY = 2, 1.03  # a vector joins so many lists at most, whose centroids are at most so much farther
 LINKS = 24  # neighbours of a centroid in the graph
 CHUNK = 8192  # vectors of a list that a task compares at once
@@ -32,7 +31,13 @@ QUERIES, RECALL = 128, 0.97  # sampled queries whose true neighbours among all r
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    square = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2 * (a @ b.T)
+    """All distances; where the product form would cancel, from the differences."""
+    size = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None]
+    square = size - 2 * (a @ b.T)
+    i, j = np.nonzero(square < 1e-6 * size)
+    for at in range(0, len(i), 1 << 16):
+        x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+        square[x, y] = ((a[x] - b[y]) ** 2).sum(axis=1)
     return np.sqrt(np.maximum(square, 0))
 
 
@@ -65,11 +70,11 @@ class Lists:
         """Distances and numbers of some ``beam`` near centroids of each row, nearest first: best-first search on the graph."""
         n, total = len(x), len(self.centroids)
         beam = min(beam, total)
-        square = (self.centroids * self.centroids).sum(axis=1)
-        own = (x * x).sum(axis=1)[:, None]
 
         def distance(ids: np.ndarray) -> np.ndarray:
-            return np.sqrt(np.maximum(own + square[ids] - 2 * np.einsum("nd,nkd->nk", x, self.centroids[ids]), 0))
+            gap = self.centroids[ids]
+            gap -= x[:, None]
+            return np.sqrt(np.einsum("nkd,nkd->nk", gap, gap))
 
         rows = np.arange(n)[:, None]
         seen = np.zeros((n, total), bool)
@@ -216,18 +221,18 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, fill_up: bool = True) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for every row where ``is_query`` holds.
 
     Nearness is the Euclidean distance in double precision on the given vectors; ties go to the smaller id.  Rows
     without an id, and vectors that are null, zero or hold null or non-finite components, or have another length than
     most, take no part.  A candidate is any row with another id; rows with one id count once, by the nearest of them.
     All candidates are returned where there are fewer than ``k``.  Other columns are ignored.
-    Answers come from the posting lists.  Some 2,000 rows bound a query's k-th distance from above; only where the lists
-    have fewer than ``k`` rows within that bound are these rows answers too, and with ``fill_up`` off not even there.
+    Answers come from the posting lists alone.  A query whose lists hold fewer than ``k`` others, as many rows may share an
+    id, reads all lists.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
+    rows = materialise(usable(vectors, id_col, vector_col), "vectors")
     total = rows.count()
     packed = rows.orderBy(F.xxhash64("id"), "v").limit(SAMPLE).toArrow()
     sample = _matrix(packed.column("v"))
@@ -239,9 +244,6 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
         truth = true_neighbours(rows, queries := _matrix(some.column("v")), np.asarray(some.column("id")), k).toArrow()
         set_ratio(lists, queries, np.asarray(truth.column("q")), _matrix(truth.column("v")))
     index = spark.sparkContext.broadcast(lists)  # at most 2,048 centroids
-    _, once = np.unique(np.asarray(packed.column("id")), return_index=True)
-    once = np.sort(once)[:BOUNDING]
-    some_rows = spark.sparkContext.broadcast((np.asarray(packed.column("id"))[once], sample[once]))
 
     def place(batches):
         for batch in batches:
@@ -254,19 +256,32 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
     sizes = np.zeros(len(index.value.centroids), np.int64)
     for r in postings.groupBy("list").count().collect():
         sizes[r[0]] = r[1]
+    found = _read(rows.where(is_query), postings, index, sizes, k, (k + 1) * REPLICAS)
+    few = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    short = materialise(rows.where(is_query).join(few, F.col("id") == F.col("query_id"), "left_anti"), "short")
+    if total > k and short.limit(1).count():
+        again = _read(short, postings, index, sizes, k, int(sizes.sum()) + 1)
+        found = found.join(short.select(F.col("id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(again)
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
+
+
+def _read(queries: DataFrame, postings: DataFrame, index, sizes: np.ndarray, k: int, least: int) -> DataFrame:
+    """query_id, vec_id, score: the ``k`` nearest of the lists that each query reads, which hold ``least`` vectors at least."""
+    spark = queries.sparkSession
     readers = np.zeros(len(sizes), np.int64)  # queries that read each list; at most all of them do
-    if rows.where(is_query).count() > QUERY_CHUNK:
+    if queries.count() > QUERY_CHUNK:
         shared_sizes = spark.sparkContext.broadcast(sizes)
 
         def count_readers(batches):
             total = np.zeros(len(shared_sizes.value), np.int64)
             for batch in batches:
                 for a in range(0, batch.num_rows, 1024):
-                    _, at = index.value.probes(_matrix(batch.slice(a, 1024).column(1)), shared_sizes.value, (k + 1) * REPLICAS)
+                    _, at = index.value.probes(_matrix(batch.slice(a, 1024).column(1)), shared_sizes.value, least)
                     total += np.bincount(at, minlength=len(total))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["list", "n"])
 
-        for r in rows.where(is_query).mapInArrow(count_readers, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():
+        for r in queries.mapInArrow(count_readers, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():
             readers[r[0]] = r[1]
     parts = np.maximum(1, -(-readers // QUERY_CHUNK))
     chunks = spark.sparkContext.broadcast((sizes, np.maximum(1, -(-sizes // CHUNK))))
@@ -275,61 +290,46 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
         for batch in batches:
             for a in range(0, batch.num_rows, 1024):
                 part = batch.slice(a, 1024)
-                vectors = _matrix(part.column(1))
-                row, at = index.value.probes(vectors, chunks.value[0], (k + 1) * REPLICAS)
-                bound = np.full(len(vectors), np.inf)
-                if len(some_rows.value[0]) > k:  # one of the k + 1 nearest of these may be the query itself
-                    bound = np.partition(_distances(vectors, some_rows.value[1]), k, axis=1)[:, k] * (1 + 1e-6) + 1e-6
+                row, at = index.value.probes(_matrix(part.column(1)), chunks.value[0], least)
                 n = chunks.value[1][at]
                 row, at = np.repeat(row, n), np.repeat(at, n)
                 piece = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at), pa.array(piece), *(part.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(bound[row])], names=["list", "piece", "id", "v", "bound"])
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(piece), *(part.column(c).take(pa.array(row)) for c in (0, 1))], names=["list", "piece", "id", "v"])
 
-    def nearest_of(own: np.ndarray, x: np.ndarray, q: int, vector: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact distances of the k nearest of some rows that are within ``bound``, other than row ``q``."""
+    def nearest_of(own: np.ndarray, x: np.ndarray, q: int, vector: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact distances of the k nearest rows, each id once, other than row ``q``."""
         score = np.sqrt(((x - vector) ** 2).sum(axis=1))
-        fine = np.flatnonzero((own != q) & (score <= bound))
-        best = fine[np.lexsort((own[fine], score[fine]))[:k]] if len(fine) <= max(64, k) else _first(score, own, fine, k)
+        fine = np.flatnonzero(own != q)
+        order = fine[np.lexsort((own[fine], score[fine]))] if len(fine) <= 4 * k else _first(score, own, fine, 2 * k)
+        _, first = np.unique(own[order], return_index=True)
+        if len(first) < k and len(order) < len(fine):  # many rows of one id
+            order = fine[np.lexsort((own[fine], score[fine]))]
+            _, first = np.unique(own[order], return_index=True)
+        best = order[np.sort(first)[:k]]
         return own[best], score[best]
 
-    def answers(queries, own, x) -> pa.Table:
-        found = [(q, *nearest_of(own, x, q, vector, bound)) for q, vector, bound in queries]
+    def compare(group: pa.Table) -> pa.Table:
+        side = np.asarray(group.column("side"))
+        ids, v = np.asarray(group.column("id")), _matrix(group.column("v"))
+        own, x = ids[side == 1], v[side == 1]
+        found = [(q, *nearest_of(own, x, q, vector)) for q, vector in zip(ids[side == 0], v[side == 0])]
         return pa.table({
             "query_id": pa.array(np.concatenate([np.full(len(i), q) for q, i, _ in found] or [np.empty(0)]).astype(np.int64)),
             "vec_id": pa.array(np.concatenate([i for _, i, _ in found] or [np.empty(0)]).astype(np.int64)),
             "score": pa.array(np.concatenate([s for _, _, s in found] or [np.empty(0)]).astype(np.float64))})
 
-    def guess(batches):
-        """The k nearest of the rows that bound the search, for queries that the lists leave short."""
-        for batch in batches:
-            ids, v = np.asarray(batch.column(0)), _matrix(batch.column(1))
-            yield from answers([(q, x, np.inf) for q, x in zip(ids, v)], *some_rows.value).to_batches()
-
-    def compare(group: pa.Table) -> pa.Table:
-        side = np.asarray(group.column("side"))
-        ids, v = np.asarray(group.column("id")), _matrix(group.column("v"))
-        bounds = np.asarray(group.column("bound").fill_null(0.0))  # farther rows are not among the k nearest
-        return answers(list(zip(ids[side == 0], v[side == 0], bounds[side == 0])), ids[side == 1], v[side == 1])
-
     pieces = F.lit([int(n) for n in chunks.value[1]]) if (chunks.value[1] > 1).any() else None
     spread = F.lit(0).cast("long") if pieces is None else F.pmod(F.xxhash64("id"), F.element_at(pieces, (F.col("list") + 1).cast("int")))
-    left = rows.where(is_query).mapInArrow(probe, "list long, piece long, id long, v array<double>, bound double").withColumn("side", F.lit(0))
-    right = postings.withColumns({"piece": spread, "bound": F.lit(None).cast("double"), "side": F.lit(1)})
+    left = queries.mapInArrow(probe, "list long, piece long, id long, v array<double>").withColumn("side", F.lit(0))
+    right = postings.withColumns({"piece": spread, "side": F.lit(1)})
     # Each part of a list's queries meets all vectors of the list.
     split = F.element_at(F.lit([int(n) for n in parts]), (F.col("list") + 1).cast("int")) if (parts > 1).any() else None
     left = left.withColumn("part", F.lit(0) if split is None else F.pmod(F.xxhash64(F.lit("part"), "id"), split).cast("int"))
     right = right.withColumn("part", F.lit(0) if split is None else F.explode(F.sequence(F.lit(0), split - 1)))
     found = left.unionByName(right).groupBy("list", "piece", "part").applyInArrow(compare, "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    if fill_up:
-        more = rows.where(is_query).mapInArrow(guess, "query_id long, vec_id long, score double")
-        both = best.withColumn("listed", F.lit(1)).unionByName(more.withColumn("listed", F.lit(0)))
-        best = both.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"), F.max("listed").alias("listed"))
-        have = F.sum("listed").over(Window.partitionBy("query_id"))
-        best = best.withColumn("have", have).where((F.col("listed") == 1) | (F.col("have") < k))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
+    return materialise(best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank"), "found")
 
 
 def _first(score: np.ndarray, ids: np.ndarray, fine: np.ndarray, k: int) -> np.ndarray:

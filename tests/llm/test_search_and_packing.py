@@ -61,21 +61,45 @@ def test_neighbours_edges(spark, monkeypatch):
     assert N.nearest_neighbours(table.where("vec_id = 300"), F.lit(True)).collect() == []
 
 
-def test_recall_of_the_lists_alone(spark, monkeypatch):
-    """20,000 vectors, ten times the rows that bound the search, none of which may answer; queries of a list in parts."""
+def clustered(spark, seed, groups, each, size, spread, dims=16):
+    """Vectors in groups: centres of ``size``, members some ``spread`` around them."""
+    rng = np.random.default_rng(seed)
+    x = np.repeat(rng.normal(size=(groups, dims)) * size, each, axis=0) + rng.normal(size=(groups * each, dims)) * spread
+    x, ids = x[rng.permutation(len(x))], np.arange(len(x))
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>").repartition(8)
+    return frame, ids, x
+
+
+def recall(spark, frame, ids, x, step):
+    got = N.nearest_neighbours(frame, F.col("id") % step == 0).toPandas()
+    assert not got.duplicated(["query_id", "vec_id"]).any() and len(got) == 10 * len(ids[::step])
+    return sum(len(set(exact(ids, x, q, 10)[0]) & set(got[got.query_id == ids[q]].vec_id)) for q in range(0, len(ids), step)) / len(got)
+
+
+def test_recall_of_the_lists(spark, monkeypatch):
+    """20,000 vectors in overlapping groups; queries of a list in parts."""
     monkeypatch.setattr(N, "QUERY_CHUNK", 16)
-    table = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").where("vec_id % 5 < 2")
-    rows = table.select("vec_id", "embedding").toPandas()
-    x, ids = np.stack(rows.embedding).astype(float), rows.vec_id.to_numpy()
-    assert len(ids) > 9 * N.BOUNDING
-    got = N.nearest_neighbours(table, F.col("id") % 100 == 0, fill_up=False).toPandas()
-    assert not got.duplicated(["query_id", "vec_id"]).any()
-    queries = np.flatnonzero(ids % 100 == 0)
-    hits = sum(len(set(exact(ids, x, q, 10)[0]) & set(got[got.query_id == ids[q]].vec_id)) for q in queries)
-    print("recall of the lists alone", hits / (10 * len(queries)), len(ids))
-    assert hits / (10 * len(queries)) >= 0.9
-    whole = N.nearest_neighbours(table, F.col("id") % 100 == 0).toPandas()
-    assert (whole.groupby("query_id").size() == 10).all() and len(whole) == 10 * len(queries)
+    found = recall(spark, *clustered(spark, 1, 400, 50, 1.0, 0.7), 100)
+    print("recall of the lists", found)
+    assert found >= 0.9
+
+
+@pytest.mark.parametrize("size, spread", [(1e3, 1e-5), (1e5, 1e-4), (1e6, 1.0), (1e-3, 1e-9)])
+def test_near_copies_far_from_the_origin(spark, size, spread):
+    found = recall(spark, *clustered(spark, 2, 30, 200, size, spread), 100)
+    print("recall", size, spread, found)
+    assert found >= 0.9
+
+
+def test_rows_that_share_an_id_do_not_hide_others(spark):
+    rng = np.random.default_rng(6)
+    rows = [(7, [1.0 + 1e-9 * k, 0.0]) for k in range(400)] + [(k, rng.normal(size=2).tolist()) for k in range(1000, 1040)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = N.nearest_neighbours(table, F.col("id") == 7).toPandas()
+    assert got.vec_id.is_unique or (got.groupby(["query_id", "rank"]).size() >= 1).all()
+    x = np.array([v for k, v in rows if k >= 1000])
+    want = {1000 + int(i) for i in np.argsort(((x - [1.0, 0.0]) ** 2).sum(axis=1))[:10]}
+    assert set(got.vec_id) == want
 
 
 @pytest.fixture(scope="module")
