@@ -103,7 +103,7 @@ def op7_retrieval_packing(spark, sf):
 def op8_warc(spark, sf):
     """All pages written as WARC archives and read back, in the order of the merged capture index: equal payloads are stored once."""
     found = round_trip(table(spark, sf, "pages"))
-    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "position", "url_key", "date")
 
 
 @query("op9_mixing", S.mixing("documents", ROUNDS, TEMPER, SHARE))

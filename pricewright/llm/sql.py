@@ -45,7 +45,7 @@ LEFT JOIN (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS k
 
 
 def warc(source: str) -> str:
-    """Digests and record types of pages; base32 from the hexadecimal digest, five bits at a time."""
+    """Digests, record types and the order of captures; base32 from the hexadecimal digest, five bits at a time."""
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
     bits = "".join(f"WHEN '{i:x}' THEN '{i:04b}' " for i in range(16))
     return f"""
@@ -53,9 +53,13 @@ WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM {source}),
 sums AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS hex FROM payloads),
 binaries AS (SELECT page_id, payload_bytes, list_reduce([CASE substr(hex, i, 1) {bits}END FOR i IN range(1, 41)], lambda a, b: a || b) AS bits FROM sums),
 digests AS (SELECT page_id, payload_bytes, list_reduce([substr('{letters}', 1 + (('0b' || substr(bits, 1 + 5 * i, 5))::INT), 1) FOR i IN range(0, 32)], lambda a, b: a || b) AS payload_digest FROM binaries),
-firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM digests)
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM digests),
+places AS (SELECT page_id, regexp_replace(regexp_replace(CASE WHEN coalesce(url, '') = '' THEN 'urn:page:' || page_id ELSE regexp_replace(url, '[\\x00-\\x20\\x7F]', '%20', 'g') END, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare,
+  strftime(make_timestamp((1577836800 + page_id % 1000000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS date FROM {source}),
+parts AS (SELECT page_id, date, regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '(^www\\d*\\.)|(:\\d+$)', '', 'g') AS host, regexp_replace(bare, '^[^/?]*', '') AS rest FROM places),
+keys AS (SELECT page_id, date, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END AS url_key FROM parts)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts"""
+  CASE WHEN page_id <> first THEN first END AS refers_to, row_number() OVER (ORDER BY url_key, date, page_id) - 1 AS position, url_key, date FROM firsts JOIN keys USING (page_id)"""
 
 
 def mixing(source: str, rounds: int, temper: float, share: float) -> str:

@@ -17,16 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.ipc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricewright.session import materialise, new_table_path
 
 ARCHIVE_BYTES = 8 << 20  # payload of an archive on average
 SPAN_ROWS = 50_000  # captures of a span of the index on average
+RUN_ROWS = 100_000  # captures that are sorted at once
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _CAPTURE = ["url_key", "date", "id", "record_type", "refers_to", "payload_bytes", "payload_digest", "offset", "archive"]
+_ORDER = ["url_key", "date", "id", "archive", "offset"]
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -38,14 +41,13 @@ def base32(hexadecimal: Column) -> Column:
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                    date: Column | None = None, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Writes a WARC record per page under ``path``, in archives of about ``archive_bytes``.
+    """Writes a WARC record per page under ``path``, in archives of about ``archive_bytes``: a record that passes that is the last of its archive.
 
     Of records with equal payloads of at least ``least`` bytes, that with the smallest id is a response and the others
     are revisits that name it and hold no payload.  Null payloads are empty; null or empty URLs become ``urn:page:<id>``;
     line ends and blanks in a URL are percent-encoded.  Rows without an id are left out; of rows with one id, equal payloads
     refer to that id like others.  ``date`` gives the capture time, by default as many seconds after 2020 as the id says.
     """
-    size, count = pages.agg(F.sum(F.octet_length(payload_col)), F.count("*")).first()
     clean = pages.where(F.col(id_col).isNotNull())
     stamp = date if date is not None else F.timestamp_seconds(F.lit(1577836800) + F.pmod(F.col(id_col).cast("long"), F.lit(10 ** 9)))
     body = F.coalesce(F.col(payload_col), F.lit(""))
@@ -69,8 +71,24 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.when(copy, F.concat(F.lit(f"WARC-Profile: {_PROFILE}\r\nWARC-Refers-To: "), name(F.col("first")))),
         F.concat(F.lit("X-Payload-Length: "), F.col("bytes").cast("string")), F.lit("Content-Type: text/html; charset=utf-8"),
         F.concat(F.lit("Content-Length: "), F.octet_length(content).cast("string")), F.lit(""), content)
-    most = max(1, int(archive_bytes * count / max(1, size or 0)))
-    rows.select(header.alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", most).text(path)
+    filled = _numbered(rows.select(header.cast("binary").alias("value")), archive_bytes)
+    filled.select(F.col("value").cast("string"), "number").write.partitionBy("number").option("lineSep", "\r\n\r\n").text(path)
+
+
+def _numbered(rows: DataFrame, archive_bytes: int) -> DataFrame:
+    """Adds the number of a task's archive: the next one begins once ``archive_bytes`` are in the present one."""
+    def run(batches):
+        number = size = 0
+        for batch in batches:
+            numbers = []
+            for n in pc.binary_length(batch.column(0)).to_pylist():
+                if size >= archive_bytes:
+                    number, size = number + 1, 0
+                size += n
+                numbers.append(number)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(numbers, pa.int32())], names=["value", "number"])
+
+    return rows.mapInArrow(run, "value binary, number int")
 
 
 def records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -117,7 +135,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     schema = "id long, url string, date string, record_type string, refers_to long, payload_bytes long, payload_digest string, archive string, offset long"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path).select("path", "content")
     return files.mapInArrow(run, schema + (", payload binary" if with_payload else ""))
 
 
@@ -169,12 +187,12 @@ class LoserTree:
             self._play(run)
 
 
-def capture_index(found: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
+def capture_index(found: DataFrame, span_rows: int = SPAN_ROWS, run_rows: int = RUN_ROWS) -> DataFrame:
     """Captures in global order: span, position, url_key, date, id, record_type, refers_to, payload_bytes, payload_digest, offset, archive.
 
-    ``found`` is what ``read_archives`` gives.  The captures of an archive are one run, sorted where they are and sent to
-    the spans in slices; a span merges the slices of all runs.  ``span`` numbers the spans in order, ``position`` the
-    captures within one.  Spans are cut by URL key, date and id together, so a URL with very many captures is spread
+    ``found`` is what ``read_archives`` gives.  A task sorts the captures that it reads in runs of ``run_rows`` and sends them to
+    the spans in slices; a span merges the slices of all runs.  ``span`` numbers the spans in order, ``position`` all
+    captures from 0.  Spans are cut by URL key, date and id together, so a URL with very many captures is spread
     over several.  Captures equal in all of these are ordered by archive and offset.  No captures, no rows.
     """
     rows = materialise(found.withColumn("url_key", url_key(F.col("url"))).select("archive", *_CAPTURE[:-1]), "captures")
@@ -184,27 +202,41 @@ def capture_index(found: DataFrame, span_rows: int = SPAN_ROWS) -> DataFrame:
     sample = sorted(tuple(r) for r in sample)  # some 16 keys a span
     cuts = found.sparkSession.sparkContext.broadcast([sample[len(sample) * k // spans] for k in range(1, spans)] if sample else [])
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.select(_CAPTURE).sort_by([(c, "ascending") for c in ("url_key", "date", "id", "offset")])
-        keys = list(zip(*(group.column(c).to_pylist() for c in ("url_key", "date", "id"))))
+    def cut(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        run = pa.Table.from_batches(held).select(_CAPTURE).sort_by([(c, "ascending") for c in _ORDER])
+        keys = list(zip(*(run.column(c).to_pylist() for c in ("url_key", "date", "id"))))
         edges = [0, *(bisect.bisect_left(keys, c) for c in cuts.value), len(keys)]
         slices = [(k, a, b) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a]
-        return pa.table({"span": pa.array([k for k, _, _ in slices], pa.int64()), "run": pa.array([_packed(group.slice(a, b - a)) for _, a, b in slices], pa.binary())})
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in slices], pa.int64()), pa.array([_packed(run.slice(a, b - a)) for _, a, b in slices], pa.binary())], names=["span", "run"])
+
+    def runs_of_task(batches):
+        held = []
+        for batch in batches:
+            for a in range(0, batch.num_rows, run_rows):
+                held.append(batch.slice(a, run_rows))
+                if sum(b.num_rows for b in held) >= run_rows:
+                    yield cut(held)
+                    held = []
+        if held:
+            yield cut(held)
 
     def merge(group: pa.Table) -> pa.Table:
         runs = [pa.ipc.open_stream(r).read_all() for r in group.column("run").to_pylist()]
-        runs.sort(key=lambda t: t.column("archive")[0].as_py())
         whole = pa.concat_tables(runs)
         starts = np.cumsum([0, *(t.num_rows for t in runs)]).tolist()
-        heads = [zip(*(t.column(c).to_pylist() for c in ("url_key", "date", "id", "archive", "offset")), range(a, a + t.num_rows)) for t, a in zip(runs, starts)]
+        heads = [zip(*(t.column(c).to_pylist() for c in _ORDER), range(a, a + t.num_rows)) for t, a in zip(runs, starts)]
         order = [row[-1] for row in LoserTree(heads)]
         out = whole.take(pa.array(order, pa.int64()))
         span = group.column("span")[0].as_py()
-        return pa.table({"span": np.full(len(order), span), "position": np.arange(len(order)), **{c: out.column(c) for c in _CAPTURE}})
-
-    dealt = rows.groupBy("archive").applyInArrow(run, "span long, run binary")
-    return dealt.groupBy("span").applyInArrow(
-        merge, "span long, position long, url_key string, date string, id long, record_type string, refers_to long, payload_bytes long, payload_digest string, offset long, archive string")
+        return pa.table({"span": np.full(len(order), span), "place": np.arange(len(order)), **{c: out.column(c) for c in _CAPTURE}})
+
+    dealt = rows.mapInArrow(runs_of_task, "span long, run binary")
+    merged = materialise(dealt.groupBy("span").applyInArrow(
+        merge, "span long, place long, url_key string, date string, id long, record_type string, refers_to long, payload_bytes long, payload_digest string, offset long, archive string"), "capture-index")
+    sizes = merged.groupBy("span").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("span").rowsBetween(Window.unboundedPreceding, -1)  # one row a span
+    begins = sizes.select("span", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    return merged.join(begins, "span").withColumn("position", F.col("begin") + F.col("place")).select("span", "position", *_CAPTURE)
 
 
 def _packed(table: pa.Table) -> bytes:

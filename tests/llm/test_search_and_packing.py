@@ -236,14 +236,26 @@ def test_capture_index_is_globally_ordered(spark):
     path = new_table_path(spark, "warc")
     write_archives(pages(spark, rows), path, archive_bytes=300)
     found = read_archives(spark, path)
-    got = capture_index(found, span_rows=60).orderBy("span", "position").collect()
-    keys = [(r["url_key"], r["date"], r["id"]) for r in got]
-    assert keys == sorted(keys) and len(keys) == 400 and len({r["span"] for r in got}) > 3
+    for run_rows in (7, 1000):
+        got = capture_index(found, span_rows=60, run_rows=run_rows).orderBy("position").collect()
+        keys = [(r["url_key"], r["date"], r["id"]) for r in got]
+        assert keys == sorted(keys) and len(keys) == 400 and len({r["span"] for r in got}) > 3
+        assert [r["position"] for r in got] == list(range(400)) and [r["span"] for r in got] == sorted(r["span"] for r in got)
     assert capture_index(found.limit(0)).collect() == []
     shown = spark.range(1).select(url_key(F.lit("HTTP://www.News.Example.com:80/A?b=C#d")).alias("x"), url_key(F.lit("a.b")).alias("y")).first()
     assert tuple(shown) == ("com,example,news)/A?b=C", "b,a)/")
 
 
+def test_archives_are_cut_by_bytes(spark):
+    """Many small pages before some large ones: no archive holds more than its size and one record."""
+    rows = [(k, f"http://s.example/{k}", "x" * (20 if k < 2000 else 50_000)) for k in range(2030)]
+    path = new_table_path(spark, "warc")
+    write_archives(pages(spark, rows).coalesce(1), path, archive_bytes=100_000)
+    sizes = [r[0] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("length").collect()]
+    assert max(sizes) < 100_000 + 51_000 and len(sizes) > 8
+    assert read_archives(spark, path).count() == 2030
+
+
 def test_op8_takes_its_rows_from_the_merged_index(spark, monkeypatch):
     merged = []
     monkeypatch.setattr(W, "SPAN_ROWS", 40)
@@ -252,7 +264,7 @@ def test_op8_takes_its_rows_from_the_merged_index(spark, monkeypatch):
     order = merged[0].orderBy("span", "position").collect()
     keys = [(r["url_key"], r["date"], r["id"]) for r in order]
     assert keys == sorted(keys) and len({r["span"] for r in order}) > 3
-    want = {(r["id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in order}
+    want = {(r["id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"], r["position"], r["url_key"], r["date"]) for r in order}
     assert {tuple(r) for r in got} == want and len(got) == len(order) == spark.read.parquet(f"{SF}/pages.parquet").count()
 
 
