@@ -82,3 +82,12 @@ SENTIMENT_LEXICON = {
     "terrible": (-1.0, 1.0), "ugly": (-0.7, 1.0), "warm": (0.6, 0.6), "weak": (-0.38, 0.63),
     "wonderful": (1.0, 1.0), "worst": (-1.0, 1.0), "wrong": (-0.5, 0.9),
 }
+
+# --- fixed values: words that turn the next word of a sentiment around, and factors that adverbs put on it ---
+NEGATIONS = ("no", "not", "never", "without", "neither", "nor", "cannot")
+INTENSITIES = {
+    "absolutely": 1.5, "barely": 0.5, "completely": 1.4, "especially": 1.3, "exceptionally": 1.5, "extremely": 1.5,
+    "fairly": 0.9, "highly": 1.3, "incredibly": 1.5, "mildly": 0.6, "moderately": 0.8, "most": 1.3, "pretty": 1.1,
+    "quite": 1.1, "rather": 0.9, "really": 1.3, "slightly": 0.6, "so": 1.2, "somewhat": 0.7, "too": 1.2,
+    "totally": 1.4, "truly": 1.3, "very": 1.3,
+}

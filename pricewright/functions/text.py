@@ -155,24 +155,73 @@ def combine_detailed(*fields: Column) -> Column:
 
 # ---- vectoriser front end ----
 
-def _single_character_decompositions() -> tuple[str, str]:
-    """Every character whose compatibility decomposition, without its marks, is one other character."""
-    source, target = [], []
-    for code in range(0xA0, 0x10000):
+_HANGUL = (0xAC00, 0xD7A3)
+
+
+def _decompositions() -> tuple[str, str, str, dict[str, str]]:
+    """Compatibility decompositions without combining marks, of all code points: those to one character, in two texts; the
+    characters that leave nothing; and those to several. Hangul syllables, which follow a rule, are not among them."""
+    source, target, nothing, several = [], [], [], {}
+    for code in range(0xA0, 0x110000):
+        if 0xD800 <= code < 0xE000 or _HANGUL[0] <= code <= _HANGUL[1]:
+            continue
         char = chr(code)
         base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if len(base) == 1 and base != char:
-            source.append(char)
+        if len(base) > 1:
+            several[char] = base
+        elif base != char:
+            (source if base else nothing).append(char)
             target.append(base)
-    return "".join(source), "".join(target)
+    return "".join(source), "".join(target), "".join(nothing), several
+
+
+_ACCENTED, _BASE, _MARKS, _SEVERAL = _decompositions()
+_PARTS = 64
+
+
+def _class(chars: str) -> str:
+    """A pattern for any of these characters, as ranges of code points."""
+    codes, ranges = sorted(map(ord, chars)), []
+    for code in codes:
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
 
 
-_ACCENTED, _BASE = _single_character_decompositions()
+def _jamo(char: Column) -> Column:
+    """The two or three letters of a Hangul syllable."""
+    at = F.ascii(char) - _HANGUL[0]
+    letter = lambda code: F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+    last = at % 28
+    return F.concat(letter(F.floor(at / 588) + 0x1100), letter(F.floor((at % 588) / 28) + 0x1161), F.when(last > 0, letter(last + 0x11A7)).otherwise(""))
+
+
+def _spelled_out(text: Column) -> Column:
+    """Characters that decompose to several. Each is looked up in the part of the table that its number falls in."""
+    parts: list[list[str]] = [[] for _ in range(_PARTS)]
+    for char, base in _SEVERAL.items():
+        parts[ord(char) % _PARTS].append(f"{char}\x01{base}")
+    maps = F.array(*[F.str_to_map(F.lit("\x02".join(p)), F.lit("\x02"), F.lit("\x01")) for p in parts])
+
+    def spell(char: Column) -> Column:
+        code = F.ascii(char)
+        known = F.try_element_at(F.get(maps, code % _PARTS), char)
+        return F.when(code < 0xA0, char).when(code.between(*_HANGUL), _jamo(char)).otherwise(F.coalesce(known, char))
+
+    return F.array_join(F.transform(F.split(text, ""), spell), "")
 
 
 def strip_accents(text: Column) -> Column:
-    """Accented letters become their base letter, free-standing marks go."""
-    return F.regexp_replace(F.translate(text, _ACCENTED, _BASE), r"\p{Mn}", "")
+    """The compatibility decomposition of a text without its combining marks, code point by code point.
+
+    Most characters that change become one other, or go; only texts with a ligature, a fraction, a Hangul syllable or another
+    character that becomes several are looked at character by character.
+    """
+    simple = F.translate(text, _ACCENTED + _MARKS, _BASE)
+    odd = text.rlike(_class("".join(_SEVERAL) + "".join(map(chr, range(_HANGUL[0], _HANGUL[1] + 1)))))
+    return F.when(odd, _spelled_out(simple)).otherwise(simple)
 
 
 def tokens(text: Column, accents: bool = True) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from pricewright import fixed
 from pricewright.functions import numeric as N
+from pricewright.functions import sentiment as S
 from pricewright.functions import text as X
 from pricewright.operators.quantiles import column_medians
 
@@ -58,12 +59,20 @@ def detailed_value_features(df: DataFrame, medians: dict[str, float] | None = No
     return out.withColumns({f"{c}_log": N.log1p_floor0(F.col(c)) for c in present})
 
 
-def labelled_sentiment(df: DataFrame, lexicon: dict = fixed.SENTIMENT_LEXICON, max_chars: int | None = None) -> DataFrame:
+def labelled_sentiment(df: DataFrame, lexicon: dict = fixed.SENTIMENT_LEXICON, max_chars: int | None = None, modifiers: bool = False) -> DataFrame:
+    """``sentiment`` of the item name: the mean over words, or with adverbs and negations if ``modifiers``."""
     name = X.first_chars(X.or_empty(F.col("item_name")), max_chars)
+    if modifiers:
+        return df.withColumn("sentiment", S.scores(name, S.Lexicon(lexicon))["polarity"])
     return df.withColumn("sentiment", X.sentiment(X.tokens(name), lexicon))
 
 
-def detailed_sentiment(df: DataFrame, lexicon: dict = fixed.SENTIMENT_LEXICON, columns: list[str] = DETAILED_TEXTS) -> DataFrame:
+def detailed_sentiment(df: DataFrame, lexicon: dict = fixed.SENTIMENT_LEXICON, columns: list[str] = DETAILED_TEXTS, modifiers: bool = False) -> DataFrame:
+    """Polarity and subjectivity of each text column that there is."""
+    if modifiers:
+        for c in columns:
+            df = S.add_scores(df, c, f"{c}_sentiment", S.Lexicon(lexicon)) if c in df.columns else df
+        return df
     return df.withColumns({
         f"{c}_sentiment_{which}": X.sentiment(X.tokens(F.col(c)), lexicon, which)
         for c in columns if c in df.columns

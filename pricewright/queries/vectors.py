@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricewright import fixed
 from pricewright.functions import text as X
+from pricewright.functions.sentiment import TOKEN, add_scores
 from pricewright.operators import vectorize as V
 from pricewright.operators.evaluate import aggregate_importance
 from pricewright.operators.features import labelled_sentiment
@@ -259,6 +260,44 @@ def sentiment_documents(spark, sf):
     return documents(spark, sf).select("doc_id", *scores)
 
 
+#: Opinions on parts, in SQL that Spark and DuckDB both run.
+_OPINIONS = """SELECT p_partkey AS sample_id, CASE p_partkey % 9 WHEN 0 THEN 'Not a good' WHEN 1 THEN 'It really is great, this' WHEN 2 THEN 'Very bad, never fresh!'
+  WHEN 3 THEN 'Isn''t the best' WHEN 4 THEN 'GOOD!! But not very' WHEN 5 THEN 'Truly so nice' WHEN 6 THEN 'Too small; quite' WHEN 7 THEN 'Without any' ELSE '' END
+  || ' ' || lower(p_type) || CASE p_size % 6 WHEN 0 THEN '. Slightly cheap' WHEN 1 THEN ' wonderful!' WHEN 2 THEN ' not. Excellent' WHEN 3 THEN ' most difficult, no?' WHEN 4 THEN ' a light' ELSE ' strong' END
+  || CASE WHEN p_partkey % 4 = 0 THEN ' and rather ' || lower(p_name) || ' perfect!' ELSE '' END AS opinion FROM {part}"""
+
+
+def _modifier_sql() -> str:
+    """The same rules as a fold over structs that hold a token's numbers and the state side by side."""
+    table = {**{w: [p, s, 0.0, 1.0] for w, (p, s) in fixed.SENTIMENT_LEXICON.items()}, **{w: [0.0, 0.0, i, 0.0] for w, i in fixed.INTENSITIES.items()}}
+    words = "MAP {" + ", ".join(f"'{w}': {x}::DOUBLE[]" for w, x in table.items()) + "}"
+    no = "[" + ", ".join(f"'{w}'" for w in fixed.NEGATIONS) + "]"
+    cut = "greatest(-1.0, least(1.0, {}))"
+    state = "polarity: {}, subjectivity: {}, n: {}, last: {}, boost: {}, negated: {}, w: {}, x: {}, no: {}"
+    token = state.format("0.0::DOUBLE", "0.0::DOUBLE", "0.0::DOUBLE", "0.0::DOUBLE", "1.0::DOUBLE", "false", "w", f"coalesce(({words})[w], [0, 0, 0, 0]::DOUBLE[])", f"(list_contains({no}, w) OR regexp_matches(w, 'n[''’]t$'))")
+    scored, adverb, ends = "b.x[4] = 1", "b.x[3] > 0", "list_contains(['.', '?', ';', '!'], b.w)"
+    polarity = f"({cut.format('b.x[1] * a.boost')} * CASE WHEN a.negated THEN -0.5 ELSE 1.0 END)"
+    louder = f"CASE WHEN b.w = '!' AND a.n > 0 THEN {cut.format('a.last * 1.25')} ELSE a.last END"
+    after = state.format(
+        f"a.polarity + CASE WHEN {scored} THEN {polarity} ELSE {louder} - a.last END",
+        f"a.subjectivity + CASE WHEN {scored} THEN {cut.format('b.x[2] * a.boost')} ELSE 0 END", f"a.n + ({scored})::INT",
+        f"CASE WHEN {scored} THEN {polarity} ELSE {louder} END",
+        f"CASE WHEN {adverb} THEN CASE WHEN {scored} THEN 1 ELSE a.boost END * b.x[3] WHEN {scored} OR {ends} THEN 1 WHEN length(b.w) <= 2 OR b.no THEN a.boost ELSE 1 END",
+        f"CASE WHEN b.no THEN true WHEN {scored} OR {ends} THEN false WHEN {adverb} OR length(b.w) = 1 THEN a.negated ELSE false END", "b.w", "b.x", "b.no")
+    pattern = TOKEN.replace("'", "''")
+    return f"""tokens AS (SELECT sample_id, regexp_extract_all(lower(opinion), '{pattern}') AS t FROM opinions),
+folded AS (SELECT sample_id, list_reduce(list_prepend({{{token.replace(', w: w,', ", w: '',").replace('[w]', "['']").replace(', w)', ", '')").replace('(w,', "('',")}}}, list_transform(t, lambda w: {{{token}}})), lambda a, b: {{{after}}}) AS s FROM tokens)
+SELECT sample_id, round(CASE WHEN s.n > 0 THEN s.polarity / s.n ELSE 0 END, 6) + 0.0 AS polarity, round(CASE WHEN s.n > 0 THEN s.subjectivity / s.n ELSE 0 END, 6) AS subjectivity FROM folded"""
+
+
+@query("sentiment_modifiers", f"WITH opinions AS ({_OPINIONS.format(part='part')}), {_modifier_sql()}")
+def sentiment_modifiers(spark, sf):
+    """Sentiment under adverbs, negations and exclamation marks, which end with their sentence."""
+    rows = spark.sql(_OPINIONS, part=table(spark, sf, "part"))
+    found = add_scores(rows, "opinion", "s")
+    return found.select("sample_id", (F.round("s_polarity", 6) + 0.0).alias("polarity"), F.round("s_subjectivity", 6).alias("subjectivity"))
+
+
 # ---- feature scores over line items ----
 
 FEATURES = ["value", "pack_count", "name_length", "supplier", "line", "constant"]

@@ -126,3 +126,42 @@ def test_every_catalog_row_against_plain_python(spark):
         pack = re.search(r"(?:Pack\s*of\s*|Count[:\s]*)(\d+)", text, re.I)
         assert r["spec_pack_count"] == (int(pack.group(1)) if pack else None)
         assert r["category_home"] == int(any(w in text.lower() for w in ("home", "kitchen", "decor")))
+
+
+def test_strip_accents_of_every_assigned_code_point(spark):
+    """Alone, and in rows of a hundred, against the library's decomposition without combining marks."""
+    import unicodedata
+
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn" and not 0xE000 <= c < 0xF900 and c < 0xF0000]
+    plain = lambda t: "".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x))
+    rows = ["".join(chars[a:a + 100]) for a in range(0, len(chars), 100)]
+    table = spark.createDataFrame(list(enumerate(rows)), "i int, t string").repartition(8)
+    got = {r["i"]: r["p"] for r in table.select("i", X.strip_accents(F.col("t")).alias("p")).collect()}
+    for i, row in enumerate(rows):
+        assert got[i] == "".join(map(plain, row)), (i, [c for c in row if plain(c) != c][:5])
+    assert spark.range(1).select(X.strip_accents(F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_sentiment_with_modifiers(spark, tmp_path):
+    """Sentences worked by hand: good is 0.7 / 0.6, great 0.8 / 0.75, bad -0.7 / 0.67."""
+    from pricewright.functions import sentiment as S
+
+    want = {
+        "good": (0.7, 0.6), "Very good": (0.91, 0.78), "not good": (-0.35, 0.6), "not a good one": (-0.35, 0.6), "not the good one": (0.7, 0.6),
+        "really very good": (1.0, 1.0), "not very good": (-0.455, 0.78), "it isn't good": (-0.35, 0.6), "good!": (0.875, 0.6), "good!!": (1.0, 0.6),
+        "really is good": (0.91, 0.78), "really the good": (0.7, 0.6), "very. Good": (0.7, 0.6), "not. Good": (0.7, 0.6), "!": (0.0, 0.0),
+        "good but bad": (0.0, 0.635), "very nothing": (0.0, 0.0), "slightly bad; great": ((-0.42 + 0.8) / 2, (0.402 + 0.75) / 2), "": (0.0, 0.0), "Not never good": (-0.35, 0.6),
+    }
+    rows = spark.createDataFrame([(t,) for t in want] + [(None,)], "t string")
+    got = {r["t"]: (r["s_polarity"], r["s_subjectivity"]) for r in S.add_scores(rows, "t", "s").collect()}
+    assert got.pop(None) == (0.0, 0.0)
+    for text, pair in want.items():
+        assert got[text] == pytest.approx(pair), text
+    path = tmp_path / "lexicon.csv"
+    path.write_text("word,polarity,subjectivity,intensity\nGrand,0.5,0.4,\nhugely,,,2.0\nfine,0.2,0.1,1.5\n")
+    own = S.read_lexicon(spark, str(path))
+    assert own.words == {"grand": (0.5, 0.4), "fine": (0.2, 0.1)} and own.adverbs == {"hugely": 2.0, "fine": 1.5}
+    scored = S.add_scores(spark.createDataFrame([("hugely grand",), ("fine grand",), ("good",)], "t string"), "t", "s", own).collect()
+    assert [(round(r["s_polarity"], 9), round(r["s_subjectivity"], 9)) for r in scored] == [(1.0, 0.8), (round((0.2 + 0.75) / 2, 9), round((0.1 + 0.6) / 2, 9)), (0.0, 0.0)]
+    with pytest.raises(ValueError):
+        S.Lexicon({f"w{i}": (0.0, 0.0) for i in range(S.MOST_WORDS)})
