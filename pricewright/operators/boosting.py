@@ -1,9 +1,9 @@
 """Boosted trees with second-order gains: level by level or best leaf first, with early stopping by patience.
 
 Features become bin numbers once and are written.  For each round the open nodes of one tree get histograms, sums of
-gradients and counts per (node, feature, bin): a task adds up its rows in arrays, Spark sums the cells of all tasks.
+gradients and counts per (node, feature, bin): a task adds up its rows in arrays, Spark sums the arrays of all tasks in blocks.
 Only the smaller of two siblings is counted; the other is its parent less that.  Gradients are integers on a common
-scale, so that their sums are the same in any order.
+scale whose sums a double holds exactly, so that they are the same in any order.
 
 What reaches the driver is the histograms of some nodes, ``CELLS`` cells at a time, whatever the number of rows.
 Predictions are written with the rows every few rounds, so a lost executor costs its tasks only.
@@ -26,7 +26,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StructType
 
@@ -35,9 +35,11 @@ from pricewright.operators.quantiles import sketched_quantiles
 from pricewright.session import materialise
 
 CELLS = 1 << 20  # cells of the histograms that one scan brings to the driver
+TASK_BYTES = 2 << 20  # rows that are worth a task, some 64 bytes and a byte a feature each: many small scans make a tree
 REWRITE = 8  # rounds after which predictions are written with the rows
 MAX_BINS = 256  # a bin number is one byte
-_BITS = 30  # of a gradient's integer
+_BITS = 30  # of a gradient's integer, at most
+_BLOCK = 1 << 15  # cells of a histogram that travel in a row
 
 
 # ---- trees ----
@@ -368,27 +370,31 @@ def _counts(rows: DataFrame, scan: _Scan) -> tuple[dict[int, tuple[np.ndarray, n
                     key = (bins[np.ix_(mine, chosen)] + np.arange(len(chosen)) * scan.bins).ravel()
                     g_sum[i] += np.bincount(key, np.repeat(g[mine], len(chosen)), cells)
                     n_sum[i] += np.bincount(key, minlength=cells)
-        node, cell = np.nonzero(n_sum)
-        columns = [node, chosen[cell // scan.bins], cell % scan.bins, g_sum[node, cell], n_sum[node, cell]]
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-        out = [pa.array(c.astype(np.int64)).cast(k) for c, k in zip(columns, kinds)]
-        yield pa.RecordBatch.from_arrays([*out, pa.array(np.zeros(len(node)))], names=["node", "feature", "bin", "g", "n", "error"])
+        for i in range(len(scan.wanted)):
+            for block, at in enumerate(range(0, cells, _BLOCK)):
+                yield row(i * blocks + block, np.r_[g_sum[i, at:at + _BLOCK], n_sum[i, at:at + _BLOCK]])
         if scan.loss:
-            row = [pa.array([v], k) for v, k in zip((-1, -1, -1, 0, held_rows), kinds)]
-            yield pa.RecordBatch.from_arrays([*row, pa.array([error])], names=["node", "feature", "bin", "g", "n", "error"])
+            yield row(-1, np.array([error, held_rows]))
 
-    cells = rows.mapInArrow(run, "node int, feature int, bin int, g long, n long, error double")
-    found = cells.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("n").alias("n"), F.sum("error").alias("error")).toArrow()
-    column = {name: found.column(name).to_numpy() for name in found.column_names}
-    out, extra = {}, column["node"] < 0
+    def row(key: int, numbers: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([numbers.astype(np.float64).tobytes()], pa.binary())], names=["key", "part"])
+
+    def added(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(p.as_py()) for p in group.column("part"))
+        return pa.table({"key": group.column("key").slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
+
+    blocks = -(-len(scan.features) * scan.bins // _BLOCK)
+    parts = rows.mapInArrow(run, "key int, part binary").groupBy("key").applyInArrow(added, "key int, part binary")
+    found = {r["key"]: np.frombuffer(r["part"]) for r in parts.collect()}  # CELLS cells
+    out, wide = {}, (len(scan.features), scan.bins)
     for i, node in enumerate(scan.wanted):
-        mine = column["node"] == i
+        halves = [np.split(found[i * blocks + block], 2) for block in range(blocks)]
         g, n = np.zeros((scan.width, scan.bins)), np.zeros((scan.width, scan.bins), np.int64)
-        g[column["feature"][mine], column["bin"][mine]] = column["g"][mine] / scan.scale
-        n[column["feature"][mine], column["bin"][mine]] = column["n"][mine]
+        g[scan.features] = np.concatenate([h[0] for h in halves]).reshape(wide) / scan.scale
+        n[scan.features] = np.concatenate([h[1] for h in halves]).reshape(wide)
         out[node] = (g, n)
-    held_rows = int(column["n"][extra].sum())
-    return out, float(column["error"][extra].sum()) / held_rows if held_rows else math.nan
+    error, held_rows = found.get(-1, (0.0, 0.0))
+    return out, float(error / held_rows) if held_rows else math.nan
 
 
 def stops(losses: list[float], patience: int, tolerance: float) -> bool:
@@ -396,6 +402,27 @@ def stops(losses: list[float], patience: int, tolerance: float) -> bool:
     return patience > 0 and len(losses) > patience and all(losses[-1] + tolerance >= x for x in losses[-1 - patience:-1])
 
 
+@dataclass
+class BinnedRows:
+    """A written table (key, y, bins, kept columns) and what its bin numbers mean."""
+
+    rows: DataFrame
+    thresholds: list[np.ndarray]
+    width: int
+    tasks: int  # that a scan is worth
+
+
+def bin_rows(dataset: DataFrame, features: str, label: str, key: str, max_bins: int = MAX_BINS, keep: tuple[str, ...] = ()) -> BinnedRows:
+    """Rows with a label, their features as bin numbers; thresholds come from all of these rows."""
+    vectors = dataset.select(F.col(key).alias("key"), F.col(label).cast("double").alias("y"), vector_to_array(features).alias("x"), *keep)
+    vectors = vectors.where(F.col("y").isNotNull() & ~F.isnan("y"))
+    width, n = vectors.agg(F.max(F.size("x")), F.count(F.lit(1))).first()
+    if not n:
+        raise ValueError("no rows to fit on")
+    thresholds, tasks = _thresholds(vectors, width, max_bins), max(1, math.ceil(n * (width + 64) / TASK_BYTES))
+    return BinnedRows(materialise(_binned(vectors, thresholds), "binned").coalesce(tasks), thresholds, width, tasks)
+
+
 # ---- estimator and model ----
 
 class BoostedTrees(Estimator, _Settings, DefaultParamsReadable, DefaultParamsWritable):
@@ -433,21 +460,20 @@ class BoostedTrees(Estimator, _Settings, DefaultParamsReadable, DefaultParamsWri
 
     def _fit(self, dataset: DataFrame) -> "BoostedTreesModel":
         self.transformSchema(dataset.schema)
-        p, label = self._values(), F.col(self.getLabelCol()).cast("double")
+        return self.fit_binned(bin_rows(dataset, self.getFeaturesCol(), self.getLabelCol(), self.setting("keyCol"), self.setting("maxBins")))
+
+    def fit_binned(self, binned: "BinnedRows", where: Column | None = None) -> "BoostedTreesModel":
+        """A model of the rows, or of those that meet a condition on the kept columns; several fits may share the bins."""
+        p, thresholds, width = self._values(), binned.thresholds, binned.width
         if p["growth"] == "level":
             p["numLeaves"] = 0
-        key = F.col(p["keyCol"])
-        held = (fold_of(key, round(1 / p["validation"]), seed="validation") == 0) if p["patience"] else F.lit(False)
-        vectors = dataset.select(vector_to_array(self.getFeaturesCol()).alias("x"), label.alias("y"), F.xxhash64(key, F.lit(p["seed"])).alias("h"), held.alias("held"))
-        vectors = vectors.where(F.col("y").isNotNull() & ~F.isnan("y"))
-        first = vectors.select(F.size("x")).first()
-        if first is None:
+        held = (fold_of(F.col("key"), round(1 / p["validation"]), seed="validation") == 0) if p["patience"] else F.lit(False)
+        rows = binned.rows if where is None else binned.rows.where(where)
+        rows = rows.select("y", F.xxhash64("key", F.lit(p["seed"])).alias("h"), held.alias("held"), "bins")
+        base, n = rows.where("NOT held").agg(F.avg("y"), F.count(F.lit(1))).first()
+        if not n:
             raise ValueError("no rows to fit on")
-        width = first[0]
-        thresholds = _thresholds(vectors, width, p["maxBins"])
-        seen = ~F.col("held")
-        base, n = vectors.where(seen).agg(F.avg("y"), F.count(F.lit(1))).first()
-        rows = materialise(_binned(vectors, thresholds).withColumn("p", F.lit(float(base))), "binned")
+        rows = rows.withColumn("p", F.lit(float(base)))
         bins = max(2, 1 + max(map(len, thresholds)))
         usable = np.arange(bins) < np.array([len(t) for t in thresholds])[:, None]
         draw = np.random.default_rng(p["seed"])
@@ -456,11 +482,11 @@ class BoostedTrees(Estimator, _Settings, DefaultParamsReadable, DefaultParamsWri
         per = max(1, CELLS // (width * bins))
         for number in range(p["maxIter"] + 1):
             if number - written >= REWRITE:
-                rows, written, scale = materialise(self._added(rows, trees[written:], width), "boosted"), number, None
+                rows, written, scale = materialise(self._added(rows, trees[written:], width), "boosted").coalesce(binned.tasks), number, None
             if scale is None:
                 most = rows.agg(F.max(F.abs(F.col("y") - F.col("p")))).first()[0] or 0.0
                 room = most * (1 + p["stepSize"]) ** REWRITE  # errors may grow meanwhile
-                scale = 2.0 ** (min(_BITS, 62 - math.ceil(math.log2(n + 1))) - math.ceil(math.log2(room))) if room > 0 else 1.0
+                scale = 2.0 ** (min(_BITS, 52 - math.ceil(math.log2(n + 1))) - math.ceil(math.log2(room))) if room > 0 else 1.0
             features = np.sort(draw.choice(width, max(1, math.ceil(width * p["featuresPerTree"] - 1e-9)), replace=False))
             scan = _Scan([t.arrays() for t in trees[written:]], None, [0], number, p["subsample"], features, width, bins, scale, bool(p["patience"]))
             if number == p["maxIter"] and not p["patience"]:

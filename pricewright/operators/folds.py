@@ -36,17 +36,21 @@ def out_of_fold(
     threads: int = 3,
     fold: str = "fold",
     ready: dict[str, list[Callable]] | None = None,
+    by_fold: dict[str, Callable] | None = None,
 ) -> DataFrame:
     """Wide out-of-fold predictions: each row gets ``oof_<model>`` from models that did not see its fold.
 
     A fitter maps a training frame to a function DataFrame, output column -> DataFrame.  The held-out rows of
     a fold pass through all its models at once and the folds are stacked, so nothing is joined or pivoted.  ``ready``
-    has such functions, one a fold, of models that need no fit here.
+    has such functions, one a fold, of models that need no fit here; a fitter in ``by_fold`` takes the held-out fold's number.
     """
-    names = list(fitters)
-    jobs = [
-        (lambda i=i, name=name: fitters[name](df.where(F.col(fold) != i))) for i in range(k) for name in names
-    ]
+    by_fold = by_fold or {}
+    names = [*fitters, *by_fold]
+
+    def fit(i: int, name: str):
+        return by_fold[name](i) if name in by_fold else fitters[name](df.where(F.col(fold) != i))
+
+    jobs = [(lambda i=i, name=name: fit(i, name)) for i in range(k) for name in names]
     fitted = in_parallel(df.sparkSession, jobs, threads)
     stacked = None
     for i in range(k):
