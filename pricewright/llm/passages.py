@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewright.llm.batches import joined, map_slices, mix, utf8
+from pricewright.session import materialise
 
 PASSAGE_WORDS = 64
-SAMPLE = 6000  # labelled documents that training reads
-PASSAGE_LIMIT = 64  # passages of a training document that training reads, spread evenly
+SAMPLE = 6000  # labelled documents that training reads at most
+PASSAGES = 150_000  # passages of all of them together at most (90 MB); a document is taken whole or not at all
 CLASSES = 12
 EXTRA = 6
 WIDTH = CLASSES * CLASSES + EXTRA
@@ -115,6 +116,23 @@ class PassageModel:
         z = np.add.reduceat(share[:, None] * h, starts, axis=0)
         return h, t, g, share, z, _sigmoid(z @ w["c"] + w["d"])
 
+    def gradient(self, x: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss over documents, by weight."""
+        w, (h, t, g, share, z, p) = self.weights, self.forward(x, counts)
+        back = (p - labels) / len(labels)
+        grad = {"c": z.T @ back, "d": np.array([back.sum()])}
+        dz = np.repeat(back[:, None] * w["c"], counts, axis=0)
+        dshare = (dz * h).sum(axis=1)
+        starts = np.cumsum(np.r_[0, counts[:-1]])
+        de = share * (dshare - np.repeat(np.add.reduceat(share * dshare, starts), counts))
+        grad["w"] = (t * g).T @ de
+        dt, dg = de[:, None] * w["w"] * g * (1 - t * t), de[:, None] * w["w"] * t * g * (1 - g)
+        grad["V"], grad["U"] = h.T @ dt, h.T @ dg
+        dh = share[:, None] * dz + dt @ w["V"].T + dg @ w["U"].T
+        da = dh * (1 - h * h)
+        grad["A"], grad["a"] = x.T @ da, da.sum(axis=0)
+        return grad
+
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
@@ -133,13 +151,14 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 12, gate: in
     if len(bags) == 0 or labels.min() == labels.max():
         return PassageModel(np.zeros(WIDTH), np.ones(WIDTH), constant=float(labels.mean()) if len(bags) else 0.5)
     rng = np.random.default_rng(seed)
-    every = np.concatenate(bags).astype(np.float64)
-    model = PassageModel(every.mean(axis=0), every.std(axis=0) + 0.02)
+    total = sum(map(len, bags))
+    mean = sum(b.sum(axis=0, dtype=np.float64) for b in bags) / total
+    spread = sum(((b - mean) ** 2).sum(axis=0) for b in bags) / total
+    model = PassageModel(mean, np.sqrt(spread) + 0.02)
     near = lambda *shape: rng.normal(0, shape[0] ** -0.5, shape)
     model.weights = w = {"A": near(WIDTH, hidden), "a": np.zeros(hidden), "V": near(hidden, gate), "U": near(hidden, gate),
                          "w": near(gate), "c": near(hidden), "d": np.zeros(1)}
     first, second = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
-    bags = [(b - model.mean) / model.scale for b in bags]
     a_pass = -(-len(bags) // 64)
     epochs = min(60, max(15, steps // a_pass))
     step, steps, decay = 0, epochs * a_pass, decay / len(bags)
@@ -148,20 +167,8 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 12, gate: in
         for a in range(0, len(order), 64):
             pick = order[a:a + 64]
             counts = np.array([len(bags[i]) for i in pick])
-            x = np.concatenate([bags[i] for i in pick])
-            h, t, g, share, z, p = model.forward(x, counts)
-            back = (p - labels[pick]) / len(pick)
-            grad = {"c": z.T @ back, "d": np.array([back.sum()])}
-            dz = np.repeat(back[:, None] * w["c"], counts, axis=0)
-            dshare = (dz * h).sum(axis=1)
-            starts = np.cumsum(np.r_[0, counts[:-1]])
-            de = share * (dshare - np.repeat(np.add.reduceat(share * dshare, starts), counts))
-            grad["w"] = (t * g).T @ de
-            dt, dg = de[:, None] * w["w"] * g * (1 - t * t), de[:, None] * w["w"] * t * g * (1 - g)
-            grad["V"], grad["U"] = h.T @ dt, h.T @ dg
-            dh = share[:, None] * dz + dt @ w["V"].T + dg @ w["U"].T
-            da = dh * (1 - h * h)
-            grad["A"], grad["a"] = x.T @ da, da.sum(axis=0)
+            x = (np.concatenate([bags[i] for i in pick]) - model.mean) / model.scale
+            grad = model.gradient(x, counts, labels[pick])
             step += 1
             speed = rate * (1 - step / (steps + 1))
             for k in w:
@@ -173,25 +180,36 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 12, gate: in
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-                sample: int = SAMPLE) -> PassageModel:
-    """Trains on ``sample`` labelled documents at most, chosen by a hash of the key; rows without a label or key are not used.
+                sample: int = SAMPLE, passages: int = PASSAGES) -> PassageModel:
+    """Trains on whole texts of ``sample`` labelled documents at most, chosen by a hash of the key; rows without a label or key are not used.
 
-    Only the chosen keys, at most ``sample``, are sent to the documents; their passages are encoded there.
+    Only the chosen keys, at most ``sample``, are sent to the documents; all passages are encoded and written there.
+    The driver reads documents in the order of the hash while they have room in ``passages`` together, so it
+    holds a bounded array; a document that does not fit is left out, not cut.  Repeated rows count once.
     """
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(key_col).isNotNull()).select(
         F.col(key_col).alias("k"), F.col(label_col).cast("double").alias("y"), F.xxhash64(F.lit("quality"), key_col).alias("place"))
-    chosen = chosen.orderBy("place", "k", "y").limit(sample).dropDuplicates(["k"])
-    rows = docs.join(F.broadcast(chosen), F.col(key_col) == F.col("k")).select("k", "y", utf8(text_col))
+    chosen = chosen.orderBy("place", "k", "y").limit(sample).groupBy("place", "k").agg(F.min("y").alias("y"))  # of two labels the lower
+    rows = docs.join(F.broadcast(chosen), F.col(key_col) == F.col("k")).select("k", "y", "place", utf8(text_col))
 
     def run(part: pa.RecordBatch) -> dict:
-        x, counts = encode(part.column(2).to_pylist())
+        x, counts = encode(part.column(3).to_pylist())
         ends = np.cumsum(np.r_[0, counts])
-        picks = [np.unique(np.linspace(a, b - 1, min(b - a, PASSAGE_LIMIT)).astype(np.int64)) for a, b in zip(ends[:-1], ends[1:])]
-        return {"k": part.column(0), "y": part.column(1), "x": pa.array([x[p].tobytes() for p in picks], pa.binary())}
+        found = [x[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+        return {"k": part.column(0), "y": part.column(1), "place": part.column(2), "n": counts, "x": pa.array(found, pa.binary())}
 
     kind = rows.schema["k"].dataType.simpleString()
-    found = map_slices(rows, text_col, f"k {kind}, y double, x binary", run, SLICE).collect()
-    found.sort(key=lambda r: (r["k"], r["x"]))
+    encoded = materialise(map_slices(rows, text_col, f"k {kind}, y double, place long, n long, x binary", run, SLICE).withColumn("tag", F.xxhash64("x")), "passages")
+    picked, room = [], passages
+    for r in encoded.select("place", "k", "tag", "n").distinct().orderBy("place", "k", "tag").limit(sample).collect():
+        if r["n"] <= room:
+            picked.append((r["k"], r["tag"]))
+            room -= r["n"]
+    if not picked:
+        return train([], np.empty(0))
+    wanted = docs.sparkSession.createDataFrame(picked, f"k {kind}, tag long")
+    found = encoded.join(F.broadcast(wanted), ["k", "tag"]).groupBy("place", "k", "tag").agg(F.first("y").alias("y"), F.first("x").alias("x")).collect()
+    found.sort(key=lambda r: (r["place"], r["k"], r["tag"]))
     return train([np.frombuffer(r["x"], np.float32).reshape(-1, WIDTH) for r in found], np.array([r["y"] for r in found]))
 
 
@@ -199,7 +217,8 @@ def score_quality(docs: DataFrame, model: PassageModel, key: Column, text_col: s
     """key, score (0 to 1; higher: label 1 is likelier) for every row of ``docs``, from its whole text.
 
     Null, empty and blank texts are one passage of zeros and get a score too; of a very long text every passage takes
-    part.  Equal texts get equal scores.  Other columns are ignored.  Without labels of both kinds the score is constant.
+    part.  Equal texts get equal scores.  Other columns are ignored.  Without labels of both kinds the score is
+    constant.  An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some 4,000 numbers
     rows = docs.select(key.alias("key"), utf8(text_col))
