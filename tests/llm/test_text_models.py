@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from pricewright.llm import perplexity as P
-from pricewright.llm.language import LanguageModel, fit_language, identify, train
-from pricewright.llm.passages import PassageModel, encode, fit_quality, score_quality
+from pricewright.llm.language import BUCKET_BITS, DIMENSION, LanguageModel, _calibrate, fit_language, identify, subwords, train
+from pricewright.llm.passages import WIDTH, PassageModel, encode, fit_quality, score_quality
 from pricewright.llm.queries import QUERIES, vocabulary
 from pricewright.llm.token_counts import MARK, PieceCounter, count_tokens, read_pieces
 
@@ -44,20 +44,123 @@ def test_rules_match_brute_force():
     assert [tuple(int(found[n][k]) for n in names) for k in range(len(texts))] == [expected_rules(t) for t in texts]
 
 
-def test_kneser_ney_is_a_distribution(spark):
-    docs = spark.createDataFrame([("the cat sat on the mat. " * 5,), ("a dog, a log, a fog",), (None,), ("",)], "text string")
-    model = P.fit_kneser_ney(docs)
-    for text in ("the ", "zz", "a l", "q"):
-        history = int(P.grams([text.encode()])[0][-1]) & ((1 << 18) - 1)
-        p = np.exp(model.score((history << 6) + np.arange(64)))
-        assert abs(p.sum() - 1) < 0.02 and (p > 0).all()
-    counts = collections.Counter()
-    for text in ("the cat sat on the mat. " * 5, "a dog, a log, a fog"):
-        for code in P.grams([text.encode()])[0].tolist():
-            counts[code] += 1
-    assert {r["gram"]: r["n"] for r in P.count_grams(docs, "text").collect()} == counts
-    order = model.keys[3]
-    assert (np.diff(order) > 0).all() and len(order) == len(counts)
+CORPUS = ["the cat sat on the mat. " * 5, "a dog, a log, a fog 12", "Пёс спит. Кот спит, 猫が寝る 🙂🙂", "the cat, the dog\n\nthe log", None, "", "x\0y"]
+
+
+def units(text):
+    """Units of a text, found apart from the table of the operator: three to stand before it, then its code units."""
+    classes = {c: marks[0] for marks in (" \t\x0b\x0c\r", ".!?…", ",;:", "'’\"“”«»", "()[]{}-–—/", "#*$%&|<>", "_=+@~^`\\") for c in marks}
+    out = [0, 0, 0]
+    for c in text or "":
+        c = "\x01" if c == "\0" else classes.get(c, "0" if c.isdigit() and ord(c) < 1 << 16 else c.lower())
+        raw = c.encode("utf-16-le")
+        out += [int.from_bytes(raw[k:k + 2], "little") for k in range(0, len(raw), 2)]
+    return out
+
+
+class Plain:
+    """Modified Kneser-Ney over dictionaries of tuples."""
+
+    def __init__(self, texts):
+        counts = collections.Counter(tuple(u[k - 3:k + 1]) for u in map(units, texts) for k in range(3, len(u)))
+        levels = {4: counts}
+        for order in (3, 2, 1):
+            levels[order] = collections.Counter(g[1:] for g in levels[order + 1])
+        self.levels, self.discount, self.followers = levels, {}, {}
+        for order, level in levels.items():
+            c1, c2, c3, c4 = (max(1, sum(n == k for n in level.values())) for k in (1, 2, 3, 4))
+            y = c1 / (c1 + 2 * c2)
+            raw = 1 - 2 * y * c2 / c1, 2 - 3 * y * c3 / c2, 3 - 4 * y * c4 / c3
+            self.discount[order] = [min(max(d, 0), top) for d, top in zip(raw, (0.95, 1.9, 2.85))]
+            self.followers[order] = collections.defaultdict(list)
+            for g, n in level.items():
+                self.followers[order][g[:-1]].append(n)
+
+    def __call__(self, gram):
+        order = len(gram)
+        if order == 0:
+            return 1 / (len(self.levels[1]) + 1)
+        seen = self.followers[order].get(gram[:-1])
+        if seen is None:
+            return self(gram[1:])
+        cut = lambda n: self.discount[order][min(n, 3) - 1]
+        spare = max(1e-6, sum(map(cut, seen)) / sum(seen))
+        n = self.levels[order][gram]
+        return ((n - cut(n)) / sum(seen) if n else 0) + spare * self(gram[1:])
+
+
+def packed(gram):
+    code = sum(unit << 16 * (3 - k) for k, unit in enumerate(gram))
+    return code - (1 << 64) if code >= 1 << 63 else code
+
+
+def test_kneser_ney_equals_a_plain_version(spark):
+    docs = spark.createDataFrame([(t,) for t in CORPUS], "text string")
+    model, plain = P.fit_kneser_ney(docs), Plain(CORPUS)
+    assert {r["gram"]: r["n"] for r in P.count_grams(docs, "text").collect()} == {packed(g): n for g, n in plain.levels[4].items()}
+    for order in (1, 2, 3, 4):
+        got = {r["gram"]: r["logp"] for r in model.orders[order - 1].collect()}
+        assert got == pytest.approx({packed((0,) * (4 - order) + g): np.log(plain(g)) for g in plain.levels[order]}, abs=1e-9)
+    rnd = random.Random(4)
+    known = sorted(g[0] for g in plain.levels[1])
+    wanted = {tuple(rnd.choice([*known, 0x5B57, 0xFFFD]) for _ in range(4)) for _ in range(400)}
+    for g in sorted(plain.levels[4])[:60]:  # unseen units after seen contexts, and the other way round
+        wanted |= {(*g[:3], 0x5B57), (*g[:2], 0x5B57, g[3]), (0x5B57, *g[1:])}
+    frame = spark.createDataFrame([(packed(g),) for g in wanted], "gram long")
+    got = {r["gram"]: r["logp"] for r in model.scores(frame).collect()}
+    assert got == pytest.approx({packed(g): np.log(plain(g)) for g in wanted}, abs=1e-9)
+
+
+def test_probabilities_add_up(spark):
+    model, plain = P.fit_kneser_ney(spark.createDataFrame([(t,) for t in CORPUS], "text string")), Plain(CORPUS)
+    every = [*(g[0] for g in plain.levels[1]), 0x5B57]  # one unit that the corpus lacks
+    for history in ((0, 0, 0), tuple(map(ord, "the")), tuple(map(ord, "zzz")), (0x5B57,) * 3):
+        frame = spark.createDataFrame([(packed((*history, u)),) for u in every], "gram long")
+        assert sum(np.exp(r["logp"]) for r in model.scores(frame).collect()) == pytest.approx(1, abs=4e-6)  # four weights of at least 1e-6
+
+
+def plain_bands(rows, width, floor):
+    """language -> lower, upper from (language, log perplexity): medians are the lower ones of rounded values."""
+    middle = lambda v: sorted(v)[(len(v) + 1) // 2 - 1]
+    out = {}
+    for language in {g for g, v in rows if v is not None}:
+        values = [int(np.floor(v / P.STEP + 0.5)) for g, v in rows if g == language and v is not None]
+        half = max(floor, middle([abs(v - middle(values)) for v in values]) * P.STEP * width)
+        out[language] = middle(values) * P.STEP - half, middle(values) * P.STEP + half
+    return out
+
+
+def test_verdicts_equal_a_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(r[0], r[1], r[2]) for r in docs.collect()]
+    plain = Plain([t for _, t, _ in rows])
+    means = {}
+    for i, text, _ in rows:
+        u = units(text)
+        means[i] = -sum(np.log(plain(tuple(u[k - 3:k + 1]))) for k in range(3, len(u))) / (len(u) - 3) if len(u) > 3 else None
+    limits = plain_bands([(g, means[i]) for i, _, g in rows], 4.0, 0.04)
+    got = {r["key"]: r for r in P.quality(docs, F.col("doc_id"), F.col("lang")).collect()}
+    assert len(got) == len(rows)
+    for i, text, language in rows:
+        n_words, _, _, _, repeat = expected_rules(text)
+        failed = n_words < 50 or 100 * repeat > 50 * n_words
+        room = 1 / max(len(units(text)) - 3, 1) ** 0.5
+        inside = means[i] is not None and limits[language][0] - room <= means[i] <= limits[language][1] + room
+        assert got[i]["log_perplexity"] == pytest.approx(means[i], abs=1e-5)
+        assert (got[i]["base_failed"], got[i]["kept"]) == (failed, inside and not failed)
+
+
+def test_large_models_are_joined_to_batches(spark, monkeypatch):
+    rows = [(k, t, "x") for k, t in enumerate(CORPUS * 3)] + [(90, LONG, None), (None, "the cat", None), (91, None, None)]
+    docs = frame(spark, rows).repartition(4, "doc_id")
+    scores = P.fit_kneser_ney(docs).orders[3]
+    once = lambda: sorted((tuple(r) for r in P.measure(docs, scores, F.col("doc_id"), F.col("lang")).collect()), key=str)
+    sent = once()
+    monkeypatch.setattr(P, "BROADCAST_GRAMS", 5)
+    monkeypatch.setattr(P, "SLICE", 64)
+    assert once() == sent and len(sent) == len(rows)
+    empty = docs.where("text IS NULL")
+    assert [r["log_perplexity"] for r in P.measure(empty, scores, F.col("doc_id"), F.col("lang")).collect()] == [None] * empty.count()
 
 
 def test_bands_are_medians(spark):
@@ -105,6 +208,67 @@ def test_passages():
     assert alone[0][-6] == 0.5 and alone[0][-5] == 0
 
 
+def plain_score(model, x):
+    """One document: every passage in turn."""
+    w = model.weights
+    hidden = [np.tanh(row @ w["A"] + w["a"]) for row in (x - model.mean) / model.scale]
+    energy = [float(w["w"] @ (np.tanh(h @ w["V"]) / (1 + np.exp(-(h @ w["U"]))))) for h in hidden]
+    parts = [np.exp(e - max(energy)) for e in energy]
+    document = sum(p / sum(parts) * h for p, h in zip(parts, hidden))
+    return 1 / (1 + np.exp(-(float(document @ w["c"]) + w["d"][0])))
+
+
+def random_model(seed=3, hidden=5, gate=4):
+    rng = np.random.default_rng(seed)
+    shapes = {"A": (WIDTH, hidden), "a": (hidden,), "V": (hidden, gate), "U": (hidden, gate), "w": (gate,), "c": (hidden,), "d": (1,)}
+    return PassageModel(rng.normal(size=WIDTH) / 10, np.full(WIDTH, 0.5), {k: rng.normal(size=v) / 3 for k, v in shapes.items()})
+
+
+def test_attention_equals_a_plain_version():
+    model = random_model()
+    texts = [None, b"", b"a b a b", LONG.encode(), " ".join(f"word{k}" for k in range(300)).encode(), "Пёс ### <x>".encode()]
+    expected = [plain_score(model, encode([t])[0]) for t in texts]
+    assert model.scores(texts) == pytest.approx(expected, abs=1e-6)
+
+
+def test_gradient_equals_differences():
+    model, rng = random_model(), np.random.default_rng(8)
+    counts, labels = np.array([1, 4, 2, 7]), np.array([1.0, 0.0, 0.0, 1.0])
+    x = rng.normal(size=(counts.sum(), WIDTH))
+
+    def loss():
+        p = model.forward(x, counts)[-1]
+        return -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean()
+
+    for name, grad in model.gradient(x, counts, labels).items():
+        weight = model.weights[name]
+        for at in [tuple(rng.integers(n) for n in weight.shape) for _ in range(6)]:
+            kept, step = weight[at], 1e-6
+            weight[at] = kept + step
+            above = loss()
+            weight[at] = kept - step
+            below = loss()
+            weight[at] = kept
+            assert grad[at] == pytest.approx((above - below) / (2 * step), abs=1e-6)
+
+
+def test_training_reads_whole_texts(spark):
+    """One passage of a hundred tells the label; evenly spaced parts would miss most of them."""
+    rnd = random.Random(6)
+    rows = []
+    for k in range(240):
+        passages = [" ".join(rnd.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(64)) for _ in range(100)]
+        if k % 2:
+            passages[rnd.randrange(100)] = "### $$$ " * 32
+        rows.append((k, " ".join(passages), "x"))
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(160)], "doc_id long, quality int")
+    scores = {r["key"]: r["score"] for r in score_quality(docs, fit_quality(docs, labels), F.col("doc_id")).collect()}
+    assert np.mean([(scores[k] > 0.5) == (k % 2 == 0) for k in range(160, 240)]) > 0.9
+    twice = docs.unionAll(docs)
+    assert fit_quality(twice, labels, passages=2_050).weights["c"] == pytest.approx(fit_quality(docs, labels, passages=2_050).weights["c"])
+
+
 def test_score_edges(spark):
     docs = frame(spark, [(1, None, "en"), (2, "", None), (3, LONG, None), (3, LONG, None), (None, "a b", "x")])
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1), (None, 1, 0), (9, None, 0)], "doc_id long, quality int, toxic int")
@@ -137,6 +301,36 @@ def test_language_edges(spark):
     assert isinstance(one, LanguageModel) and one.probabilities([b"abc"]).tolist() == [[1.0]]
 
 
+def test_language_softmax_equals_a_plain_version():
+    model = train(["the cat and the dog sat on the mat".encode(), "der Hund und die Katze".encode(), "le chat et le chien".encode()] * 12, ["en", "de", "fr"] * 12)
+    for text in ("the cat", "Ünder  der\n12 Hund", "x", "日本 語!"):
+        found, _, counts = subwords([text.encode()])
+        rows = np.concatenate(found)
+        mean = sum(model.embedding[b] for b in rows) / max(1, len(rows))
+        logits = mean @ model.matrix + model.bias
+        expected = np.exp(logits / model.temperature) / np.exp(logits / model.temperature).sum()
+        assert counts[0] == len(rows) and model.probabilities([text.encode()])[0] == pytest.approx(expected, abs=1e-9)
+
+
+def test_language_calibration_equals_a_plain_version():
+    rng = np.random.default_rng(9)
+    words = ["the", "cat", "dog", "der", "Hund", "und"]
+    texts = [" ".join(rng.choice(words, 3)).encode() for _ in range(200)]
+    truth = rng.integers(0, 2, 200)
+    model = LanguageModel(["de", "en"], rng.normal(size=(1 << BUCKET_BITS, DIMENSION)), rng.normal(size=(DIMENSION, 2)), np.zeros(2))
+    _calibrate(model, texts, truth)
+    logits = np.concatenate([model.logits([t]) for t in texts])
+
+    def chances(temperature):
+        return [np.exp(row / temperature - max(row / temperature)) / np.exp(row / temperature - max(row / temperature)).sum() for row in logits]
+
+    loss = {t: -np.mean([np.log(p[y] + 1e-12) for p, y in zip(chances(t), truth)]) for t in np.geomspace(0.1, 10, 60)}
+    assert model.temperature == pytest.approx(min(loss, key=loss.get))
+    ranked = sorted(((p.max(), p.argmax() == y) for p, y in zip(chances(model.temperature), truth)), key=lambda r: -r[0])
+    lowest = [p for k, (p, _) in enumerate(ranked, 1) if sum(not right for _, right in ranked[:k]) <= 0.01 * k]
+    assert model.threshold == pytest.approx(min(0.5, lowest[-1] if lowest else 0.5))
+
+
 def reference(pieces, unknown, byte_fallback):
     tokenizer = Tokenizer(models.Unigram(pieces, unk_id=unknown, byte_fallback=byte_fallback))
     tokenizer.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="always", split=True)
