@@ -27,7 +27,6 @@ SHARD_TOKENS = 1 << 20  # tokens of a shard on average
 SHARD_SAMPLE = 32  # sampled documents a shard, by which the order is cut
 RARITY = 4  # power of the idf by which tokens come early in the orders
 K1, B = 1.2, 0.75
-REMEMBERED = 400_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -40,8 +39,7 @@ def byte_symbols() -> dict[str, int]:
 class Tokens:
     """Token ids of texts as bytes of unsigned 16-bit numbers, for a byte-level vocabulary in a tokenizer file.
 
-    Ids are ranks of merges, so the merges need no list of their own.  A text is cut before every space that is followed
-    by something other than white space; no token crosses such a place, and most cuttings are remembered.
+    Ids are ranks of merges, so the merges need no list of their own.
     """
 
     def __init__(self, vocabulary: dict[str, int], pattern: str):
@@ -50,34 +48,9 @@ class Tokens:
         symbols = byte_symbols()
         ranks = {bytes(symbols[c] for c in word): i for word, i in vocabulary.items() if all(c in symbols for c in word)}
         self.encoder = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
-
-    def cut(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        if all(p and not p[0].isspace() for p in parts[1:]):
-            return [parts[0], *(" " + p for p in parts[1:])] if parts[0] else [" " + p for p in parts[1:]]
-        out, last = [], parts[0]
-        for p in parts[1:]:
-            if p and not p[0].isspace():
-                out.append(last)
-                last = " " + p
-            else:
-                last += " " + p
-        out.append(last)
-        return [p for p in out if p]
 
     def __call__(self, text: str) -> bytes:
-        known, found = self.known, []
-        for piece in self.cut(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = np.array(self.encoder.encode_ordinary(piece), np.uint16).tobytes()
-                if len(piece) < 64:
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                    known[piece] = ids
-            found.append(ids)
-        return b"".join(found)
+        return self.encoder.encode_to_numpy(text, disallowed_special=()).astype(np.uint16).tobytes()
 
 
 def read_vocabulary(path: str) -> dict[str, int]:
