@@ -19,7 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.batches import rolling, split_words, utf8, window_starts, word_codes
+from pricewright.llm.batches import release, rolling, split_words, utf8, window_starts, word_codes
 
 BATCH_BYTES = 4 << 20  # text of a batch on average
 RANGE_WINDOWS = 1 << 20  # windows of a range of hashes on average
@@ -78,7 +78,7 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     rows, real, size = in_batches(docs, id_col, text_col, batch_bytes, carry or [])
     bits = max(0, math.ceil(math.log2(max(1, size / 6 / range_windows))))
 
-    def send(group: pa.Table) -> pa.Table:
+    def _send(group: pa.Table) -> pa.Table:
         found, _, _ = _windows(split_words(group.column("text").to_pylist()), width)
         found = np.unique(found)
         where = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
@@ -88,7 +88,7 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             "span": pa.array(where[cuts], pa.int32()), "batch": pa.array([batch] * len(cuts), pa.int32()),
             "hashes": pa.array([pack(found[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(found)])], pa.binary())})
 
-    def answer(group: pa.Table) -> pa.Table:
+    def _answer(group: pa.Table) -> pa.Table:
         group = group.sort_by("batch")
         parts = [unpack(x.as_py()) for x in group.column("hashes")]
         hashes = np.concatenate(parts)
@@ -106,7 +106,7 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             "batch": pa.array(batch[cuts], pa.int32()),
             "hashes": pa.array([pack(hashes[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(hashes)])], pa.binary())})
 
-    def cut(group: pa.Table, answers: pa.Table) -> pa.Table:
+    def _cut(group: pa.Table, answers: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         texts = group.column("text").to_pylist()
         words = split_words(texts)
@@ -152,6 +152,25 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             "starts": pa.array(begins, pa.list_(pa.int32())), "ends": pa.array(stops, pa.list_(pa.int32())),
             "text": pa.array(rest, pa.binary()).cast(pa.string()), "carry": group.column("carry")})
 
+    # a worker that waits for its next group holds no words of the last one
+    def send(group: pa.Table) -> pa.Table:
+        try:
+            return _send(group)
+        finally:
+            release()
+
+    def answer(group: pa.Table) -> pa.Table:
+        try:
+            return _answer(group)
+        finally:
+            release()
+
+    def cut(group: pa.Table, answers: pa.Table) -> pa.Table:
+        try:
+            return _cut(group, answers)
+        finally:
+            release()
+
     sent = rows.groupBy("batch").applyInArrow(send, "span int, batch int, hashes binary")
     answers = sent.groupBy("span").applyInArrow(answer, "batch int, hashes binary")
     out = rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
