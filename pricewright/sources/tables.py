@@ -5,6 +5,8 @@ The catalog texts run unchanged in Spark SQL and in DuckDB, so the oracles start
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 # One row per part: missing names, values, prices and links, a malformed number, accents, tags.
@@ -47,8 +49,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return rows.repartition(int(tasks), _KEYS[name]) if tasks and name in _KEYS else rows
 
 
+ROWS_A_TASK = 1 << 13  # texts are worth a task: parsing and scoring them takes seconds
+
+
+def dealt(rows: DataFrame, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """Rows of a scan over as many tasks as they are worth.
+
+    Splits follow bytes. A table of short, alike rows has few of them, while the work that follows is by the row, so its tasks
+    would grow with the table. The rows are counted from the file's footers; a scan that has enough splits is left as it is.
+    """
+    tasks = math.ceil(rows.count() / rows_a_task)
+    return rows.repartition(tasks) if tasks > rows.rdd.getNumPartitions() else rows
+
+
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(CATALOG_SQL, part=table(spark, folder, "part"))
+    part = table(spark, folder, "part")
+    if not spark.conf.get("spark.pricewright.scanTasks", None):
+        part = dealt(part)
+    return spark.sql(CATALOG_SQL, part=part)
 
 
 def catalog_line(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pricewright.operators.validate import validate_path
 from pricewright.session import materialise
 from pricewright.sources.catalog import read_catalog, read_split, split_paths, unpriced_schema, write_catalog
 from pricewright.sources.submission import read_submission, write_submission
+from pricewright.sources.tables import catalog
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +142,24 @@ def test_grouped_quantiles_with_a_hot_value(spark, monkeypatch):
         monkeypatch.setattr(quantiles, "BROADCAST_STEPS", limit)
         got = {r["brand"]: r["quantiles"][0] for r in quantiles.exact_quantiles(rows, "price", [0.5], by=["brand"]).collect()}
         assert got == pytest.approx(want)
+
+
+def test_short_rows_are_dealt_over_tasks(spark, tmp_path):
+    """A file of few bytes is one split; its rows are parsed in as many tasks as they are worth, a small file's in one."""
+    assert spark.conf.get("spark.pricewright.scanTasks", None)
+    spark.conf.unset("spark.pricewright.scanTasks")
+    try:
+        for n, least in ((40_000, 5), (100, 1)):
+            folder = tmp_path / str(n)
+            folder.mkdir()
+            key = F.col("id").cast("long")
+            rows = spark.range(n).select(
+                key.alias("p_partkey"), F.lit("red box").alias("p_name"), F.lit("Brand#11").alias("p_brand"), F.lit("SMALL BOX").alias("p_type"),
+                (key % 50).cast("int").alias("p_size"), F.lit(10.0).alias("p_retailprice"))
+            rows.coalesce(1).write.parquet(str(folder / "part.parquet"))
+            found = catalog(spark, str(folder))
+            counts = [r["n"] for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+            assert sum(counts) == n and len(counts) >= least and max(counts) <= 8192 * 2
+            assert found.select("sample_id").distinct().count() == n
+    finally:
+        spark.conf.set("spark.pricewright.scanTasks", "8")
