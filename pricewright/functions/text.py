@@ -177,6 +177,7 @@ def _decompositions() -> tuple[str, str, str, dict[str, str]]:
 
 _ACCENTED, _BASE, _MARKS, _SEVERAL = _decompositions()
 _PARTS = 64
+_BEYOND = r"\x{A0}-\x{10FFFF}"  # no character before these changes
 
 
 def _class(chars: str) -> str:
@@ -220,8 +221,9 @@ def strip_accents(text: Column) -> Column:
     character that becomes several are looked at character by character.
     """
     simple = F.translate(text, _ACCENTED + _MARKS, _BASE)
-    odd = text.rlike(_class("".join(_SEVERAL) + "".join(map(chr, range(_HANGUL[0], _HANGUL[1] + 1)))))
-    return F.when(odd, _spelled_out(simple)).otherwise(simple)
+    # A class of hundreds of ranges asks them one by one, so only characters that may be among them are compared with it.
+    odd = text.rlike(f"[{_BEYOND}&&{_class(''.join(_SEVERAL) + ''.join(map(chr, range(_HANGUL[0], _HANGUL[1] + 1))))}]")
+    return F.when(text.rlike(f"[{_BEYOND}]"), F.when(odd, _spelled_out(simple)).otherwise(simple)).otherwise(text)
 
 
 def tokens(text: Column, accents: bool = True) -> Column:
