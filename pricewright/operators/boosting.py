@@ -36,6 +36,7 @@ from pricewright.session import materialise
 
 CELLS = 1 << 20  # cells of the histograms that one scan brings to the driver
 TASK_BYTES = 2 << 20  # rows that are worth a task, some 64 bytes and a byte a feature each: many small scans make a tree
+WRITE_BYTES = 64 << 20  # rows that a task writes, at most
 REWRITE = 8  # rounds after which predictions are written with the rows
 MAX_BINS = 256  # a bin number is one byte
 _BITS = 30  # of a gradient's integer, at most
@@ -269,6 +270,15 @@ def _matrix(column, width: int) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _bin_matrix(column, width: int) -> np.ndarray:
+    """The bytes of a column of ``width`` bytes a row, without an object for each row."""
+    if not len(column):
+        return np.empty((0, width), np.uint8)
+    _, ends, data = column.buffers()
+    start = int(np.frombuffer(ends, np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset])
+    return np.frombuffer(data, np.uint8, len(column) * width, start).reshape(-1, width)
+
+
 def _thresholds(vectors: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     """Thresholds of each feature: its distinct values but the last if they are few, else sketched quantiles.
 
@@ -353,7 +363,7 @@ def _counts(rows: DataFrame, scan: _Scan) -> tuple[dict[int, tuple[np.ndarray, n
         for batch in batches:
             held = batch.column("held").to_numpy(zero_copy_only=False)
             y, p = batch.column("y").to_numpy(), batch.column("p").to_numpy(zero_copy_only=False).copy()
-            bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, scan.width)
+            bins = _bin_matrix(batch.column("bins"), scan.width)
             for tree in scan.trees:
                 p += tree[5][_by_bin(tree, bins)]
             if scan.loss:
@@ -420,7 +430,11 @@ def bin_rows(dataset: DataFrame, features: str, label: str, key: str, max_bins:
     if not n:
         raise ValueError("no rows to fit on")
     thresholds, tasks = _thresholds(vectors, width, max_bins), max(1, math.ceil(n * (width + 64) / TASK_BYTES))
-    return BinnedRows(materialise(_binned(vectors, thresholds), "binned").coalesce(tasks), thresholds, width, tasks)
+    binned = _binned(vectors, thresholds)
+    if tasks > vectors.rdd.getNumPartitions():  # splits as they come are few or uneven, and every scan waits for the longest
+        cores = dataset.sparkSession.sparkContext.defaultParallelism
+        binned = binned.repartition(min(tasks, max(4 * cores, math.ceil(tasks * TASK_BYTES / WRITE_BYTES))))
+    return BinnedRows(materialise(binned, "binned").coalesce(tasks), thresholds, width, tasks)
 
 
 # ---- estimator and model ----
@@ -470,6 +484,8 @@ class BoostedTrees(Estimator, _Settings, DefaultParamsReadable, DefaultParamsWri
         held = (fold_of(F.col("key"), round(1 / p["validation"]), seed="validation") == 0) if p["patience"] else F.lit(False)
         rows = binned.rows if where is None else binned.rows.where(where)
         rows = rows.select("y", F.xxhash64("key", F.lit(p["seed"])).alias("h"), held.alias("held"), "bins")
+        if p["patience"]:  # each round would take the digest of every key again
+            rows = materialise(rows, "held").coalesce(binned.tasks)
         base, n = rows.where("NOT held").agg(F.avg("y"), F.count(F.lit(1))).first()
         if not n:
             raise ValueError("no rows to fit on")
@@ -522,7 +538,7 @@ class BoostedTrees(Estimator, _Settings, DefaultParamsReadable, DefaultParamsWri
         def run(batches):
             for batch in batches:
                 p = batch.column("p").to_numpy(zero_copy_only=False).copy()
-                bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, width)
+                bins = _bin_matrix(batch.column("bins"), width)
                 for tree in arrays:
                     p += tree[5][_by_bin(tree, bins)]
                 yield batch.set_column(at, "p", pa.array(p))
