@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pricewright.llm import neighbours as N
+from pricewright.llm import packing as P
 from pricewright.llm import warc as W
 from pricewright.llm.mixing import MARGINS, mix, rake
 from pricewright.llm.packing import Shard, Tokens, fill, pack, read_vocabulary
@@ -198,6 +199,40 @@ def test_seeds_are_asked_with_all_tokens():
     assert score[1] > 0 and score[2] == 0
 
 
+def test_scores_of_free_documents_stay_when_others_are_taken():
+    rng = np.random.default_rng(4)
+    parts = [np.r_[rng.integers(1, 30, 12), rng.integers(30, 400, rng.integers(0, 40))].astype(np.uint16) for _ in range(60)]
+    idf = np.linspace(0.1, 6, 500)
+    mean = np.mean([len(p) for p in parts])
+
+    def plain(seed):
+        terms = np.unique(parts[seed])
+        n = np.array([[np.sum(p == t) for t in terms] for p in parts])
+        norm = P.K1 * (1 - P.B + P.B * np.array([len(p) for p in parts]) / mean)
+        return (idf[terms] * n * (P.K1 + 1) / (n + norm[:, None])).sum(axis=1)
+
+    shard, free = Shard(parts, idf, mean), np.ones(60, bool)
+    assert 0 < len(shard.rows) and 0 < len(shard.doc)  # tokens of many documents and others
+    for taken in ([], [0, 7, 8], range(20, 50), range(60)):
+        free[list(taken)] = False
+        held = shard.rows.size + len(shard.doc)
+        shard.keep(free)
+        assert shard.rows.size + len(shard.doc) < held or not len(taken)  # less to look through
+        for seed in (0, 7, 33, 59):
+            assert np.allclose(shard.scores(seed), np.where(free, plain(seed), 0), rtol=1e-12, atol=0)
+
+
+def test_the_encoder_does_not_look_for_special_tokens_at_every_byte(byte_vocabulary):
+    mine, other, rnd = Tokens(byte_vocabulary, public_tokenizers.PATTERN), library(), random.Random(9)
+    assert mine.encoder.special_tokens_set == {P.NEVER}  # an empty set matches everywhere
+    assert public_tokenizers.PATTERN in P.FASTER
+    pieces = [" ", "  ", "\n", "\t", "\u3000", "\x85", "\x1c", "'", "'s", "'LL", "'ll", "é", "7", "x", "Word", "…", "\U0001f600", P.NEVER]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 25))) for _ in range(4000)] + [" " * 500 + "x", "x" + " " * 500]
+    for t in texts:
+        assert np.frombuffer(mine(t), np.uint16).tolist() == other.encode(t, add_special_tokens=False).ids
+    assert Tokens({}, public_tokenizers.PATTERN, P.byte_ranks(byte_vocabulary))(texts[0]) == mine(texts[0])
+
+
 def test_loser_tree():
     rnd = random.Random(0)
     for n in (0, 1, 2, 3, 7, 16):
