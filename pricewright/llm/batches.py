@@ -13,11 +13,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2 << 20  # text handled at once, but at least one row
+ARROW_BYTES = "4m"  # of a batch on its way to Python
 VOCABULARY = 150_000  # distinct words a task remembers before it starts anew
 
 _M1, _M2, _GOLDEN = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -35,6 +36,16 @@ def utf8(name: str) -> Column:
     return F.col(name).cast("binary").alias(name)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of this session have some 4 MB, unless the session has a bound of its own.
+
+    Each task holds a batch twice, in the JVM beside the heap and in Python; by default a batch grows to 64 MB of long texts.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, ARROW_BYTES)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that no part holds much more than ``limit`` bytes of ``column``."""
     at = batch.schema.get_field_index(column)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pricewright.session import materialise
 
 TASK_LINKS = 500_000  # links a task's union-find holds at once
+FILE_LINKS = 100_000  # links of a file that a round writes, at most that many on average
 
 
 def _forest(batches):
@@ -39,19 +42,21 @@ def _forest(batches):
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id, component for every id in ``links`` (columns a, b): the smallest id that links lead to.
+    """id, component for every id in ``links`` (columns a, b; a written table): the smallest id that links lead to.
 
     An empty table of links gives an empty result.  Each round is written to the shared folder, so an executor
-    that is lost costs its tasks only; nothing is collected but one count a round.
+    that is lost costs its tasks only; nothing is collected but a count of the links and one a round.  The files
+    follow the number of links, not the number of shuffle partitions.
     """
-    edges = materialise(links.select("a", "b").mapInArrow(_forest, "u long, v long").distinct(), "forest")
+    files = max(1, math.ceil(links.count() / FILE_LINKS))
+    edges = materialise(links.select("a", "b").mapInArrow(_forest, "u long, v long").distinct(), "forest", files=files)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = materialise(small.where("u <> v").unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "forest")
+        after = materialise(small.where("u <> v").unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "forest", files=files)
         # done when every id has one link and no target has a link itself
         many = after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
         deep = after.join(after.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()

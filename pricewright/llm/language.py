@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.batches import joined, map_slices, release, utf8
+from pricewright.llm.batches import joined, map_slices, release, small_batches, utf8
 
 BUCKET_BITS, DIMENSION = 15, 16
 SAMPLE_PER_LABEL = 600  # expected labelled texts per language that training reads
@@ -179,6 +179,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: Column, text_col: str =
     Ties go to the label that sorts first.  Repeated rows get equal answers.  Other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # of a fixed size: buckets x dimension
     rows = docs.select(key.alias("key"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("known"), utf8(text_col))
 

@@ -15,13 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.batches import mix, map_slices, shingle_sets, split_words, utf8
+from pricewright.llm.batches import mix, map_slices, release, shingle_sets, small_batches, split_words, utf8
 from pricewright.llm.components import components
 from pricewright.session import materialise
 
 SLOTS, ROWS = 128, 4  # 32 bands of 4 slots: a pair of similarity 0.8 shares none with probability 5e-8
 BLOCK = 512
+AT_ONCE = 64  # texts of a block that are words at once
 SLICE = 1 << 20  # text whose signatures are made at once: 128 bytes a word besides
+FILE_ROWS, FILE_WIDE = 100_000, 20_000  # rows of a file on average, of a few numbers each or with signatures
 _R_BITS = 25
 _EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -185,14 +187,21 @@ def residual_links(dealt: DataFrame, texts: DataFrame, width: int, percent: int)
 
     def check(group: pa.Table) -> pa.Table:
         found, sides, ids = _near(group, percent, None)
-        sets = [shingle_sets(split_words(t.column("text").to_pylist(), lower=True), width) for t in sides]
+        sets = [_sets(t.column("text"), width) for t in sides]
         links = [(int(ids[0][x]), int(ids[1][y])) for x, near in found for y in near.tolist() if _similar(sets[0][x], sets[1][y], percent)]
+        del sets
+        if group.nbytes >= SLICE:  # a worker that waits holds nothing of a large block
+            release()
         return pa.table({"a": pa.array([min(p) for p in links], pa.int64()), "b": pa.array([max(p) for p in links], pa.int64())})
 
     rows = materialise(dealt.groupBy("key", "i", "j").applyInArrow(needed, kind), "near-needed")
     return rows.join(texts, "id").groupBy("key", "i", "j").applyInArrow(check, "a long, b long").distinct()
 
 
+def _sets(texts: pa.ChunkedArray, width: int) -> list[np.ndarray]:
+    return [s for a in range(0, len(texts), AT_ONCE) for s in shingle_sets(split_words(texts.slice(a, AT_ONCE).to_pylist(), lower=True), width)]
+
+
 def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union, of sorted sets."""
     small, large = (one, other) if len(one) <= len(other) else (other, one)
@@ -203,6 +212,18 @@ def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(other) - common)
 
 
+def _files(rows: int, each: int) -> int:
+    """Files for so many rows: a file a shuffle partition, with a few rows each, costs more than its rows."""
+    return max(1, math.ceil(rows / each))
+
+
+def _most_pairs(mixed: DataFrame, best: int | None) -> int:
+    """No fewer pairs than the blocks of ``mixed`` give: of each odd member with all others, or ``best`` in each block."""
+    n = F.count("*")
+    each = n if best is None else best * F.ceil(n / BLOCK)
+    return mixed.groupBy("key").agg((F.sum(F.col("odd").cast("long")) * each).alias("n")).agg(F.sum("n")).first()[0] or 0
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable over links), kept, class_id.
 
@@ -212,22 +233,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their texts; rows without an id are left out, as nothing can point at them.  Other columns are ignored.  An empty
     table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     clean = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
     if clean.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
         clean = materialise(clean.groupBy(id_col).agg(F.max(text_col).alias(text_col)), "near-documents")
     table = materialise(features(clean, id_col, text_col, width), "near-features")
     classes = materialise(
         table.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
-        .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "near-classes")
+        .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "near-classes",
+        files=_files(table.count(), FILE_WIDE))
     rows = classes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("hub")).where("n > 1")
-    members = materialise(rows.join(shared.select("key", "hub"), "key"), "near-members")
+    members = materialise(rows.join(shared.select("key", "hub"), "key"), "near-members", files=_files(classes.count() * (SLOTS // ROWS), FILE_ROWS))
+    n_members = members.count()
     wanted = members.select("id").distinct()
     texts = clean.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"))
     sized = texts.join(wanted, "id", "left_semi")
 
     star = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = materialise(verify(star, sized, width, percent), "near-links")
+    links = materialise(verify(star, sized, width, percent).distinct(), "near-links", files=_files(n_members, FILE_ROWS))
     for best in (4, None):
         label = components(links)
         placed = members.join(label, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
@@ -235,9 +259,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
         mixed = placed.join(parts.select("key", "main"), "key").join(classes.select("id", "signature", "bands"), "id").withColumn(
             "odd", F.col("component") != F.col("main")).drop("main")
-        dealt = blocks(materialise(mixed, "near-mixed"))
+        mixed = materialise(mixed, "near-mixed", files=_files(n_members, FILE_WIDE))
+        most = links.count() + _most_pairs(mixed, best)
+        dealt = blocks(mixed)
         found = residual_links(dealt, sized, width, percent) if best is None else verify(likely_pairs(dealt, percent, best), sized, width, percent)
-        links = materialise(links.unionByName(found).distinct(), "near-links")
+        links = materialise(links.unionByName(found).distinct(), "near-links", files=_files(most, FILE_ROWS))
     label = components(links).withColumnRenamed("id", "class_id")
     names = classes.select("set_a", "set_b", "n_shingles", F.col("id").alias("class_id")).join(label, "class_id", "left")
     return table.select("id", "n_shingles", "set_a", "set_b").join(names, ["set_a", "set_b", "n_shingles"], "left").select(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.batches import map_slices, utf8
+from pricewright.llm.batches import map_slices, release, small_batches, utf8
 from pricewright.session import materialise
 
 SHARD_TOKENS = 1 << 20  # tokens of a shard on average
@@ -107,6 +107,7 @@ def document_frequencies(tokens: DataFrame, size: int) -> np.ndarray:
                 parts = [np.frombuffer(x, np.uint16) for x in batch.column(0).slice(a, 512).to_pylist()]
                 doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
                 total += np.bincount(_terms(np.concatenate(parts), doc)[1], minlength=size)
+        release()
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["term", "n"])
 
@@ -136,16 +137,23 @@ def route(ids: list[bytes], place: np.ndarray, orders: np.ndarray) -> np.ndarray
 
 
 def routes(tokens: DataFrame, shared) -> DataFrame:
-    """``tokens`` with ``route``."""
+    """n_tokens and ``route`` of each of ``tokens``."""
 
     def task(batches):
-        for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                found = route(part.column(1).to_pylist(), np.asarray(part.column(3)), shared.value)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=["id", "ids", "n_tokens", "place", "route"])
+        for n_tokens, found in _routed(batches, shared, "n_tokens"):
+            yield pa.RecordBatch.from_arrays([n_tokens, pa.array(found)], names=["n_tokens", "route"])
+
+    return tokens.select("ids", "place", "n_tokens").mapInArrow(task, "n_tokens long, route long")
+
 
-    return tokens.select("id", "ids", "n_tokens", "place").mapInArrow(task, "id long, ids binary, n_tokens long, place long, route long")
+def _routed(batches, shared, *names: str):
+    """Columns of some rows at a time, and their routes; memory is given back at the end of the task."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, 512):
+            part = batch.slice(a, 512)
+            found = route(part.column("ids").to_pylist(), np.asarray(part.column("place")), shared.value)
+            yield *(part.column(n) for n in names), found
+    release()
 
 
 def shard_cuts(tokens: DataFrame, shared, total: int, shards: int) -> list[int]:
@@ -279,6 +287,7 @@ def pack(docs: DataFrame, vocabulary: dict[str, int], pattern: str, id_col: str
     the row's own tokens.  Sequence ids are unique but not consecutive.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     tokens = materialise(tokenise(docs, id_col, text_col, vocabulary, pattern, end), "tokens")
     rows, total = tokens.agg(F.count("*"), F.sum("n_tokens")).first()
     count = document_frequencies(tokens, max(vocabulary.values()) + 1)
@@ -288,7 +297,7 @@ def pack(docs: DataFrame, vocabulary: dict[str, int], pattern: str, id_col: str
     orders = spark.sparkContext.broadcast(sketches(count, idf))
     cuts = spark.sparkContext.broadcast(np.array(shard_cuts(tokens, orders, total, shards) if shards > 1 else [], np.int64))
 
-    def run(group: pa.Table) -> pa.Table:
+    def _run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("place", "ascending"), ("id", "ascending"), ("ids", "ascending")])
         parts = [np.frombuffer(x, np.uint16) for x in group.column("ids").to_pylist()]
         base = group.column("shard")[0].as_py() << 32
@@ -303,12 +312,18 @@ def pack(docs: DataFrame, vocabulary: dict[str, int], pattern: str, id_col: str
             out["ids"] = pa.array([np.frombuffer(w, "<u4").astype(np.int32) for w in wide], pa.list_(pa.int32()))
         return pa.table(out)
 
-    def deal(batches):
-        for batch in batches:
-            shard = np.searchsorted(cuts.value, np.asarray(batch.column(4)), side="right").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), *(batch.column(c) for c in (3, 0, 1))], names=["shard", "place", "id", "ids"])
+    def run(group: pa.Table) -> pa.Table:
+        try:
+            return _run(group)
+        finally:
+            release()
+
+    def deal(batches):  # in one step with the routes: a second one would need a second worker a core
+        for *columns, found in _routed(batches, orders, "place", "id", "ids"):
+            shard = np.searchsorted(cuts.value, found, side="right").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *columns], names=["shard", "place", "id", "ids"])
 
-    dealt = routes(tokens, orders).mapInArrow(deal, "shard long, place long, id long, ids binary")
+    dealt = tokens.select("place", "id", "ids").mapInArrow(deal, "shard long, place long, id long, ids binary")
     schema = f"`{id_col}` long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return dealt.groupBy("shard").applyInArrow(
         run, schema + (", ids array<int>" if with_ids else ""))

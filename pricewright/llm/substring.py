@@ -15,11 +15,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricewright.llm.batches import release, rolling, split_words, utf8, window_starts, word_codes
+from pricewright.llm.batches import SLICE_BYTES, release, rolling, small_batches, split_words, utf8, window_starts, word_codes
 
 BATCH_BYTES = 4 << 20  # text of a batch on average
 RANGE_WINDOWS = 1 << 20  # windows of a range of hashes on average
@@ -42,9 +41,21 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(wide.view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _windows(words: list[list[bytes]], width: int):
+def _codes(texts: list[bytes | None], limit: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """``word_codes`` of the texts, of which no more than ``limit`` bytes, but at least one text, are split into words at a time."""
+    part = np.cumsum([len(t or b"") for t in texts], dtype=np.int64) // limit
+    cuts = [*np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist(), len(texts)] if texts else [0]
+    codes, ends = [np.empty(0, np.uint64)], [np.zeros(1, np.int64)]
+    for a, b in zip(cuts, cuts[1:]):
+        found, upto = word_codes(split_words(texts[a:b]))
+        codes.append(found)
+        ends.append(ends[-1][-1] + upto[1:])
+    return np.concatenate(codes), np.concatenate(ends)
+
+
+def _windows(texts: list[bytes | None], width: int):
     """Hash of every window, the word at which it starts, and where the texts end among the words."""
-    codes, ends = word_codes(words)
+    codes, ends = _codes(texts)
     starts = window_starts(ends, width)
     return rolling(codes, width)[starts] if len(starts) else np.empty(0, np.uint64), starts, ends
 
@@ -57,6 +68,8 @@ def in_batches(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int, ca
     bounds = sorted({b for b in bounds})
     rows = docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("text"), F.struct(*[F.col(c) for c in carry] or [F.lit(None).cast("int").alias("none")]).alias("carry")).withColumn("x", F.col("id").cast("double"))
     if bounds:
+        from pyspark.ml.feature import Bucketizer  # here, so that no worker loads it and pandas with it
+
         rows = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="x", outputCol="place", handleInvalid="keep").transform(rows)
     else:
         rows = rows.withColumn("place", F.lit(0))
@@ -75,11 +88,12 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     null unless joined, then it is empty.  Rows without an id count as later than all others and not as earlier than
     each other; rows of one id do not remove each other's words.  Columns named in ``carry`` come along, others do not.
     """
+    small_batches(docs.sparkSession)
     rows, real, size = in_batches(docs, id_col, text_col, batch_bytes, carry or [])
     bits = max(0, math.ceil(math.log2(max(1, size / 6 / range_windows))))
 
     def _send(group: pa.Table) -> pa.Table:
-        found, _, _ = _windows(split_words(group.column("text").to_pylist()), width)
+        found, _, _ = _windows(group.column("text").to_pylist(), width)
         found = np.unique(found)
         where = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), np.int64)
         cuts = np.flatnonzero(np.r_[True, where[1:] != where[:-1]]) if len(found) else np.empty(0, np.int64)
@@ -109,8 +123,7 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     def _cut(group: pa.Table, answers: pa.Table) -> pa.Table:
         group = group.sort_by("id")
         texts = group.column("text").to_pylist()
-        words = split_words(texts)
-        found, starts, ends = _windows(words, width)
+        found, starts, ends = _windows(texts, width)
         covered = np.zeros(int(ends[-1]) + 1, np.int32)
         if len(found):
             owner = np.searchsorted(ends, starts, side="right") - 1
@@ -130,16 +143,17 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         begins, stops, rest = [], [], []
         for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
             mask = covered[a:b]
+            words = [] if separator is None else (texts[i] or b"").split()
             if not mask.any():
                 begins.append([])
                 stops.append([])
-                rest.append(texts[i] if separator is None else separator.encode().join(words[i]))
+                rest.append(texts[i] if separator is None else separator.encode().join(words))
                 continue
             edge = np.flatnonzero(np.diff(np.r_[False, mask, False]))
             begins.append(edge[::2].tolist())
             stops.append(edge[1::2].tolist())
             if separator is not None:
-                rest.append(separator.encode().join([w for w, x in zip(words[i], mask.tolist()) if not x]))
+                rest.append(separator.encode().join([w for w, x in zip(words, mask.tolist()) if not x]))
             else:
                 places = [m.span() for m in _WORD.finditer(texts[i])]
                 kept, at = [], 0

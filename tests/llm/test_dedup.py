@@ -2,15 +2,19 @@
 
 import hashlib
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricewright.llm.batches import rolling
+from pricewright.llm.batches import rolling, small_batches, split_words, word_codes
 from pricewright.llm.components import components
-from pricewright.llm.near_dup import SLOTS, near_duplicates, superminhash
-from pricewright.llm.substring import pack, removal, unpack
+from pricewright.llm.near_dup import BLOCK, SLOTS, _most_pairs, near_duplicates, superminhash
+from pricewright.llm.substring import _codes, pack, removal, unpack
+from pricewright.session import shared_folder
 
 DOCS = "doc_id long, text string, id long, a string, b string, key int, component long, batch int, carry int"
 
@@ -186,3 +190,62 @@ def test_digest(spark):
     text = "a b  c"
     got = removal(frame(spark, [(1, text)]), separator=" ").select(F.sha2(F.col("text").cast("binary"), 256)).first()[0]
     assert got == hashlib.sha256(b"a b c").hexdigest()
+
+
+def test_files_follow_the_rows_and_not_the_shuffle_partitions(spark):
+    """A file a partition, with a few links each, made thousands of files of a small group of copies."""
+    rows = corpus(7, 200)
+    held = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    folder = Path(shared_folder(spark).removeprefix("file://")) / "pricewright"
+    old = set(folder.iterdir()) if folder.exists() else set()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates(frame(spark, rows)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: c for i, (_, c) in brute_components(rows, 5, 80).items()}
+    written = {p: len(list(p.glob("part-*.parquet"))) for p in set(folder.iterdir()) - old}
+    few = {p.name: n for p, n in written.items() if p.name.startswith(("forest-", "near-classes-", "near-members-", "near-mixed-", "near-links-"))}
+    assert len(few) >= 8 and set(few.values()) == {1}
+
+
+@pytest.mark.parametrize("best", [4, None])
+def test_no_more_pairs_than_counted(spark, best):
+    rows = [(1, k % 3 == 0) for k in range(BLOCK + 1)] + [(2, True), (2, False)]
+    odd = sum(o for k, o in rows if k == 1)
+    mixed = spark.createDataFrame(rows, "key long, odd boolean")
+    assert _most_pairs(mixed, best) == (odd * 4 * 2 + 4 if best else odd * (BLOCK + 1) + 2)
+    assert _most_pairs(mixed.limit(0), best) == 0
+
+
+def test_codes_of_slices_are_those_of_all_texts():
+    texts = [t.encode() if t is not None else None for _, t in corpus(11)] + [None, b"", b" \t "]
+    whole = word_codes(split_words(texts))
+    for limit in (1, 40, 1 << 20):
+        codes, ends = _codes(texts, limit)
+        assert codes.dtype == np.uint64 and codes.tolist() == whole[0].tolist() and ends.tolist() == whole[1].tolist()
+    assert [x.tolist() for x in _codes([])] == [[], [0]]
+
+
+def test_workers_of_substring_removal_load_no_pandas():
+    code = "import sys, pricewright.llm.substring; sys.exit('pandas' in sys.modules or 'pyspark.ml' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2]).returncode == 0
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        small_batches(spark)
+        long = spark.range(40).repartition(1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+        sizes = [r[0] for r in long.mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()]
+        assert len(sizes) >= 8 and max(sizes) <= 6 << 20
+        spark.conf.set(name, "16m")
+        small_batches(spark)
+        assert spark.conf.get(name) == "16m"  # the session's own bound stays
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

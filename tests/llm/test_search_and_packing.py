@@ -369,3 +369,10 @@ def test_mixture_edges(spark):
     assert {r["topic"] for r in mix(table, topic=F.col("topic")).collect()} == {"t"}
     assert mix(table.limit(0)).collect() == []
     assert all(r["probability"] <= 1 for r in mix(table, budget=1e9).collect())
+
+
+def test_packing_runs_one_python_step_a_task(spark, byte_vocabulary, capsys):
+    """Two steps in a row need two workers a core."""
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(20)], "doc_id long, text string")
+    pack(docs, byte_vocabulary, public_tokenizers.PATTERN, shard_tokens=32).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
