@@ -23,7 +23,7 @@ SLOTS, ROWS = 128, 4  # 32 bands of 4 slots: a pair of similarity 0.8 shares non
 BLOCK = 512
 AT_ONCE = 64  # texts of a block that are words at once
 SLICE = 1 << 20  # text whose signatures are made at once: 128 bytes a word besides
-FILE_ROWS, FILE_WIDE = 100_000, 20_000  # rows of a file on average, of a few numbers each or with signatures
+FILE_ROWS, FILE_WIDE = 100_000, 5_000  # rows of a file on average, of a few numbers each or with signatures
 _R_BITS = 25
 _EMPTY = np.uint32(0xFFFFFFFF)
 
