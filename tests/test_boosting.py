@@ -186,3 +186,18 @@ def test_sketched_quantiles_stay_within_their_rank_error(spark):
             assert q in own and low - len(own) / 100 - 1 <= p * len(own) <= high + len(own) / 100 + 1
     whole = sketched_quantiles(rows, "v", [0.5]).first()
     assert abs(np.searchsorted(np.sort(values), whole["quantiles"][0]) - len(values) / 2) < 15_002
+
+
+@pytest.mark.parametrize("settings", [
+    dict(growth="level", maxDepth=4, subsample=0.7, featuresPerTree=0.7, regAlpha=0.1, regLambda=0.1, minChildWeight=2.0),
+    dict(growth="leaf", numLeaves=9, maxDepth=5, featuresPerTree=0.7, minChildRows=3),
+    dict(growth="level", maxDepth=3, subsample=0.8, featuresPerNode="sqrt", minSplitRows=5, patience=4, tolerance=0.05),
+])
+def test_one_task_grows_the_trees_that_jobs_grow(data, monkeypatch, settings):
+    """More rounds than are written at once, and counted a few rows at a time, by the default and by jobs."""
+    _, y, df = data
+    estimator = BoostedTrees(labelCol="price", maxIter=11, stepSize=0.3, **settings)
+    inside = estimator.fit(df)
+    monkeypatch.setattr(B, "LOCAL_BYTES", 0)
+    jobs = estimator.fit(df)
+    assert inside.trees == jobs.trees and len(inside.trees) > 3 and inside.losses == pytest.approx(jobs.losses)
