@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import boosting, models
 from pricewright.operators.boosting import BoostedTrees, bin_rows
-from pricewright.operators.models import ModelSpec, apply_model, fit_model
+from pricewright.operators.models import ModelSpec, apply_model, estimator, fit_model
 from pricewright.session import materialise
 
 
@@ -48,3 +48,13 @@ def test_bytes_of_a_column_become_rows():
         for part in (column, column.slice(7, 20), column.slice(0, 0)):
             want = np.array([list(b.as_py()) for b in part], np.uint8).reshape(-1, 3)
             assert (boosting._bin_matrix(part, 3) == want).all() and boosting._bin_matrix(part, 3).shape == want.shape
+
+
+def test_shallow_trees_keep_no_table_of_nodes_and_are_the_same(spark):
+    """Rows are led down few levels anew, which is cheaper; and no key is read where no model draws by it."""
+    rows = spark.range(400).select(F.col("id").cast("double").alias("price"), array_to_vector(F.array(F.sin("id"), F.col("id") % 7.0)).alias("features")).repartition(2)
+    for spec in (ModelSpec("rf", "forest", dict(numTrees=3, maxDepth=4)), ModelSpec("gb", "boosting", dict(maxIter=3, maxDepth=3, subsamplingRate=0.8))):
+        plain = estimator(spec, rows, "price", "features")
+        assert not plain.getCacheNodeIds()
+        assert fit_model(spec, rows, "price").toDebugString.split("\n", 1)[1] == plain.setCacheNodeIds(True).fit(rows).toDebugString.split("\n", 1)[1]
+    assert estimator(ModelSpec("rf", "forest", dict(maxDepth=15)), rows, "price", "features").getCacheNodeIds()
